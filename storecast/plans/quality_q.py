@@ -1 +1,188 @@
-"""Registered queries (filled in below)."""
+"""Registered validation and store-selection queries (SURVEY §2.2 P1-P14,
+§2.3 J1/J7, §2.4 A15/A16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from storecast.operators import validation as V
+from storecast.plans.catalog import register
+from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, feature_table
+from storecast.plans.sources_q import sales_csv
+from storecast.sources import csv_io as C
+from storecast.sources.tables import sales
+
+# Parameters of the registered queries.
+STORE_LIST = "P20_1, bad ,P16_2,P18_7,P8_42, P1_8,P4_77_x"
+RECENT_N = 60           # rows kept per store as the forecast template history
+MAX_STORES = 10         # limited training mode of the reference run
+
+
+def _csv_sales(spark, sf_dir):
+    return C.load_sales(spark, sales_csv(spark, sf_dir))
+
+
+@register("required_columns", " union all ".join(
+    f"select '{c}' as column_name, true as present, count({c}) as non_null from sales"
+    for c in V.REQUIRED_COLUMNS))
+def q_required_columns(spark, sf_dir):
+    df = sales(spark, sf_dir)
+    missing = V.missing_columns(df)
+    present = [c for c in V.REQUIRED_COLUMNS if c not in missing]
+    wide = df.agg(*[F.count(c).alias(c) for c in present])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(c not in missing).alias("present"),
+                 (F.col(c) if c in present else F.lit(None).cast("bigint")).alias("non_null"))
+        for c in V.REQUIRED_COLUMNS])))
+
+
+@register("parse_dates", "select store_id, date, billings from sales")
+def q_parse_dates(spark, sf_dir):
+    df = _csv_sales(spark, sf_dir)
+    return df.select("store_id", V.parsed_date(df, "date").alias("date"), "billings")
+
+
+@register("coerce_numeric", "select store_id, billings, miles from sales")
+def q_coerce_numeric(spark, sf_dir):
+    # read the numbers back as raw text first, then coerce
+    raw = spark.read.option("header", True).csv(sales_csv(spark, sf_dir))
+    raw = raw.withColumnsRenamed({k: v for k, v in C.SALES_HEADER_MAP.items()})
+    return raw.select(F.concat_ws("_", "partner_code", "store_code").alias("store_id"),
+                      V.coerced_number(raw, "billings").alias("billings"),
+                      V.coerced_number(raw, "miles").alias("miles"))
+
+
+@register("fill_target_zero", f"select {', '.join(ROW_KEY)}, coalesce(billings, 0) as billings from sales")
+def q_fill_target_zero(spark, sf_dir):
+    return V.fill_target_zero(sales(spark, sf_dir).select(*ROW_KEY, "billings"))
+
+
+@register("clip_negative",
+          f"select {', '.join(ROW_KEY)}, greatest(coalesce(billings, 0), 0) as billings from sales")
+def q_clip_negative(spark, sf_dir):
+    return V.clip_negative(V.fill_target_zero(sales(spark, sf_dir).select(*ROW_KEY, "billings")))
+
+
+@register("min_rows_check", f"""
+select count(*) as rows, count(*) >= {V.MIN_ROWS} as enough_rows from sales""")
+def q_min_rows_check(spark, sf_dir):
+    return sales(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "enough_rows", F.col("rows") >= V.MIN_ROWS)
+
+
+@register("validate_sales", f"""
+select count(*) as rows, cast(0 as bigint) as bad_dates, count(*) filter (where billings is null) as bad_numbers,
+       count(*) filter (where billings is null) as null_targets,
+       count(*) filter (where billings < 0) as negative_targets,
+       case when count(*) < {V.MIN_ROWS} then 'Insufficient data: ' || count(*) || ' rows. Minimum {V.MIN_ROWS} required.' end as error
+from sales""")
+def q_validate_sales(spark, sf_dir):
+    _, report = V.validate_sales(_csv_sales(spark, sf_dir))
+    return report
+
+
+@register("row_rules", """
+select rule, violations from (
+  select 'date_parses' as rule, count(*) filter (where date is null) as violations from sales
+  union all select 'billings_non_negative', count(*) filter (where coalesce(billings >= 0, false) = false) from sales
+  union all select 'partner_code_not_blank', count(*) filter (where coalesce(length(trim(partner_code)) > 0, false) = false) from sales
+  union all select 'store_code_not_blank', count(*) filter (where coalesce(length(trim(store_code)) > 0, false) = false) from sales
+  union all select 'any_rule', count(*) filter (where date is null or coalesce(billings >= 0, false) = false
+        or coalesce(length(trim(partner_code)) > 0, false) = false or coalesce(length(trim(store_code)) > 0, false) = false) from sales)
+""")
+def q_row_rules(spark, sf_dir):
+    return V.rule_violations(_csv_sales(spark, sf_dir))
+
+
+@register("sort_canonical", f"select {', '.join(ROW_KEY)}, billings from sales "
+                            "order by partner_code, store_code, date, l_orderkey, l_linenumber, l_partkey")
+def q_sort_canonical(spark, sf_dir):
+    return V.sort_canonical(sales(spark, sf_dir).select(*ROW_KEY, "billings"))
+
+
+@register("filter_store", f"""
+with top as (select partner_code, store_code from sales group by 1, 2
+             order by count(*) desc, partner_code, store_code limit 1)
+select {', '.join('s.' + c for c in ROW_KEY)}, s.billings from sales s
+join top on s.partner_code = top.partner_code and s.store_code = top.store_code""")
+def q_filter_store(spark, sf_dir):
+    s = sales(spark, sf_dir)
+    top = (V.store_sizes(s).orderBy(F.desc("n_rows"), "partner_code", "store_code").first())
+    return V.filter_store(s, top["partner_code"], top["store_code"]).select(*ROW_KEY, "billings")
+
+
+def _store_list_sql(text):
+    pairs = []
+    for item in text.split(","):
+        item = item.strip()
+        if "_" not in item:
+            continue
+        p, s = item.split("_", 1)
+        if p and s:
+            pairs.append(f"('{p}', '{s}')")
+    return (f"select {', '.join('s.' + c for c in ROW_KEY)}, s.billings from sales s "
+            f"where (s.partner_code, s.store_code) in (select * from (values {', '.join(pairs)}) v(p, c))")
+
+
+@register("store_list_filter", _store_list_sql(STORE_LIST))
+def q_store_list_filter(spark, sf_dir):
+    return V.store_list_filter(sales(spark, sf_dir), STORE_LIST).select(*ROW_KEY, "billings")
+
+
+def _feature_sql_for(cols_sql):
+    from storecast.operators import features as FE
+    from storecast.plans.features_q import MODEL_INPUT_SQL
+    body = FE.series_features_sql(f"(select *, {FE.calendar_sql('date')} from {MODEL_INPUT_SQL}) c",
+                                  "billings", FE.FAMILIES, digits=None, select_cols=["*"])
+    return f"select {cols_sql} from ({body}) f"
+
+
+_NN = " and ".join(f"{c} is not null" for c in REFERENCE_FEATURES + ["billings"])
+
+
+@register("drop_null_rows", _feature_sql_for(f"{', '.join(ROW_KEY)}, round(billings, 6) as billings")
+          + f" where {_NN}")
+def q_drop_null_rows(spark, sf_dir):
+    f = V.drop_null_rows(feature_table(spark, sf_dir), REFERENCE_FEATURES + ["billings"])
+    return f.select(*ROW_KEY, F.round("billings", 6).alias("billings"))
+
+
+@register("select_features", _feature_sql_for(", ".join(
+    ROW_KEY + [f"round({c}, 6) as {c}" for c in REFERENCE_FEATURES])))
+def q_select_features(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    cols = V.select_features(f, REFERENCE_FEATURES)
+    return f.select(*ROW_KEY, *[F.round(c, 6).alias(c) for c in cols])
+
+
+@register("recent_sample", f"""
+select {', '.join(ROW_KEY)}, billings from (
+  select *, row_number() over (partition by partner_code, store_code
+                               order by date desc, l_orderkey desc, l_linenumber desc, l_partkey desc) as rn
+  from sales) where rn <= {RECENT_N}""")
+def q_recent_sample(spark, sf_dir):
+    return V.recent_rows(sales(spark, sf_dir), RECENT_N).select(*ROW_KEY, "billings")
+
+
+@register("valid_stores", f"""
+select partner_code, store_code, count(*) as n_rows from sales group by 1, 2
+having count(*) >= {V.MIN_TRAIN_ROWS}""")
+def q_valid_stores(spark, sf_dir):
+    return V.store_sizes(sales(spark, sf_dir), V.MIN_TRAIN_ROWS)
+
+
+@register("store_sizes", "select partner_code, store_code, count(*) as n_rows from sales group by 1, 2")
+def q_store_sizes(spark, sf_dir):
+    return V.store_sizes(sales(spark, sf_dir), 1)
+
+
+@register("distinct_stores", "select distinct partner_code, store_code from sales")
+def q_distinct_stores(spark, sf_dir):
+    return V.distinct_stores(sales(spark, sf_dir))
+
+
+@register("limit_stores", f"""
+select partner_code, store_code, count(*) as n_rows from sales group by 1, 2
+having count(*) >= {V.MIN_TRAIN_ROWS} order by 1, 2 limit {MAX_STORES}""")
+def q_limit_stores(spark, sf_dir):
+    return V.limit_stores(V.store_sizes(sales(spark, sf_dir), V.MIN_TRAIN_ROWS), MAX_STORES)

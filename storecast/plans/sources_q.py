@@ -1 +1,101 @@
-"""Registered queries (filled in below)."""
+"""Registered CSV source/sink queries.
+
+The CSV inputs are written from the driver's tables (whole tables) into the
+shared scratch folder under ``spark.checkpoint.dir``, once per session, and
+read back through the loaders.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from storecast.operators import reports as R
+from storecast.plans.catalog import register
+from storecast.plans.reports_q import DASH_END, DASH_PAISES, DASH_START
+from storecast.session import scratch_path
+from storecast.sources import csv_io as C
+from storecast.sources.tables import pred_vs_real, sales
+
+_WRITTEN: dict[tuple, str] = {}
+
+# Fixed parameters of the registered CSV round trips.
+EDA_CITY_REGIONS = ["AFRICA", "AMERICA"]          # files of these regions carry a City column
+DASH_SEP = ";"
+DASH_HEADERS = {"fecha": " Transaction Date ", "partner": "Partner Name", "pais": "COUNTRY",
+                "ciudad": "City", "tienda": "Store Name", "ventas_reales": "Local Amount",
+                "ventas_predichas": "Pred"}
+
+
+def _once(spark, sf_dir, kind, write):
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, kind)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def sales_csv(spark, sf_dir) -> str:
+    """The sales view as the reference's training CSV (A1 headers)."""
+    cols = ["partner_code", "partner_name", "store_code", "store_name", "date", "billings", "miles"]
+    inv = {v: k for k, v in C.SALES_HEADER_MAP.items()}
+    return _once(spark, sf_dir, "sales-csv",
+                 lambda p: C.write_csv(sales(spark, sf_dir).select(*cols), p, inv))
+
+
+def eda_csv_dir(spark, sf_dir) -> str:
+    """EDA transaction files in two layouts (with and without City)."""
+    def write(path):
+        s = sales(spark, sf_dir)
+        with_city = s.filter(F.col("country").isin(EDA_CITY_REGIONS))
+        without = s.filter(~F.col("country").isin(EDA_CITY_REGIONS))
+        C.write_csv(with_city.select("date", "partner_name", "country", "city", "billings"),
+                    path, C.EDA_HEADER_MAP, mode="append")
+        C.write_csv(without.select("date", "partner_name", "country", "billings"),
+                    path, C.EDA_HEADER_MAP, mode="append")
+    return _once(spark, sf_dir, "eda-csv", write)
+
+
+def dashboard_csv(spark, sf_dir) -> str:
+    return _once(spark, sf_dir, "dash-csv",
+                 lambda p: C.write_csv(pred_vs_real(spark, sf_dir), p, DASH_HEADERS, DASH_SEP))
+
+
+SALES_AS_CSV_SQL = """
+select partner_code, partner_name, store_code, store_name, cast(date as varchar) as date,
+       billings, miles, concat(partner_code, '_', store_code) as store_id from sales
+"""
+
+
+@register("load_sales", SALES_AS_CSV_SQL)
+def q_load_sales(spark, sf_dir):
+    return C.load_sales(spark, sales_csv(spark, sf_dir))
+
+
+@register("load_csv_dir", f"""
+select cast(date as varchar) as "Transaction Date", partner_name as "Partner Name", country as "Country",
+       case when country in ({", ".join(f"'{r}'" for r in EDA_CITY_REGIONS)}) then city end as "City",
+       billings as "Local Amount"
+from sales""")
+def q_load_csv_dir(spark, sf_dir):
+    df = C.load_csv_dir(spark, eda_csv_dir(spark, sf_dir))
+    return df.withColumn("Local Amount", F.col("Local Amount").try_cast("double"))
+
+
+@register("load_pred_vs_real", "select * from pred_vs_real")
+def q_load_pred_vs_real(spark, sf_dir):
+    df = C.load_pred_vs_real(spark, dashboard_csv(spark, sf_dir), DASH_SEP)
+    return df.select("partner", "pais", "ciudad", "tienda", "fecha", "ventas_reales", "ventas_predichas")
+
+
+@register("export_filtered", f"""
+select * from pred_vs_real
+where fecha >= date '{DASH_START}' and fecha <= date '{DASH_END}'
+  and pais in ({", ".join(f"'{p}'" for p in DASH_PAISES)})
+""")
+def q_export_filtered(spark, sf_dir):
+    flt = R.dashboard_filter(pred_vs_real(spark, sf_dir), DASH_START, DASH_END, paises=DASH_PAISES)
+    path = scratch_path(spark, "export")
+    C.write_csv(flt, path)                       # the export itself (S5)
+    back = C.load_pred_vs_real(spark, path)
+    return back.select("partner", "pais", "ciudad", "tienda", "fecha", "ventas_reales", "ventas_predichas")
