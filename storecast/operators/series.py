@@ -84,6 +84,8 @@ def chunk_series(df: DataFrame, key: Sequence[str], date_col: str, lookback: int
         F.collect_list(F.struct(F.col("_target").alias("t"), F.col("_from").alias("f")))
         .alias("_targets"))
 
+    if lookback <= 0:          # no history needed: chunks only, no halo copies
+        bounds = bounds.limit(0)
     rows = (df.join(F.broadcast(hot), key, "left")
             .withColumn(CHUNK, F.when(F.col("_p").isNull(), F.lit(0)).otherwise(chunk_of(d)))
             .drop("_d0", "_p")
@@ -99,3 +101,23 @@ def chunk_series(df: DataFrame, key: Sequence[str], date_col: str, lookback: int
 
 def home_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(HOME)).drop(CHUNK, HOME)
+
+
+def positions(df: DataFrame, key: Sequence[str], order: Sequence[str],
+              chunk_rows: int | None = DEFAULT_CHUNK_ROWS, hot_rows: int | None = None) -> DataFrame:
+    """Add ``_pos`` (1-based row number in the key's order) and ``_cnt`` (rows
+    of the key) without putting a hot key into one task: rows are numbered
+    within (key, chunk) and shifted by the rows of the key's earlier chunks,
+    taken from a per-(key, chunk) count table."""
+    key = list(key)
+    c = chunk_series(df, key, order[0], 0, chunk_rows, hot_rows).drop(HOME)
+    counts = c.groupBy(*key, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    wk = Window.partitionBy(*key)
+    counts = counts.select(
+        *key, CHUNK,
+        F.coalesce(F.sum("_n").over(wk.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_n").over(wk).alias("_cnt"))
+    rn = F.row_number().over(Window.partitionBy(*key, CHUNK).orderBy(*order))
+    return (c.join(counts, key + [CHUNK]).withColumn("_pos", F.col("_off") + rn)
+            .drop("_off", CHUNK))

@@ -1 +1,227 @@
-"""Registered queries (filled in below)."""
+"""Registered evaluation queries (SURVEY §2.7 M1, M2, M4-M6, M17, M18 and
+§2.4 A20-A24, A35).
+
+The predictor is the deterministic seasonal naive forecast (the store's
+value seven rows earlier, on the log target), so every metric has an exact
+SQL oracle; the MLlib forests are evaluated by the same operators in
+``models_q``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from storecast.functions.exprs import QUALITY_FALLBACK, QUALITY_THRESHOLDS, ZERO_GUARD
+from storecast.operators import evaluation as EV
+from storecast.operators import validation as V
+from storecast.plans.catalog import register
+from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, feature_table
+from storecast.sources.tables import sales
+
+PREDICTOR_COL = "billings_lag_7"
+BACKTEST_N = 5
+TOP_K = 5
+LISTING_N = 10
+D = EV.METRIC_DIGITS
+
+
+def predictions(spark, sf_dir):
+    """Feature table -> complete rows (P12) -> temporal split (M1) ->
+    seasonal naive prediction."""
+    f = V.drop_null_rows(feature_table(spark, sf_dir), REFERENCE_FEATURES + ["billings"])
+    return EV.temporal_split(f).withColumn("prediction", F.col(PREDICTOR_COL))
+
+
+def results(spark, sf_dir):
+    return EV.model_results(predictions(spark, sf_dir), n_features=len(REFERENCE_FEATURES))
+
+
+# ------------------------------------------------------------------ SQL text
+
+def _feature_sql():
+    from storecast.operators import features as FE
+    from storecast.plans.features_q import MODEL_INPUT_SQL
+    return FE.series_features_sql(f"(select *, {FE.calendar_sql('date')} from {MODEL_INPUT_SQL}) c",
+                                  "billings", FE.FAMILIES, digits=None, select_cols=["*"])
+
+
+_NN = " and ".join(f"{c} is not null" for c in REFERENCE_FEATURES + ["billings"])
+_W = "partition by partner_code, store_code"
+EVAL_CTE = f"""
+eb as (
+  select *, case when _pos <= floor({EV.TRAIN_FRACTION} * _cnt) then 'train' else 'test' end as split,
+         {PREDICTOR_COL} as prediction
+  from (select *, row_number() over ({_W} order by date, l_orderkey, l_linenumber, l_partkey) as _pos,
+               count(*) over ({_W}) as _cnt
+        from ({_feature_sql()}) f where {_NN}) x
+  where _cnt >= {EV.MIN_STORE_ROWS})"""
+
+
+def _metric_sql(y, p, cond, prefix, digits=D, with_n=True):
+    yy, pp = f"(case when {cond} then {y} end)", f"(case when {cond} then {p} end)"
+    sse = f"sum(pow({yy} - {pp}, 2))"
+    sst = f"(var_pop({yy}) * count({yy}))"
+    den = f"((abs({yy}) + abs({pp})) / 2)"
+    out = []
+    if with_n:
+        out.append(f"count({yy}) as {prefix}_samples")
+    out += [f"round(avg(abs({yy} - {pp})), {digits}) as {prefix}_mae",
+            f"round(sqrt(avg(pow({yy} - {pp}, 2))), {digits}) as {prefix}_rmse",
+            f"round(case when {sst} = 0 then (case when {sse} = 0 then 1.0 else 0.0 end) "
+            f"else 1 - {sse} / {sst} end, {digits}) as {prefix}_r2",
+            f"round(100 * avg(abs({yy} - {pp}) / (case when {den} = 0 then {ZERO_GUARD} else {den} end)), "
+            f"{digits}) as {prefix}_smape"]
+    return out
+
+
+def _quality_sql(c):
+    whens = " ".join(f"when {c} > {t} then '{label}'" for label, t in QUALITY_THRESHOLDS)
+    return f"case {whens} else '{QUALITY_FALLBACK}' end"
+
+
+RESULTS_CTE = EVAL_CTE + f""",
+res0 as (
+  select partner_code, store_code,
+         {", ".join(_metric_sql("billings", "prediction", "split = 'train'", "train")
+                    + _metric_sql("billings", "prediction", "split = 'test'", "test")
+                    + [s.replace(" as test_", " as test_").replace("_mae", "_mae_original")
+                        .replace("_rmse", "_rmse_original").replace("_r2", "_r2_original")
+                        .replace("_smape", "_smape_original")
+                       for s in _metric_sql("(exp(billings) - 1)", "(exp(prediction) - 1)",
+                                            "split = 'test'", "test", 4, with_n=False)])}
+  from eb group by partner_code, store_code),
+res as (select *, {_quality_sql('test_r2')} as quality, {len(REFERENCE_FEATURES)} as n_features from res0)"""
+
+
+def _with_results(sql):
+    return f"with {RESULTS_CTE}\n{sql}"
+
+
+# ------------------------------------------------------------------ queries
+
+@register("temporal_split", f"with {EVAL_CTE}\nselect {', '.join(ROW_KEY)}, split from eb")
+def q_temporal_split(spark, sf_dir):
+    return predictions(spark, sf_dir).select(*ROW_KEY, "split")
+
+
+SCALE_COLS = REFERENCE_FEATURES
+
+
+@register("standard_scale", f"""with {EVAL_CTE},
+st as (select partner_code, store_code,
+              {", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in SCALE_COLS)}
+       from eb where split = 'train' group by 1, 2)
+select {", ".join("eb." + c for c in ROW_KEY)}, eb.split,
+       {", ".join(f"round((eb.{c} - st.m_{c}) / (case when st.s_{c} = 0 then 1.0 else st.s_{c} end), 6) as {c}"
+                  for c in SCALE_COLS)}
+from eb left join st on eb.partner_code = st.partner_code and eb.store_code = st.store_code""")
+def q_standard_scale(spark, sf_dir):
+    scaled = EV.standard_scale(predictions(spark, sf_dir), SCALE_COLS)
+    return scaled.select(*ROW_KEY, "split", *[F.round(c, 6).alias(c) for c in SCALE_COLS])
+
+
+_M4 = ["train_samples", "train_mae", "train_rmse", "train_r2", "test_samples", "test_mae",
+       "test_rmse", "test_r2", "test_mae_original", "test_rmse_original", "test_r2_original"]
+
+
+@register("reg_metrics", _with_results(f"select partner_code, store_code, {', '.join(_M4)} from res"))
+def q_reg_metrics(spark, sf_dir):
+    return results(spark, sf_dir).select(*V.STORE_KEY, *_M4)
+
+
+@register("smape", _with_results(
+    "select partner_code, store_code, train_smape, test_smape, test_smape_original from res"))
+def q_smape(spark, sf_dir):
+    return results(spark, sf_dir).select(*V.STORE_KEY, "train_smape", "test_smape", "test_smape_original")
+
+
+@register("quality_label", _with_results("select partner_code, store_code, test_r2, quality from res"))
+def q_quality_label(spark, sf_dir):
+    return results(spark, sf_dir).select(*V.STORE_KEY, "test_r2", "quality")
+
+
+@register("quality_distribution", _with_results(f"""
+select quality, count(*) as models, round(100.0 * count(*) / sum(count(*)) over (), {D}) as pct
+from res group by quality"""))
+def q_quality_distribution(spark, sf_dir):
+    return EV.quality_distribution(results(spark, sf_dir))
+
+
+SUMMARY_SQL = f"""
+summ as (select count(*) as successful_models, round(avg(test_r2), {D}) as avg_r2,
+                round(stddev_pop(test_r2), {D}) as std_r2, round(max(test_r2), {D}) as best_r2,
+                round(avg(test_smape), {D}) as avg_smape, round(stddev_pop(test_smape), {D}) as std_smape,
+                round(min(test_smape), {D}) as best_smape,
+                (select count(*) from (select distinct partner_code, store_code from sales)) as total_stores_attempted
+         from res)"""
+
+
+@register("training_summary", _with_results(f""", {SUMMARY_SQL.strip()}
+select *, round(case when total_stores_attempted > 0
+                     then 100.0 * successful_models / total_stores_attempted else 0.0 end, {D}) as success_rate
+from summ"""))
+def q_training_summary(spark, sf_dir):
+    return EV.training_summary(results(spark, sf_dir), V.distinct_stores(sales(spark, sf_dir)))
+
+
+@register("target_achievement", _with_results(f""", {SUMMARY_SQL.strip()}
+select avg_r2, avg_smape, coalesce(cast(avg_r2 >= {EV.TARGET_R2} as integer), 0) as r2_target_achieved,
+       coalesce(cast(avg_smape <= {EV.TARGET_SMAPE} as integer), 0) as smape_target_achieved from summ"""))
+def q_target_achievement(spark, sf_dir):
+    summary = EV.training_summary(results(spark, sf_dir), V.distinct_stores(sales(spark, sf_dir)))
+    return EV.target_achievement(summary)
+
+
+@register("good_plus_share", _with_results(f"""
+select count(*) filter (where quality = 'EXCELENTE') as excellent_models,
+       count(*) filter (where quality in ('EXCELENTE', 'BUENO')) as good_plus_models,
+       round(100.0 * count(*) filter (where quality = 'EXCELENTE') / count(*), {D}) as excellent_pct,
+       round(100.0 * count(*) filter (where quality in ('EXCELENTE', 'BUENO')) / count(*), {D}) as good_plus_pct
+from res"""))
+def q_good_plus_share(spark, sf_dir):
+    return EV.good_plus_share(results(spark, sf_dir))
+
+
+@register("top5_stores", _with_results(f"""
+select store_key, test_r2, cast(row_number() over (order by test_r2 desc, store_key) as integer) as rank
+from (select partner_code || '_' || store_code as store_key, max(test_r2) as test_r2 from res group by 1)
+order by test_r2 desc, store_key limit {TOP_K}"""))
+def q_top5_stores(spark, sf_dir):
+    return EV.top_stores(results(spark, sf_dir), TOP_K)
+
+
+@register("trained_listing", _with_results(f"""
+select partner_code || '_' || store_code as store_key, test_r2, test_smape, quality
+from res order by store_key limit {LISTING_N}"""))
+def q_trained_listing(spark, sf_dir):
+    return EV.trained_listing(results(spark, sf_dir), LISTING_N)
+
+
+BACKTEST_SQL = f"""
+bt as (select {', '.join(ROW_KEY)}, actual, predicted, actual - predicted as error,
+              (actual - predicted) / (case when actual <> 0 then actual end) * 100 as error_pct
+       from (select *, exp(billings) - 1 as actual, exp({PREDICTOR_COL}) - 1 as predicted,
+                    row_number() over ({_W} order by date desc, l_orderkey desc, l_linenumber desc,
+                                       l_partkey desc) as rn
+             from ({_feature_sql()}) f) x
+       where rn <= {BACKTEST_N})"""
+
+
+def backtest(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    return EV.backtest_recent(f, F.expm1("billings"), F.expm1(PREDICTOR_COL), BACKTEST_N)
+
+
+@register("backtest_recent", f"""with {BACKTEST_SQL}
+select {', '.join(ROW_KEY)}, round(actual, 4) as actual, round(predicted, 4) as predicted,
+       round(error, 4) as error, round(error_pct, 4) as error_pct from bt""")
+def q_backtest_recent(spark, sf_dir):
+    bt = backtest(spark, sf_dir)
+    return bt.select(*ROW_KEY, *[F.round(c, 4).alias(c) for c in ("actual", "predicted", "error", "error_pct")])
+
+
+@register("backtest_metrics", f"""with {BACKTEST_SQL}
+select partner_code, store_code, round(avg(abs(error)), 4) as mae, round(sqrt(avg(pow(error, 2))), 4) as rmse,
+       round(avg(abs(error_pct)), 4) as mape from bt group by 1, 2""")
+def q_backtest_metrics(spark, sf_dir):
+    return EV.backtest_metrics(backtest(spark, sf_dir))
