@@ -16,6 +16,7 @@ from storecast.operators import evaluation as EV
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
 from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, feature_table
+from storecast.session import memo_checkpoint
 from storecast.sources.tables import sales
 
 PREDICTOR_COL = "billings_lag_7"
@@ -33,7 +34,9 @@ def predictions(spark, sf_dir):
 
 
 def results(spark, sf_dir):
-    return EV.model_results(predictions(spark, sf_dir), n_features=len(REFERENCE_FEATURES))
+    """Per-store results (one row per store), checkpointed once per session."""
+    return memo_checkpoint(spark, ("naive-results", sf_dir), lambda: EV.model_results(
+        predictions(spark, sf_dir), n_features=len(REFERENCE_FEATURES)))
 
 
 # ------------------------------------------------------------------ SQL text

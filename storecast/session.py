@@ -72,3 +72,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder; survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def memo_checkpoint(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Build a (small, reused) DataFrame once per session and cut its lineage
+    with a reliable checkpoint, so later plans read it instead of
+    recomputing the pipeline behind it."""
+    k = (spark.sparkContext.applicationId,) + tuple(key)
+    if k not in _MEMO:
+        _MEMO[k] = cut_lineage(build())
+    return _MEMO[k]
+
+
+def clear_memo() -> None:
+    _MEMO.clear()
