@@ -237,15 +237,94 @@ def series_features(df: DataFrame, y: str = "billings", families: Sequence[str]
     base = chunk_series(df, key, order[0], LOOKBACK,
                         chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows)
     w = Window.partitionBy(*key, CHUNK).orderBy(*order)
-    ctx = Ctx(y=y, key=list(key) + [CHUNK], order=list(order), spark_window=w)
-    out = base.withColumns({s.name: s.spark(ctx) for s in specs
-                            if s.stage == 0 and s.name in needed_lags})
-    out = out.withColumns({s.name: s.spark(ctx) for s in wanted if s.stage == 1})
-    out = out.withColumns({s.name: s.spark(ctx) for s in wanted if s.stage == 2})
-    drop = [n for n in needed_lags if n not in {s.name for s in wanted}]
+    stages, helpers = _staged_columns(y, prefix, families, w, needed_lags)
+    out = base
+    for cols in stages:
+        out = out.withColumns(cols)
+    drop = [n for n in needed_lags if n not in {s.name for s in wanted}] + helpers
     return home_rows(out.drop(*drop))
 
 
+def _staged_columns(y: str, p: str, families: Sequence[str], w: Window, lag_names: set[str]):
+    """Spark columns in dependency stages.  Each distinct rolling aggregate
+    (count, mean, std, min, max per window size; one population std over 30
+    rows; one covariance per autocorrelation lag) is computed once as a
+    helper column and every feature is derived from the helpers.  The
+    lagged series' 30-row std is the 30-row std shifted by k rows."""
+    fam = set(families)
+    yc = F.col(y)
+
+    def fr(n):
+        return w.rowsBetween(-(n - 1), 0)
+    sizes = set()
+    if fam & {"trend"}:
+        sizes |= set(TREND_WINDOWS)
+    if fam & {"volatility"}:
+        sizes |= set(VOLATILITY_WINDOWS)
+    if fam & {"zscore", "is_outlier"}:
+        sizes |= set(ZSCORE_WINDOWS)
+    if fam & {"rolling"}:
+        sizes |= set(ROLLING_WINDOWS)
+    if fam & {"rank"}:
+        sizes |= set(RANK_WINDOWS)
+    if "autocorr" in fam:
+        sizes.add(AUTOCORR_WINDOW)
+    s0 = {name: F.lag(y, int(name.rsplit("_", 1)[1])).over(w) for name in sorted(lag_names)}
+    s1, s2, s3, s4 = {}, {}, {}, {}
+    helpers = []
+
+    def h(stage, name, expr):
+        stage[name] = expr
+        helpers.append(name)
+        return F.col(name)
+    cnt, mean, std = {}, {}, {}
+    for n in sorted(sizes):
+        cnt[n] = h(s1, f"_cnt{n}", F.count(yc).over(fr(n)))
+        mean[n] = h(s1, f"_mean{n}", F.avg(yc).over(fr(n)))
+        std[n] = h(s1, f"_std{n}", F.stddev_samp(yc).over(fr(n)))
+    if "trend" in fam:
+        for n in TREND_WINDOWS:
+            s2[f"{p}_trend_{n}"] = F.when(cnt[n] == n, yc - mean[n])
+    if "volatility" in fam:
+        for n in VOLATILITY_WINDOWS:
+            s2[f"{p}_volatility_{n}"] = F.when(cnt[n] == n, std[n] / _guard(mean[n]))
+    if fam & {"zscore", "is_outlier"}:
+        for n in ZSCORE_WINDOWS:
+            s2[f"{p}_zscore_{n}"] = F.when(cnt[n] == n, (yc - mean[n]) / _guard(std[n]))
+    if "is_outlier" in fam:
+        for n in ZSCORE_WINDOWS:
+            s3[f"{p}_is_outlier_{n}"] = F.coalesce(F.abs(F.col(f"{p}_zscore_{n}")) > OUTLIER_Z,
+                                                    F.lit(False)).cast("int")
+    if "rolling" in fam:
+        for n in ROLLING_WINDOWS:
+            mn = h(s1, f"_min{n}", F.min(yc).over(fr(n)))
+            mx = h(s1, f"_max{n}", F.max(yc).over(fr(n)))
+            for stat, c in (("mean", mean[n]), ("std", std[n]), ("min", mn), ("max", mx)):
+                s2[f"{p}_rolling_{n}_{stat}"] = F.when(cnt[n] == n, c)
+    for k in MOMENTUM_LAGS:
+        lagk = F.col(f"{p}_lag_{k}")
+        if "momentum" in fam:
+            s1[f"{p}_momentum_{k}"] = yc - lagk
+        if "momentum_pct" in fam:
+            s1[f"{p}_momentum_pct_{k}"] = (yc - lagk) / _guard(lagk) * 100
+    if "rank" in fam:
+        for n in RANK_WINDOWS:
+            arr = h(s1, f"_list{n}", F.collect_list(yc).over(fr(n)))
+            less = F.size(F.filter(arr, lambda v: v < yc))
+            eq = F.size(F.filter(arr, lambda v: v == yc))
+            s2[f"{p}_rank_{n}"] = F.when(cnt[n] == n, (less + (eq + 1) / 2.0) / n)
+    if "autocorr" in fam:
+        n = AUTOCORR_WINDOW
+        sdp = h(s1, "_sdp", F.stddev_pop(yc).over(fr(n)))
+        for k in AUTOCORR_LAGS:
+            cov = h(s1, f"_cov{k}", F.covar_pop(yc, F.col(f"{p}_lag_{k}")).over(fr(n)))
+            sdp_k = h(s2, f"_sdp_l{k}", F.lag(sdp, k).over(w))
+            cnt_k = h(s2, f"_cnt_l{k}", F.lag(cnt[n], k).over(w))
+            den = sdp * sdp_k
+            s3[f"{p}_autocorr_{k}"] = F.when((cnt[n] == n) & (cnt_k == n), cov / F.when(den != 0, den))
+    return [s0, s1, s2, s3, s4], helpers
+
+
 def series_features_sql(source: str, y: str = "billings", families: Sequence[str] = FAMILIES,
                         select_cols: Sequence[str] = (), y_prefix: str | None = None,
                         digits: int | None = 6, key: Sequence[str] = STORE_KEY,

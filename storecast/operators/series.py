@@ -48,13 +48,9 @@ def chunk_series(df: DataFrame, key: Sequence[str], date_col: str, lookback: int
     hot_rows = hot_rows or chunk_rows
     d = F.col(date_col)
 
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(d).alias("_d0"),
-                                 F.max(d).alias("_d1"))
-    # proven bound: at most total_rows / hot_rows keys
-    hot = sizes.filter(F.col("_n") > hot_rows).select(
-        *key, "_d0",
-        F.greatest(F.lit(1), F.ceil((F.datediff("_d1", "_d0") + 1) * F.lit(float(chunk_rows))
-                                    / F.col("_n"))).cast("int").alias("_p"))
+    hot = hot_keys(df, key, date_col, chunk_rows, hot_rows)
+    if hot is None:                      # the usual case: one chunk per key
+        return df.withColumns({CHUNK: F.lit(0), HOME: F.lit(True)})
 
     def chunk_of(c):
         return F.floor(F.datediff(c, F.col("_d0")) / F.col("_p")).cast("int")
@@ -99,6 +95,29 @@ def chunk_series(df: DataFrame, key: Sequence[str], date_col: str, lookback: int
             .select(*out_cols, F.col("_copy.c").alias(CHUNK), F.col("_copy.h").alias(HOME)))
 
 
+def hot_keys(df: DataFrame, key: Sequence[str], date_col: str, chunk_rows: int,
+             hot_rows: int | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, with first date and chunk
+    width in days, or None when there are none.
+
+    The list has at most total_rows / hot_rows entries (a proven bound), so
+    it is collected and broadcast; it is one aggregation pass over the key
+    and date columns only."""
+    key = list(key)
+    hot_rows = hot_rows or chunk_rows
+    d = F.col(date_col)
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(d).alias("_d0"),
+                                 F.max(d).alias("_d1"))
+    hot = sizes.filter(F.col("_n") > hot_rows).select(
+        *key, "_d0",
+        F.greatest(F.lit(1), F.ceil((F.datediff("_d1", "_d0") + 1) * F.lit(float(chunk_rows))
+                                    / F.col("_n"))).cast("int").alias("_p"))
+    rows = hot.collect()
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, hot.schema)
+
+
 def home_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(HOME)).drop(CHUNK, HOME)
 
@@ -110,6 +129,10 @@ def positions(df: DataFrame, key: Sequence[str], order: Sequence[str],
     within (key, chunk) and shifted by the rows of the key's earlier chunks,
     taken from a per-(key, chunk) count table."""
     key = list(key)
+    if chunk_rows is None or hot_keys(df, key, order[0], chunk_rows, hot_rows) is None:
+        w = Window.partitionBy(*key)
+        return df.withColumns({"_pos": F.row_number().over(w.orderBy(*order)),
+                               "_cnt": F.count(F.lit(1)).over(w)})
     c = chunk_series(df, key, order[0], 0, chunk_rows, hot_rows).drop(HOME)
     counts = c.groupBy(*key, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*key)
