@@ -1 +1,210 @@
-"""Registered queries (filled in below)."""
+"""Registered model queries.
+
+Rows-only checks: forest values cannot be reproduced by an SQL oracle.
+All of them share one training run per session (memoized): the scoring
+table is written once to the shared checkpoint folder, one forest per store
+is fitted and scored, and every query reads those outputs.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from storecast.operators import evaluation as EV
+from storecast.operators import features as FE
+from storecast.operators import forecast as FC
+from storecast.operators import models as MD
+from storecast.operators import validation as V
+from storecast.plans.catalog import register
+from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, model_input
+from storecast.plans.forecast_q import HORIZON_DAYS, TEMPLATE_DAYS, template_start
+from storecast.plans.runs_q import run_tables
+from storecast.session import scratch_path
+from storecast.sources.tables import sales
+
+KEY = ["partner_code", "store_code"]
+VERSION = "0.1.0"
+_FLEETS: dict[tuple, dict] = {}
+PARALLELISM = int(os.environ.get("STORECAST_FIT_THREADS", "8"))
+
+
+def _features(x):
+    return FE.series_features(FE.calendar_features(x), "billings", FE.REFERENCE_FAMILIES)
+
+
+def scoring_table(spark, sf_dir):
+    """History rows (split), future-horizon rows and template rows with the
+    31 model features, scaled per store."""
+    h = model_input(spark, sf_dir)
+    st = FC.history_stats(h)
+    fut = (FC.store_calendar(st.withColumn("start_date", F.date_add("last_date", 1)), HORIZON_DAYS)
+           .select(*KEY, "date", F.lit(True).alias("_future")))
+    a = _features(h.withColumn("_future", F.lit(False)).unionByName(fut, allowMissingColumns=True))
+    hist = EV.temporal_split(V.drop_null_rows(a.filter(~F.col("_future")), REFERENCE_FEATURES + ["billings"]))
+    hist = hist.withColumn("kind", F.lit("history"))
+    future = a.filter(F.col("_future")).withColumns({"kind": F.lit("future"), "split": F.lit(None).cast("string")})
+    raw = sales(spark, sf_dir).select(*ROW_KEY, "billings", "miles")
+    tpl = FC.future_template(raw, template_start(spark, sf_dir), TEMPLATE_DAYS)
+    tpl_in = FE.log_target(FE.target_transform(
+        tpl.select(*KEY, "date", "billings", "miles").withColumn("_tpl", F.lit(True)), "billings"), "billings")
+    b = _features(h.withColumn("_tpl", F.lit(False)).unionByName(tpl_in, allowMissingColumns=True))
+    template = b.filter(F.col("_tpl")).withColumns({"kind": F.lit("template"), "split": F.lit(None).cast("string")})
+    cols = ROW_KEY + ["kind", "split", "billings"] + REFERENCE_FEATURES
+    allrows = hist.select(*cols).unionByName(future.select(*cols)).unionByName(template.select(*cols))
+    modeled = hist.select(*KEY).distinct()
+    allrows = allrows.join(modeled, KEY, "left_semi")
+    scaled = MD.scale_by_store(allrows, REFERENCE_FEATURES,
+                               (F.col("kind") == "history") & (F.col("split") == "train"))
+    return scaled.withColumn("store_id", F.concat_ws("_", *KEY))
+
+
+def scoring_path(spark, sf_dir):
+    """The scoring table written once per session, partitioned by store."""
+    key = (spark.sparkContext.applicationId, sf_dir, "scoring")
+    if key not in _FLEETS:
+        path = scratch_path(spark, "scoring")
+        scoring_table(spark, sf_dir).write.mode("overwrite").partitionBy("store_id").parquet(path)
+        _FLEETS[key] = path
+    return _FLEETS[key]
+
+
+def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams()):
+    """One per-store training run per session: returns paths, fit records,
+    results and importances."""
+    key = (spark.sparkContext.applicationId, sf_dir, max_stores, params)
+    if key in _FLEETS:
+        return _FLEETS[key]
+    table_path = scoring_path(spark, sf_dir)
+    root = scratch_path(spark, "fleet")
+    table = spark.read.parquet(table_path)
+    stores = V.limit_stores(table.filter(F.col("kind") == "history").select(*KEY).distinct(), max_stores)
+    store_ids = [r[0] for r in stores.select(F.concat_ws("_", *KEY)).collect()]   # the fit loop's work list
+    fits = MD.fit_store_forests(spark, table_path, store_ids, REFERENCE_FEATURES, root,
+                                params=params, parallelism=PARALLELISM)
+    ok = [f["store_id"] for f in fits if f["status"] == "success"]
+    scores = MD.read_scores(spark, root) if ok else None
+    hist_scores = scores.filter(F.col("kind") == "history") if scores is not None else None
+    res = (EV.model_results(hist_scores, n_features=len(REFERENCE_FEATURES)) if hist_scores is not None
+           else None)
+    out = {"root": root, "table": table_path, "fits": fits, "store_ids": store_ids, "scores": scores,
+           "results": res, "importances": MD.importances_frame(spark, fits, REFERENCE_FEATURES)}
+    _FLEETS[key] = out
+    return out
+
+
+def _results_with_paths(spark, fl):
+    paths = spark.createDataFrame([(f["store_id"], f["model_path"]) for f in fl["fits"]],
+                                  "store_id string, model_path string")
+    return fl["results"].withColumn("store_id", F.concat_ws("_", *KEY)).join(paths, "store_id", "left")
+
+
+@register("store_forest")
+def q_store_forest(spark, sf_dir):
+    """M3: one forest per store; per-store train/test metrics and label."""
+    fl = fleet(spark, sf_dir)
+    return _results_with_paths(spark, fl)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """M7: importance of each feature in each store's forest."""
+    return fleet(spark, sf_dir)["importances"]
+
+
+@register("train_all_stores")
+def q_train_all_stores(spark, sf_dir):
+    """M8: the training run summary over every store (attempted, successful,
+    success rate, mean/std/best R2 and SMAPE, target flags)."""
+    fl = fleet(spark, sf_dir)
+    summary = EV.training_summary(fl["results"], V.store_sizes(sales(spark, sf_dir), 1))
+    flags = EV.target_achievement(summary).drop("avg_r2", "avg_smape").first().asDict()   # one row
+    return summary.withColumns({c: F.lit(v) for c, v in flags.items()})
+
+
+@register("model_registry")
+def q_model_registry(spark, sf_dir):
+    """One registry row per stored model."""
+    fl = fleet(spark, sf_dir)
+    r = _results_with_paths(spark, fl)
+    return r.select("store_code", "partner_code", F.col("model_path").alias("model_file"),
+                    F.col("test_mae").alias("mae"), F.col("test_rmse").alias("rmse"),
+                    F.array(*[F.lit(c) for c in REFERENCE_FEATURES]).alias("features"),
+                    "train_samples", F.col("test_samples").alias("val_samples"),
+                    F.lit(VERSION).alias("version"))
+
+
+def _forecast_rows(spark, sf_dir, fl):
+    st = FC.history_stats(sales(spark, sf_dir).select(*KEY, "date", "billings"))
+    fut = fl["scores"].filter(F.col("kind") == "future").join(st.select(*KEY, "hist_mean", "hist_std"), KEY)
+    fut = fut.withColumn("predicted_billings", F.greatest(F.expm1("prediction"), F.lit(0.0)))
+    return FC.confidence_band(fut)
+
+
+@register("forecast_store")
+def q_forecast_store(spark, sf_dir):
+    """M9: the horizon forecast of one store (the largest) with its band."""
+    s = sales(spark, sf_dir)
+    top = V.store_sizes(s).orderBy(F.desc("n_rows"), *KEY).first()
+    f = _forecast_rows(spark, sf_dir, fleet(spark, sf_dir))
+    f = V.filter_store(f, top["partner_code"], top["store_code"])
+    return f.select("date", "predicted_billings", "confidence_lower", "confidence_upper", *KEY)
+
+
+@register("bulk_forecast_forest")
+def q_bulk_forecast_forest(spark, sf_dir):
+    """M12 with the forests: every store's horizon forecast, band, quality
+    and test metrics."""
+    fl = fleet(spark, sf_dir)
+    f = _forecast_rows(spark, sf_dir, fl).join(
+        fl["results"].select(*KEY, F.col("quality").alias("model_quality"), "test_r2", "test_smape"), KEY)
+    return f.select("date", "predicted_billings", "confidence_lower", "confidence_upper", *KEY,
+                    F.concat_ws("_", *KEY).alias("store_key"), "model_quality", "test_r2", "test_smape")
+
+
+@register("generate_forecast")
+def q_generate_forecast(spark, sf_dir):
+    """Template rows -> features -> forest -> daily rows with day name,
+    month and quarter."""
+    t = fleet(spark, sf_dir)["scores"].filter(F.col("kind") == "template")
+    return t.select(F.date_format("date", "yyyy-MM-dd").alias("date"), *KEY,
+                    F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted_monto"),
+                    F.date_format("date", "EEEE").alias("day_of_week"), F.month("date").alias("month"),
+                    F.quarter("date").alias("quarter"))
+
+
+@register("backtest_forest")
+def q_backtest_forest(spark, sf_dir):
+    """M17 with the forests: the last 5 history rows of each store."""
+    h = fleet(spark, sf_dir)["scores"].filter(F.col("kind") == "history")
+    bt = EV.backtest_recent(h, F.expm1("billings"), F.expm1("prediction"), 5)
+    return bt.select(*ROW_KEY, "actual", "predicted", "error", "error_pct")
+
+
+@register("run_log_forest")
+def q_run_log_forest(spark, sf_dir):
+    """S8 for the forest run: long params / metrics / tags rows."""
+    fl = fleet(spark, sf_dir)
+    p = MD.ForestParams()
+    params = {"model_type": "random_forest", "n_estimators": p.num_trees, "max_depth": p.max_depth,
+              "min_samples_leaf": p.min_instances_per_node, "max_features": p.feature_subset,
+              "random_state": p.seed, "min_samples": 1, "max_stores": "all"}
+    runs, metrics, params_t, tags = run_tables(spark, sf_dir, fl["results"], run_name="random_forest",
+                                               parent_params=params)
+    m = metrics.select("run_id", F.lit("metric").alias("kind"), "key", F.col("value").alias("value_double"),
+                       F.lit(None).cast("string").alias("value_text"))
+    pr = params_t.select("run_id", F.lit("param").alias("kind"), "key",
+                         F.lit(None).cast("double").alias("value_double"), F.col("value").alias("value_text"))
+    t = tags.select("run_id", F.lit("tag").alias("kind"), "key", F.lit(None).cast("double").alias("value_double"),
+                    F.col("value").alias("value_text"))
+    return m.unionByName(pr).unionByName(t)
+
+
+@register("store_forest_pooled")
+def q_store_forest_pooled(spark, sf_dir):
+    """M3/M8 for very large fleets: one distributed forest for all stores,
+    evaluated per store with the same metrics."""
+    table = spark.read.parquet(scoring_path(spark, sf_dir))
+    scores, _ = MD.fit_pooled_forest(table, REFERENCE_FEATURES)
+    return EV.model_results(scores.filter(F.col("kind") == "history"), n_features=len(REFERENCE_FEATURES) + 2)
