@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.functions.exprs import quality_label, smape_term
-from storecast.operators.series import positions
+from storecast.operators.series import UNSET, positions
 from storecast.sources.tables import STORE_KEY, TIE_BREAK
 
 # Fixed values of the reference: split share, minimum rows per store, targets.
@@ -28,11 +28,12 @@ METRIC_DIGITS = 6
 
 def temporal_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION,
                    min_rows: int = MIN_STORE_ROWS, key: Sequence[str] = STORE_KEY,
-                   order: Sequence[str] = ORDER, chunk_rows: int | None = None) -> DataFrame:
+                   order: Sequence[str] = ORDER, chunk_rows: int | None = None,
+                   hot=UNSET) -> DataFrame:
     """M1: first floor(f * n) rows of each store are 'train', the rest
     'test'; stores with fewer than ``min_rows`` rows are left out."""
     from storecast.operators.series import DEFAULT_CHUNK_ROWS
-    p = positions(df, key, order, chunk_rows or DEFAULT_CHUNK_ROWS)
+    p = positions(df, key, order, chunk_rows or DEFAULT_CHUNK_ROWS, hot=hot)
     split = F.when(F.col("_pos") <= F.floor(F.lit(train_fraction) * F.col("_cnt")), "train").otherwise("test")
     return p.filter(F.col("_cnt") >= min_rows).withColumn("split", split).drop("_pos", "_cnt")
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from storecast.functions.exprs import ZERO_GUARD, keep_null
 from storecast.functions.stats import exact_quantiles
-from storecast.operators.series import CHUNK, chunk_series, home_rows
+from storecast.operators.series import CHUNK, UNSET, chunk_series, home_rows
 from storecast.sources.tables import STORE_KEY, TIE_BREAK
 
 # Fixed values of the reference: window sizes and lags of each feature family.
@@ -218,7 +218,7 @@ def feature_names(families: Sequence[str] = FAMILIES, y_prefix: str = "billings"
 def series_features(df: DataFrame, y: str = "billings", families: Sequence[str] = FAMILIES,
                     key: Sequence[str] = STORE_KEY, order: Sequence[str] = ("date",) + TIE_BREAK,
                     y_prefix: str | None = None, chunk_rows: int | None = None,
-                    hot_rows: int | None = None) -> DataFrame:
+                    hot_rows: int | None = None, hot=UNSET) -> DataFrame:
     """Add the rolling/lag features of ``families`` on column ``y``.
 
     Lag helper columns that are not requested are dropped again.  With
@@ -235,7 +235,7 @@ def series_features(df: DataFrame, y: str = "billings", families: Sequence[str]
             lag_ks |= set(ks)
     needed_lags = {f"{prefix}_lag_{k}" for k in lag_ks}
     base = chunk_series(df, key, order[0], LOOKBACK,
-                        chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows)
+                        chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows, hot)
     w = Window.partitionBy(*key, CHUNK).orderBy(*order)
     stages, helpers = _staged_columns(y, prefix, families, w, needed_lags)
     out = base

@@ -35,20 +35,24 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 HOME = "_home"
 DEFAULT_CHUNK_ROWS = 20_000_000
+UNSET = object()      # "hot keys not computed yet" (None means "there are none")
 
 
 def chunk_series(df: DataFrame, key: Sequence[str], date_col: str, lookback: int,
                  chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, hot=UNSET) -> DataFrame:
     """Add ``_chunk`` (int) and ``_home`` (bool); halo copies have
-    ``_home = false``.  ``chunk_rows=None`` disables splitting."""
+    ``_home = false``.  ``chunk_rows=None`` disables splitting.  ``hot`` may
+    carry a hot-key table computed upstream (on the raw input, which is
+    cheaper than re-deriving a computed frame just to count its rows)."""
     key = list(key)
     if chunk_rows is None:
         return df.withColumns({CHUNK: F.lit(0), HOME: F.lit(True)})
     hot_rows = hot_rows or chunk_rows
     d = F.col(date_col)
 
-    hot = hot_keys(df, key, date_col, chunk_rows, hot_rows)
+    if hot is UNSET:
+        hot = hot_keys(df, key, date_col, chunk_rows, hot_rows)
     if hot is None:                      # the usual case: one chunk per key
         return df.withColumns({CHUNK: F.lit(0), HOME: F.lit(True)})
 
@@ -123,17 +127,20 @@ def home_rows(df: DataFrame) -> DataFrame:
 
 
 def positions(df: DataFrame, key: Sequence[str], order: Sequence[str],
-              chunk_rows: int | None = DEFAULT_CHUNK_ROWS, hot_rows: int | None = None) -> DataFrame:
+              chunk_rows: int | None = DEFAULT_CHUNK_ROWS, hot_rows: int | None = None,
+              hot=UNSET) -> DataFrame:
     """Add ``_pos`` (1-based row number in the key's order) and ``_cnt`` (rows
     of the key) without putting a hot key into one task: rows are numbered
     within (key, chunk) and shifted by the rows of the key's earlier chunks,
     taken from a per-(key, chunk) count table."""
     key = list(key)
-    if chunk_rows is None or hot_keys(df, key, order[0], chunk_rows, hot_rows) is None:
+    if hot is UNSET and chunk_rows is not None:
+        hot = hot_keys(df, key, order[0], chunk_rows, hot_rows)
+    if chunk_rows is None or hot is None:
         w = Window.partitionBy(*key)
         return df.withColumns({"_pos": F.row_number().over(w.orderBy(*order)),
                                "_cnt": F.count(F.lit(1)).over(w)})
-    c = chunk_series(df, key, order[0], 0, chunk_rows, hot_rows).drop(HOME)
+    c = chunk_series(df, key, order[0], 0, chunk_rows, hot_rows, hot).drop(HOME)
     counts = c.groupBy(*key, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*key)
     counts = counts.select(

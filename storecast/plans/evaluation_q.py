@@ -29,8 +29,9 @@ D = EV.METRIC_DIGITS
 def predictions(spark, sf_dir):
     """Feature table -> complete rows (P12) -> temporal split (M1) ->
     seasonal naive prediction."""
-    f = V.drop_null_rows(feature_table(spark, sf_dir), REFERENCE_FEATURES + ["billings"])
-    return EV.temporal_split(f).withColumn("prediction", F.col(PREDICTOR_COL))
+    f, hot = feature_table(spark, sf_dir, with_hot=True)
+    f = V.drop_null_rows(f, REFERENCE_FEATURES + ["billings"])
+    return EV.temporal_split(f, hot=hot).withColumn("prediction", F.col(PREDICTOR_COL))
 
 
 def results(spark, sf_dir):

@@ -90,9 +90,18 @@ def q_feat_calendar(spark, sf_dir):
     return FE.calendar_features(sales(spark, sf_dir).select(*ROW_KEY))
 
 
-def feature_table(spark, sf_dir, families=FE.FAMILIES):
+def input_hot_keys(x):
+    """Hot stores of the model input, computed once and passed down."""
+    from storecast.operators.series import DEFAULT_CHUNK_ROWS, hot_keys
+    return hot_keys(x, ["partner_code", "store_code"], "date", DEFAULT_CHUNK_ROWS)
+
+
+def feature_table(spark, sf_dir, families=FE.FAMILIES, with_hot=False):
     """Model input + calendar + all rolling features, per store."""
-    return FE.series_features(FE.calendar_features(model_input(spark, sf_dir)), "billings", families)
+    x = model_input(spark, sf_dir)
+    hot = input_hot_keys(x)
+    f = FE.series_features(FE.calendar_features(x), "billings", families, hot=hot)
+    return (f, hot) if with_hot else f
 
 
 ALL_NAMES = FE.feature_names(FE.FAMILIES)

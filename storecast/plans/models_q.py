@@ -18,10 +18,10 @@ from storecast.operators import forecast as FC
 from storecast.operators import models as MD
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
-from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, model_input
+from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, input_hot_keys, model_input
 from storecast.plans.forecast_q import HORIZON_DAYS, TEMPLATE_DAYS, template_start
 from storecast.plans.runs_q import run_tables
-from storecast.session import scratch_path
+from storecast.session import cut_lineage, scratch_path
 from storecast.sources.tables import sales
 
 KEY = ["partner_code", "store_code"]
@@ -38,19 +38,25 @@ def scoring_table(spark, sf_dir):
     """History rows (split), future-horizon rows and template rows with the
     31 model features, scaled per store."""
     h = model_input(spark, sf_dir)
+    hot = input_hot_keys(h)
+    a = FE.series_features(FE.calendar_features(h), "billings", FE.REFERENCE_FAMILIES, hot=hot)
+    hist = EV.temporal_split(V.drop_null_rows(a, REFERENCE_FEATURES + ["billings"]), hot=hot)
+    # written once: the scaling below reads it twice (stats and rows)
+    hist = cut_lineage(hist.withColumn("kind", F.lit("history")))
+    # rows appended after the history only look back FE.LOOKBACK rows, so
+    # their features come from each store's last LOOKBACK history rows
+    tail = V.recent_rows(h, FE.LOOKBACK).withColumn("_new", F.lit(False))
     st = FC.history_stats(h)
     fut = (FC.store_calendar(st.withColumn("start_date", F.date_add("last_date", 1)), HORIZON_DAYS)
-           .select(*KEY, "date", F.lit(True).alias("_future")))
-    a = _features(h.withColumn("_future", F.lit(False)).unionByName(fut, allowMissingColumns=True))
-    hist = EV.temporal_split(V.drop_null_rows(a.filter(~F.col("_future")), REFERENCE_FEATURES + ["billings"]))
-    hist = hist.withColumn("kind", F.lit("history"))
-    future = a.filter(F.col("_future")).withColumns({"kind": F.lit("future"), "split": F.lit(None).cast("string")})
+           .select(*KEY, "date", F.lit(True).alias("_new")))
+    fa = _features(tail.unionByName(fut, allowMissingColumns=True))
+    future = fa.filter(F.col("_new")).withColumns({"kind": F.lit("future"), "split": F.lit(None).cast("string")})
     raw = sales(spark, sf_dir).select(*ROW_KEY, "billings", "miles")
     tpl = FC.future_template(raw, template_start(spark, sf_dir), TEMPLATE_DAYS)
     tpl_in = FE.log_target(FE.target_transform(
-        tpl.select(*KEY, "date", "billings", "miles").withColumn("_tpl", F.lit(True)), "billings"), "billings")
-    b = _features(h.withColumn("_tpl", F.lit(False)).unionByName(tpl_in, allowMissingColumns=True))
-    template = b.filter(F.col("_tpl")).withColumns({"kind": F.lit("template"), "split": F.lit(None).cast("string")})
+        tpl.select(*KEY, "date", "billings", "miles").withColumn("_new", F.lit(True)), "billings"), "billings")
+    fb = _features(tail.unionByName(tpl_in, allowMissingColumns=True))
+    template = fb.filter(F.col("_new")).withColumns({"kind": F.lit("template"), "split": F.lit(None).cast("string")})
     cols = ROW_KEY + ["kind", "split", "billings"] + REFERENCE_FEATURES
     allrows = hist.select(*cols).unionByName(future.select(*cols)).unionByName(template.select(*cols))
     modeled = hist.select(*KEY).distinct()
