@@ -64,3 +64,20 @@ def exact_quantiles(df: DataFrame, c: str, probs: list[float],
         v_hi = v_lo if hi == lo else _kth(data, c, hi, n, exact_limit, accuracy)
         out.append(v_lo + (v_hi - v_lo) * (pos - lo))
     return out
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                     exact_limit: int = EXACT_LIMIT) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns: one ``percentile`` pass while the
+    table is small, the bracketing search per column beyond ``exact_limit``
+    rows."""
+    if not cols:
+        return {}
+    n = df.count()
+    if n <= exact_limit:
+        row = df.agg(*[F.percentile(F.col(c).cast("double"),
+                                    F.array(*[F.lit(float(p)) for p in probs])).alias(c)
+                       for c in cols]).first()
+        return {c: (list(row[c]) if row[c] is not None else [None for _ in probs]) for c in cols}
+    return {c: exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, probs, exact_limit)
+            for c in cols}

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storecast.functions.exprs import ZERO_GUARD, keep_null
-from storecast.functions.stats import exact_quantiles
+from storecast.functions.stats import column_quantiles, exact_quantiles
 from storecast.operators.series import CHUNK, UNSET, chunk_series, home_rows
 from storecast.sources.tables import STORE_KEY, TIE_BREAK
 
@@ -405,7 +405,7 @@ def median_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     null)."""
     inf = float("inf")
     clean = df.withColumns({c: F.when(F.abs(F.col(c)) != F.lit(inf), F.col(c)) for c in cols})
-    med = clean.agg(*[F.median(c).alias(c) for c in cols]).first().asDict() if cols else {}
+    med = {c: q[0] for c, q in column_quantiles(clean, list(cols), [0.5]).items()}
     return clean.withColumns({c: F.coalesce(F.col(c), F.lit(med.get(c) if med.get(c) is not None else 0.0))
                               for c in cols})
 

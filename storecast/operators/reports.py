@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storecast.functions.exprs import scalar_row, weekday_name
-from storecast.functions.stats import exact_quantiles
+from storecast.functions.stats import column_quantiles, exact_quantiles
 
 MONEY_DIGITS = 4
 STAT_DIGITS = 6
@@ -38,8 +38,10 @@ def profile_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         c = F.col(f.name).cast("double")
         aggs += [F.count(c).alias(f"{f.name}__n"), F.avg(c).alias(f"{f.name}__mean"),
                  F.stddev_samp(c).alias(f"{f.name}__std"), F.min(c).alias(f"{f.name}__min"),
-                 F.max(c).alias(f"{f.name}__max"),
-                 F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{f.name}__q")]
+                 F.max(c).alias(f"{f.name}__max")]
+    # exact quartiles: one pass when small, distributed bracketing when large
+    qs = column_quantiles(df, [f.name for f in fields], [0.25, 0.5, 0.75])
+    aggs += [F.array(*[F.lit(v).cast("double") for v in qs[f.name]]).alias(f"{f.name}__q") for f in fields]
     wide = df.agg(*aggs)
     rows = [F.struct(
         F.lit(f.name).alias("column_name"),
