@@ -411,18 +411,52 @@ def median_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def bfill_ffill_zero(df: DataFrame, cols: Sequence[str], key: Sequence[str] = STORE_KEY,
-                     order: Sequence[str] = ("date",) + TIE_BREAK) -> DataFrame:
-    """T7 per store: +-inf -> null, back fill, then forward fill, then 0."""
-    # back fill = running "last non-null" in reverse order: a growing frame,
-    # computed incrementally (an unbounded-following frame would be quadratic)
-    before = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    after = (Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-             .rowsBetween(Window.unboundedPreceding, 0))
+                     order: Sequence[str] = ("date",) + TIE_BREAK, chunk_rows: int | None = None,
+                     hot_rows: int | None = None, hot=UNSET) -> DataFrame:
+    """T7 per store: +-inf -> null, back fill, then forward fill, then 0.
+
+    Fills are running "last non-null" values (forward and in reverse order:
+    growing frames, computed incrementally).  Hot stores are chunked; the
+    value carried across a chunk border comes from a per-(store, chunk)
+    table of first/last non-null values (bounded: stores + hot chunks)."""
+    from storecast.operators.series import DEFAULT_CHUNK_ROWS
+    key = list(key)
     inf = float("inf")
     out = df.withColumns({c: F.when(F.abs(F.col(c)) != F.lit(inf), F.col(c)) for c in cols})
-    return out.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(after),
-                                          F.last(c, ignorenulls=True).over(before),
-                                          F.lit(0).cast(out.schema[c].dataType)) for c in cols})
+    chunk = chunk_rows or DEFAULT_CHUNK_ROWS
+    if hot is UNSET:
+        from storecast.operators.series import hot_keys
+        hot = hot_keys(out, key, order[0], chunk, hot_rows)
+    if hot is None:                  # one chunk per store: nothing to carry
+        w = Window.partitionBy(*key)
+        before = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        after = w.orderBy(*[F.col(o).desc() for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+        return out.withColumns({x: F.coalesce(F.last(x, ignorenulls=True).over(after),
+                                              F.last(x, ignorenulls=True).over(before),
+                                              F.lit(0).cast(out.schema[x].dataType)) for x in cols})
+    c = chunk_series(out, key, order[0], 0, chunk, hot_rows, hot).drop("_home")
+    part = key + [CHUNK]
+    before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    after = (Window.partitionBy(*part).orderBy(*[F.col(o).desc() for o in order])
+             .rowsBetween(Window.unboundedPreceding, 0))
+    filled = c.withColumns({f"_b_{x}": F.last(x, ignorenulls=True).over(after) for x in cols}).withColumns(
+        {f"_f_{x}": F.last(x, ignorenulls=True).over(before) for x in cols})
+    pos = F.struct(*[F.col(o) for o in order])
+    edges = c.groupBy(*part).agg(
+        *[F.min_by(x, F.when(F.col(x).isNotNull(), pos)).alias(f"_first_{x}") for x in cols],
+        *[F.max_by(x, F.when(F.col(x).isNotNull(), pos)).alias(f"_last_{x}") for x in cols])
+    wk = Window.partitionBy(*key).orderBy(CHUNK)
+    carry = edges.select(
+        *part,
+        *[F.first(f"_first_{x}", ignorenulls=True).over(wk.rowsBetween(1, Window.unboundedFollowing))
+          .alias(f"_cb_{x}") for x in cols],
+        *[F.last(f"_last_{x}", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1))
+          .alias(f"_cf_{x}") for x in cols])
+    res = filled.join(carry, part, "left")
+    res = res.withColumns({x: F.coalesce(F.col(f"_b_{x}"), F.col(f"_cb_{x}"), F.col(f"_f_{x}"),
+                                         F.col(f"_cf_{x}"), F.lit(0).cast(out.schema[x].dataType))
+                           for x in cols})
+    return res.drop(CHUNK, *[f"_{p}_{x}" for p in ("b", "f", "cb", "cf") for x in cols])
 
 
 def bfill_ffill_sql(cols: Sequence[str], key=STORE_KEY, order=("date",) + TIE_BREAK) -> list[str]:
@@ -437,12 +471,15 @@ def preprocess(df: DataFrame, target: str = "billings", outlier_bounds=None, fil
     """Outlier fence (fitted bounds) -> T4 clamp -> T3 log + W1 +
     rolling features per store -> optional T7 (``fill='bfill_ffill'``).
     With the default clamp the model target is log1p(max(billings, 0.1))."""
+    from storecast.operators.series import DEFAULT_CHUNK_ROWS, hot_keys
+    chunk = chunk_rows or DEFAULT_CHUNK_ROWS
     x = apply_bounds(df, outlier_bounds, target)
+    hot = hot_keys(x, STORE_KEY, "date", chunk)
     x = target_transform(x, target)
     x = log_target(x, target)
     x = calendar_features(x)
-    x = series_features(x, target, families, chunk_rows=chunk_rows)
+    x = series_features(x, target, families, chunk_rows=chunk, hot=hot)
     if fill == "bfill_ffill":
         feats = [c for c in feature_names(families, target) if c in x.columns]
-        x = bfill_ffill_zero(x, feats)
+        x = bfill_ffill_zero(x, feats, chunk_rows=chunk, hot=hot)
     return x

@@ -15,6 +15,7 @@ from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.sql import DataFrame
 
 from storecast.operators import features as FE
+from storecast.sources.tables import STORE_KEY
 
 
 class IQRBoundsModel(Model):
@@ -66,11 +67,14 @@ class FeatureEngineer(Transformer):
         self.target, self.families, self.fill, self.chunk_rows = target, list(families), fill, chunk_rows
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        from storecast.operators.series import DEFAULT_CHUNK_ROWS, hot_keys
+        chunk = self.chunk_rows or DEFAULT_CHUNK_ROWS
+        hot = hot_keys(dataset, STORE_KEY, "date", chunk)     # once, on the input
         x = FE.log_target(dataset, self.target)
         x = FE.calendar_features(x)
-        x = FE.series_features(x, self.target, self.families, chunk_rows=self.chunk_rows)
+        x = FE.series_features(x, self.target, self.families, chunk_rows=chunk, hot=hot)
         if self.fill == "bfill_ffill":
-            x = FE.bfill_ffill_zero(x, FE.feature_names(self.families, self.target))
+            x = FE.bfill_ffill_zero(x, FE.feature_names(self.families, self.target), chunk_rows=chunk, hot=hot)
         return x
 
 

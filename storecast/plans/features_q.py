@@ -218,7 +218,8 @@ IMPUTE_COLS = [f"billings_trend_{n}" for n in FE.TREND_WINDOWS] + \
     + ", ".join(f"round(coalesce({c}, coalesce(m_{c}, 0)), 6) as {c}" for c in IMPUTE_COLS)
     + " from f, m"))
 def q_median_impute(spark, sf_dir):
-    f = FE.series_features(model_input(spark, sf_dir), "billings", FE.FAMILIES)
+    x = model_input(spark, sf_dir)
+    f = FE.series_features(x, "billings", FE.FAMILIES, hot=input_hot_keys(x))
     out = FE.median_impute(f.select(*ROW_KEY, *IMPUTE_COLS), IMPUTE_COLS)
     return out.select(*ROW_KEY, *_round(IMPUTE_COLS))
 
@@ -234,8 +235,10 @@ FILL_COLS = [c for c in REFERENCE_FEATURES if c.startswith("billings_")]
                 for e, c in zip(FE.bfill_ffill_sql(FILL_COLS), FILL_COLS))
     + " from f"))
 def q_bfill_ffill_zero(spark, sf_dir):
-    f = FE.series_features(model_input(spark, sf_dir), "billings", FE.FAMILIES)
-    out = FE.bfill_ffill_zero(f.select(*ROW_KEY, *FILL_COLS), FILL_COLS)
+    x = model_input(spark, sf_dir)
+    hot = input_hot_keys(x)
+    f = FE.series_features(x, "billings", FE.FAMILIES, hot=hot)
+    out = FE.bfill_ffill_zero(f.select(*ROW_KEY, *FILL_COLS), FILL_COLS, hot=hot)
     return out.select(*ROW_KEY, *_round(FILL_COLS))
 
 

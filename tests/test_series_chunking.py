@@ -35,3 +35,22 @@ def test_chunking_actually_splits(spark):
     # halo copies exist and are never home rows of their target chunk
     assert c.filter(~F.col("_home")).count() > 0
     assert c.filter("_home").count() == x.count()
+
+
+def test_fill_chunked_equals_plain(spark):
+    x = model_input(spark, SF_SMALL)
+    f = FE.series_features(x, "billings", ["autocorr", "rank"], chunk_rows=None)
+    cols = [c for c in f.columns if c.startswith("billings_autocorr") or c.startswith("billings_rank")]
+    plain = FE.bfill_ffill_zero(f, cols, chunk_rows=None)
+    split = FE.bfill_ffill_zero(f, cols, chunk_rows=40, hot_rows=100)
+    assert _rows(split, ROW_KEY + cols) == _rows(plain, ROW_KEY + cols)
+
+
+def test_positions_chunked_equals_plain(spark):
+    from storecast.operators.series import positions
+    x = model_input(spark, SF_SMALL)
+    order = ["date", "l_orderkey", "l_linenumber", "l_partkey"]
+    a = positions(x, ["partner_code", "store_code"], order, chunk_rows=None)
+    b = positions(x, ["partner_code", "store_code"], order, chunk_rows=40, hot_rows=100)
+    cols = ROW_KEY + ["_pos", "_cnt"]
+    assert _rows(a, cols) == _rows(b, cols)
