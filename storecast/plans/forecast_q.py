@@ -275,7 +275,7 @@ select partner_code, store_code, round(sum(predicted_billings), 4) as total_fore
        round(case when any_value(hist_mean) > 0
                   then (avg(predicted_billings) - any_value(hist_mean)) / any_value(hist_mean) * 100 else 0.0 end, 4)
          as trend_vs_historical_pct,
-       {HORIZON_DAYS} as forecast_period_days, {FC.CONFIDENCE_LEVEL} as confidence_level
+       {HORIZON_DAYS} as forecast_period_days, cast({FC.CONFIDENCE_LEVEL} as double) as confidence_level
 from fc group by 1, 2""")
 def q_forecast_summary(spark, sf_dir):
     s = FC.forecast_summary(baseline(spark, sf_dir), HORIZON_DAYS)
