@@ -80,7 +80,11 @@ def pred_vs_real(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("city").alias("ciudad"), F.col("store_id").alias("tienda"),
                     F.col("date").alias("fecha"))
            .agg(F.sum("billings").alias("ventas_reales")))
-    w = Window.partitionBy("tienda").orderBy("fecha")
+    # partner, country and city are fixed per store, so partitioning by them
+    # too changes nothing, but lets filters on them move below the window
+    # (and into the scans); a date filter must stay above it (the lag needs
+    # the earlier days)
+    w = Window.partitionBy("tienda", "partner", "pais", "ciudad").orderBy("fecha")
     return day.select(
         "partner", "pais", "ciudad", "tienda", "fecha",
         F.round("ventas_reales", 4).alias("ventas_reales"),
