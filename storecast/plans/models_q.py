@@ -76,16 +76,19 @@ def scoring_path(spark, sf_dir):
     return _FLEETS[key]
 
 
-def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams()):
-    """One per-store training run per session: returns paths, fit records,
-    results and importances."""
-    key = (spark.sparkContext.applicationId, sf_dir, max_stores, params)
+def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams(), min_samples=1):
+    """One per-store training run per session (M8): stores with at least
+    ``min_samples`` rows (J1), the first ``max_stores`` of them (A16); returns
+    paths, fit records, results and importances."""
+    key = (spark.sparkContext.applicationId, sf_dir, max_stores, params, min_samples)
     if key in _FLEETS:
         return _FLEETS[key]
     table_path = scoring_path(spark, sf_dir)
     root = scratch_path(spark, "fleet")
     table = spark.read.parquet(table_path)
-    stores = V.limit_stores(table.filter(F.col("kind") == "history").select(*KEY).distinct(), max_stores)
+    sized = V.store_sizes(sales(spark, sf_dir), min_samples).select(*KEY)
+    modeled = table.filter(F.col("kind") == "history").select(*KEY).distinct()
+    stores = V.limit_stores(modeled.join(sized, KEY, "left_semi"), max_stores)
     store_ids = [r[0] for r in stores.select(F.concat_ws("_", *KEY)).collect()]   # the fit loop's work list
     fits = MD.fit_store_forests(spark, table_path, store_ids, REFERENCE_FEATURES, root,
                                 params=params, parallelism=PARALLELISM)
