@@ -34,3 +34,12 @@ def test_scan_prunes_columns(spark):
     plan = _plan(E.queries()["sales_by_country"](spark, SF_SMALL))
     li = [l for l in plan.splitlines() if "lineitem" in l and "ReadSchema" in l][0]
     assert "l_quantity" not in li and "l_tax" not in li
+
+
+def test_evaluation_pipeline_single_shuffle(spark):
+    """Features, the split's row numbers/counts and the per-store metrics all
+    reuse one hash partitioning by store."""
+    from storecast.operators import evaluation as EV
+    from storecast.plans.evaluation_q import predictions
+    plan = _plan(EV.model_results(predictions(spark, SF_SMALL)))
+    assert plan.count("Exchange hashpartitioning") == 1
