@@ -27,7 +27,14 @@ from storecast.sources.tables import sales
 KEY = ["partner_code", "store_code"]
 VERSION = "0.1.0"
 _FLEETS: dict[tuple, dict] = {}
-PARALLELISM = int(os.environ.get("STORECAST_FIT_THREADS", "8"))
+MAX_FIT_THREADS = 64
+
+
+def fit_threads(spark) -> int:
+    """Concurrent store fits: one per core of the session, at most 64 (each
+    fit is a sequence of small jobs driven from the driver)."""
+    env = os.environ.get("STORECAST_FIT_THREADS")
+    return int(env) if env else max(1, min(MAX_FIT_THREADS, spark.sparkContext.defaultParallelism))
 
 
 def _features(x):
@@ -91,7 +98,7 @@ def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams(), min_samples=
     stores = V.limit_stores(modeled.join(sized, KEY, "left_semi"), max_stores)
     store_ids = [r[0] for r in stores.select(F.concat_ws("_", *KEY)).collect()]   # the fit loop's work list
     fits = MD.fit_store_forests(spark, table_path, store_ids, REFERENCE_FEATURES, root,
-                                params=params, parallelism=PARALLELISM)
+                                params=params, parallelism=fit_threads(spark))
     ok = [f["store_id"] for f in fits if f["status"] == "success"]
     scores = MD.read_scores(spark, root) if ok else None
     hist_scores = scores.filter(F.col("kind") == "history") if scores is not None else None
