@@ -74,3 +74,17 @@ def scalar_row(df: DataFrame) -> dict:
     """Collect a one-row aggregate (bounded: exactly one row) to the driver."""
     row = df.first()
     return row.asDict() if row is not None else {}
+
+
+def fixed(c: str | Column, digits: int) -> Column:
+    """Round to ``digits`` decimals as floor(x * 10^d + 0.5) / 10^d: plain
+    arithmetic (whole-stage codegen), unlike ``round`` which goes through
+    BigDecimal per value; ``fixed_sql`` is the same expression in SQL, so
+    both engines produce identical doubles."""
+    scale = float(10 ** digits)
+    return F.floor(col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def fixed_sql(expr: str, digits: int) -> str:
+    scale = float(10 ** digits)
+    return f"(floor(({expr}) * {scale!r}::DOUBLE + 0.5) / {scale!r}::DOUBLE)"

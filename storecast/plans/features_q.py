@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from storecast.functions.exprs import fixed, fixed_sql
 from storecast.operators import features as FE
 from storecast.plans.catalog import register
 from storecast.sources.tables import sales
@@ -51,7 +52,11 @@ def model_input(spark, sf_dir):
 
 
 def _round(cols, digits=FEATURE_DIGITS):
-    return [F.round(c, digits).alias(c) for c in cols]
+    return [fixed(c, digits).alias(c) for c in cols]
+
+
+def _rsql(name, digits=FEATURE_DIGITS):
+    return f"{fixed_sql(name, digits)} as {name}"
 
 
 def _family_query(families, keep=None):
@@ -59,13 +64,12 @@ def _family_query(families, keep=None):
 
     def q(spark, sf_dir):
         f = FE.series_features(model_input(spark, sf_dir), "billings", families)
-        return f.select(*ROW_KEY, F.round("billings", FEATURE_DIGITS).alias("billings"), *_round(names))
+        return f.select(*ROW_KEY, *_round(["billings"]), *_round(names))
 
     def sql():
         body = FE.series_features_sql(MODEL_INPUT_SQL, "billings", families, digits=None,
                                       select_cols=ROW_KEY + ["billings"])
-        cols = ", ".join(ROW_KEY + [f"round(billings, {FEATURE_DIGITS}) as billings"]
-                         + [f"round({n}, {FEATURE_DIGITS}) as {n}" for n in names])
+        cols = ", ".join(ROW_KEY + [_rsql("billings")] + [_rsql(n) for n in names])
         return f"select {cols} from ({body}) f"
     return q, sql()
 
@@ -106,10 +110,10 @@ def feature_table(spark, sf_dir, families=FE.FAMILIES, with_hot=False):
 
 ALL_NAMES = FE.feature_names(FE.FAMILIES)
 FEAT_ALL_SQL = (
-    f"select {', '.join(ROW_KEY)}, round(billings, {FEATURE_DIGITS}) as billings, "
-    f"round(billings_original, 4) as billings_original, miles, "
+    f"select {', '.join(ROW_KEY)}, {_rsql('billings')}, "
+    f"{_rsql('billings_original', 4)}, miles, "
     + ", ".join(FE.CALENDAR) + ", "
-    + ", ".join(f"round({n}, {FEATURE_DIGITS}) as {n}" for n in ALL_NAMES)
+    + ", ".join(_rsql(n) for n in ALL_NAMES)
     + " from ("
     + FE.series_features_sql(f"(select *, {FE.calendar_sql('date')} from {MODEL_INPUT_SQL}) c",
                              "billings", FE.FAMILIES, digits=None, select_cols=["*"])
@@ -119,8 +123,7 @@ FEAT_ALL_SQL = (
 @register("feat_all", FEAT_ALL_SQL)
 def q_feat_all(spark, sf_dir):
     f = feature_table(spark, sf_dir)
-    return f.select(*ROW_KEY, F.round("billings", FEATURE_DIGITS).alias("billings"),
-                    F.round("billings_original", 4).alias("billings_original"), "miles",
+    return f.select(*ROW_KEY, *_round(["billings"]), *_round(["billings_original"], 4), "miles",
                     *FE.CALENDAR, *_round(ALL_NAMES))
 
 
@@ -215,7 +218,7 @@ IMPUTE_COLS = [f"billings_trend_{n}" for n in FE.TREND_WINDOWS] + \
                                            select_cols=["*"]) + "), "
     "m as (select " + ", ".join(f"quantile_cont({c}, 0.5) as m_{c}" for c in IMPUTE_COLS) + " from f) "
     f"select {', '.join(ROW_KEY)}, "
-    + ", ".join(f"round(coalesce({c}, coalesce(m_{c}, 0)), 6) as {c}" for c in IMPUTE_COLS)
+    + ", ".join(f"{fixed_sql(f'coalesce({c}, coalesce(m_{c}, 0))', 6)} as {c}" for c in IMPUTE_COLS)
     + " from f, m"))
 def q_median_impute(spark, sf_dir):
     x = model_input(spark, sf_dir)
@@ -231,7 +234,7 @@ FILL_COLS = [c for c in REFERENCE_FEATURES if c.startswith("billings_")]
     "with f as (" + FE.series_features_sql(MODEL_INPUT_SQL, "billings", FE.FAMILIES, digits=None,
                                            select_cols=["*"]) + ") "
     f"select {', '.join(ROW_KEY)}, "
-    + ", ".join(f"round({e.rsplit(' as ', 1)[0]}, 6) as {c}"
+    + ", ".join(f"{fixed_sql(e.rsplit(' as ', 1)[0], 6)} as {c}"
                 for e, c in zip(FE.bfill_ffill_sql(FILL_COLS), FILL_COLS))
     + " from f"))
 def q_bfill_ffill_zero(spark, sf_dir):
@@ -250,9 +253,9 @@ def _pipeline_sql() -> str:
     feats = FE.series_features_sql(f"(select *, {FE.calendar_sql('date')} from {src}) c", "billings",
                                    FE.REFERENCE_FAMILIES, digits=None, select_cols=["*"])
     fills = dict(zip(FILL_COLS, FE.bfill_ffill_sql(FILL_COLS)))
-    cols = [f"round({fills[c].rsplit(' as ', 1)[0]}, 6) as {c}" if c in fills else c
+    cols = [f"{fixed_sql(fills[c].rsplit(' as ', 1)[0], 6)} as {c}" if c in fills else c
             for c in REFERENCE_FEATURES]
-    return (f"select {', '.join(ROW_KEY)}, round(billings, 6) as billings, {', '.join(cols)} "
+    return (f"select {', '.join(ROW_KEY)}, {_rsql('billings')}, {', '.join(cols)} "
             f"from ({feats}) f")
 
 
@@ -262,5 +265,5 @@ def q_preprocess_pipeline(spark, sf_dir):
     s = sales(spark, sf_dir).select(*ROW_KEY, "miles", "billings")
     model = preprocessing_pipeline(families=FE.REFERENCE_FAMILIES, fill="bfill_ffill").fit(s)
     out = model.transform(s)
-    return out.select(*ROW_KEY, F.round("billings", 6).alias("billings"),
-                      *[F.round(c, 6).alias(c) if c in FILL_COLS else F.col(c) for c in REFERENCE_FEATURES])
+    return out.select(*ROW_KEY, *_round(["billings"]),
+                      *[fixed(c, 6).alias(c) if c in FILL_COLS else F.col(c) for c in REFERENCE_FEATURES])
