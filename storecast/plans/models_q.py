@@ -41,15 +41,30 @@ def _features(x):
     return FE.series_features(FE.calendar_features(x), "billings", FE.REFERENCE_FAMILIES)
 
 
-def scoring_table(spark, sf_dir):
+def history_table(spark, sf_dir):
+    """History rows of every store with the 31 features and the train/test
+    split (complete rows only), written once per session: later steps read
+    it several times."""
+    key = (spark.sparkContext.applicationId, sf_dir, "history")
+    if key not in _FLEETS:
+        h = model_input(spark, sf_dir)
+        hot = input_hot_keys(h)
+        a = FE.series_features(FE.calendar_features(h), "billings", FE.REFERENCE_FAMILIES, hot=hot)
+        hist = EV.temporal_split(V.drop_null_rows(a, REFERENCE_FEATURES + ["billings"]), hot=hot)
+        _FLEETS[key] = cut_lineage(hist.withColumn("kind", F.lit("history")))
+    return _FLEETS[key]
+
+
+def scoring_table(spark, sf_dir, stores=None):
     """History rows (split), future-horizon rows and template rows with the
-    31 model features, scaled per store."""
+    31 model features, scaled per store; ``stores`` restricts the table to
+    the stores being trained (features are still built on all rows)."""
+    hist = history_table(spark, sf_dir)
+    if stores is not None:
+        hist = hist.join(stores, KEY, "left_semi")
     h = model_input(spark, sf_dir)
-    hot = input_hot_keys(h)
-    a = FE.series_features(FE.calendar_features(h), "billings", FE.REFERENCE_FAMILIES, hot=hot)
-    hist = EV.temporal_split(V.drop_null_rows(a, REFERENCE_FEATURES + ["billings"]), hot=hot)
-    # written once: the scaling below reads it twice (stats and rows)
-    hist = cut_lineage(hist.withColumn("kind", F.lit("history")))
+    if stores is not None:
+        h = h.join(stores, KEY, "left_semi")
     # rows appended after the history only look back FE.LOOKBACK rows, so
     # their features come from each store's last LOOKBACK history rows
     tail = V.recent_rows(h, FE.LOOKBACK).withColumn("_new", F.lit(False))
@@ -59,6 +74,8 @@ def scoring_table(spark, sf_dir):
     fa = _features(tail.unionByName(fut, allowMissingColumns=True))
     future = fa.filter(F.col("_new")).withColumns({"kind": F.lit("future"), "split": F.lit(None).cast("string")})
     raw = sales(spark, sf_dir).select(*ROW_KEY, "billings", "miles")
+    if stores is not None:
+        raw = raw.join(stores, KEY, "left_semi")
     tpl = FC.future_template(raw, template_start(spark, sf_dir), TEMPLATE_DAYS)
     tpl_in = FE.log_target(FE.target_transform(
         tpl.select(*KEY, "date", "billings", "miles").withColumn("_new", F.lit(True)), "billings"), "billings")
@@ -66,19 +83,31 @@ def scoring_table(spark, sf_dir):
     template = fb.filter(F.col("_new")).withColumns({"kind": F.lit("template"), "split": F.lit(None).cast("string")})
     cols = ROW_KEY + ["kind", "split", "billings"] + REFERENCE_FEATURES
     allrows = hist.select(*cols).unionByName(future.select(*cols)).unionByName(template.select(*cols))
-    modeled = hist.select(*KEY).distinct()
-    allrows = allrows.join(modeled, KEY, "left_semi")
+    allrows = allrows.join(hist.select(*KEY).distinct(), KEY, "left_semi")
     scaled = MD.scale_by_store(allrows, REFERENCE_FEATURES,
                                (F.col("kind") == "history") & (F.col("split") == "train"))
     return scaled.withColumn("store_id", F.concat_ws("_", *KEY))
 
 
-def scoring_path(spark, sf_dir):
-    """The scoring table written once per session, partitioned by store."""
-    key = (spark.sparkContext.applicationId, sf_dir, "scoring")
+def train_stores(spark, sf_dir, max_stores=None, min_samples=1):
+    """Stores to train (M8): at least ``min_samples`` rows (J1) and enough
+    complete rows to split, the first ``max_stores`` of them (A16)."""
+    sized = V.store_sizes(sales(spark, sf_dir), min_samples).select(*KEY)
+    modeled = history_table(spark, sf_dir).select(*KEY).distinct()
+    return V.limit_stores(modeled.join(sized, KEY, "left_semi"), max_stores)
+
+
+def scoring_path(spark, sf_dir, max_stores=None, min_samples=1):
+    """The scoring table of the selected stores, written once per session and
+    partitioned by store."""
+    key = (spark.sparkContext.applicationId, sf_dir, "scoring", max_stores, min_samples)
     if key not in _FLEETS:
+        stores = None
+        if max_stores is not None or min_samples > 1:
+            # the selection is a bounded top-k / filter of the store list
+            stores = cut_lineage(train_stores(spark, sf_dir, max_stores, min_samples))
         path = scratch_path(spark, "scoring")
-        scoring_table(spark, sf_dir).write.mode("overwrite").partitionBy("store_id").parquet(path)
+        scoring_table(spark, sf_dir, stores).write.mode("overwrite").partitionBy("store_id").parquet(path)
         _FLEETS[key] = path
     return _FLEETS[key]
 
@@ -90,12 +119,9 @@ def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams(), min_samples=
     key = (spark.sparkContext.applicationId, sf_dir, max_stores, params, min_samples)
     if key in _FLEETS:
         return _FLEETS[key]
-    table_path = scoring_path(spark, sf_dir)
+    table_path = scoring_path(spark, sf_dir, max_stores, min_samples)
     root = scratch_path(spark, "fleet")
-    table = spark.read.parquet(table_path)
-    sized = V.store_sizes(sales(spark, sf_dir), min_samples).select(*KEY)
-    modeled = table.filter(F.col("kind") == "history").select(*KEY).distinct()
-    stores = V.limit_stores(modeled.join(sized, KEY, "left_semi"), max_stores)
+    stores = train_stores(spark, sf_dir, max_stores, min_samples)
     store_ids = [r[0] for r in stores.select(F.concat_ws("_", *KEY)).collect()]   # the fit loop's work list
     fits = MD.fit_store_forests(spark, table_path, store_ids, REFERENCE_FEATURES, root,
                                 params=params, parallelism=fit_threads(spark))
