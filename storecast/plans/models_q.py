@@ -112,15 +112,27 @@ def scoring_path(spark, sf_dir, max_stores=None, min_samples=1):
     return _FLEETS[key]
 
 
-def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams(), min_samples=1):
+def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams(), min_samples=1, root=None):
     """One per-store training run per session (M8): stores with at least
     ``min_samples`` rows (J1), the first ``max_stores`` of them (A16); returns
-    paths, fit records, results and importances."""
-    key = (spark.sparkContext.applicationId, sf_dir, max_stores, params, min_samples)
+    paths, fit records, results and importances.
+
+    With ``root`` (a folder in the shared file system) the run can be
+    resumed by a new driver: a complete scoring table there is reused and
+    stores whose model and scores are saved are not refitted."""
+    key = (spark.sparkContext.applicationId, sf_dir, max_stores, params, min_samples, root)
     if key in _FLEETS:
         return _FLEETS[key]
-    table_path = scoring_path(spark, sf_dir, max_stores, min_samples)
-    root = scratch_path(spark, "fleet")
+    if root is None:
+        table_path = scoring_path(spark, sf_dir, max_stores, min_samples)
+        root = scratch_path(spark, "fleet")
+    else:
+        table_path = f"{root}/scoring"
+        if not MD.path_exists(spark, f"{table_path}/_SUCCESS"):
+            stores = None
+            if max_stores is not None or min_samples > 1:
+                stores = cut_lineage(train_stores(spark, sf_dir, max_stores, min_samples))
+            scoring_table(spark, sf_dir, stores).write.mode("overwrite").partitionBy("store_id").parquet(table_path)
     stores = train_stores(spark, sf_dir, max_stores, min_samples)
     store_ids = [r[0] for r in stores.select(F.concat_ws("_", *KEY)).collect()]   # the fit loop's work list
     fits = MD.fit_store_forests(spark, table_path, store_ids, REFERENCE_FEATURES, root,

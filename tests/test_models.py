@@ -31,3 +31,16 @@ def test_fleet_resume_gives_same_scores(spark):
     fl = M.fleet(spark, SF_SMALL, max_stores=3)
     again = MD.fit_store_forests(spark, fl["table"], fl["store_ids"], REFERENCE_FEATURES, fl["root"])
     assert [a["importances"] for a in again] == [f["importances"] for f in fl["fits"]]
+
+
+def test_fleet_resumes_from_root(spark):
+    import tempfile
+    import time
+    root = tempfile.mkdtemp(prefix="storecast-fleet-")
+    first = M.fleet(spark, SF_SMALL, max_stores=2, root=root)
+    M._FLEETS.clear()                                   # a new driver: no memo
+    t = time.time()
+    again = M.fleet(spark, SF_SMALL, max_stores=2, root=root)
+    assert [f["importances"] for f in again["fits"]] == [f["importances"] for f in first["fits"]]
+    assert again["results"].count() == 2
+    assert time.time() - t < 60                         # nothing refitted
