@@ -54,3 +54,19 @@ def test_positions_chunked_equals_plain(spark):
     b = positions(x, ["partner_code", "store_code"], order, chunk_rows=40, hot_rows=100)
     cols = ROW_KEY + ["_pos", "_cnt"]
     assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_pipeline_with_every_store_hot(spark, monkeypatch):
+    """End to end (features -> split -> predictions -> per-store metrics)
+    with every store split into small chunks equals the unsplit run."""
+    from storecast.operators import evaluation as EV
+    from storecast.operators import series
+    from storecast.plans.evaluation_q import predictions
+    plain = EV.model_results(predictions(spark, SF_SMALL))
+    cols = plain.columns
+    want = _rows(plain, cols)
+    monkeypatch.setattr(series, "DEFAULT_CHUNK_ROWS", 60)     # every store (545-640 rows) is hot
+    hot = series.hot_keys(model_input(spark, SF_SMALL), ["partner_code", "store_code"], "date", 60)
+    assert hot is not None and hot.count() == 10
+    split = EV.model_results(predictions(spark, SF_SMALL))
+    assert _rows(split, cols) == want
