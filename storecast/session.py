@@ -18,7 +18,8 @@ def get_session(app: str = "storecast", cpus: int | str | None = None,
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Local session tuned for the library (AQE on, UI off, UTC)."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
-    parts = shuffle_partitions or int(cpus) * 2
+    # on a cluster: about input bytes / 128 MB; AQE coalesces small partitions
+    parts = shuffle_partitions or int(os.environ.get("STORECAST_SHUFFLE_PARTITIONS", int(cpus) * 2))
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -28,6 +29,8 @@ def get_session(app: str = "storecast", cpus: int | str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config("spark.sql.files.maxPartitionBytes", "128m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("STORECAST_DRIVER_MEMORY", "16g"))
