@@ -95,9 +95,14 @@ def load_csv_dir(spark: SparkSession, directory: str) -> DataFrame:
     """Every ``*.csv`` under ``directory``, union by column name
     (columns missing in a file are null).  Files are grouped by header line
     so each distinct layout is one scan, not one scan per file."""
+    import concurrent.futures as cf
+    files = list_csv_files(spark, directory)
+    # one header line per file (metadata-sized reads), fetched concurrently
+    with cf.ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
     groups: dict[str, list[str]] = {}
-    for f in list_csv_files(spark, directory):
-        groups.setdefault(_header(spark, f), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     frames = [_text_csv(spark, files) for _, files in sorted(groups.items())]
     if not frames:
         return spark.createDataFrame([], "value string")
