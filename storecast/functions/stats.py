@@ -67,13 +67,13 @@ def exact_quantiles(df: DataFrame, c: str, probs: list[float],
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     exact_limit: int = EXACT_LIMIT) -> dict[str, list[float | None]]:
+                     exact_limit: int = EXACT_LIMIT, n: int | None = None) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns: one ``percentile`` pass while the
     table is small, the bracketing search per column beyond ``exact_limit``
-    rows."""
+    rows.  ``n`` (the row count) may be passed when already known."""
     if not cols:
         return {}
-    n = df.count()
+    n = df.count() if n is None else n
     if n <= exact_limit:
         row = df.agg(*[F.percentile(F.col(c).cast("double"),
                                     F.array(*[F.lit(float(p)) for p in probs])).alias(c)
