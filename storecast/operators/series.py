@@ -34,7 +34,10 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 HOME = "_home"
-DEFAULT_CHUNK_ROWS = 20_000_000
+# A window task buffers its whole (key, chunk) group: 5M rows of ~100
+# feature columns stay spillable, and the broadcast tables stay small
+# (<= total_rows / 5M hot keys; about one bounds row per hot chunk).
+DEFAULT_CHUNK_ROWS = 5_000_000
 UNSET = object()      # "hot keys not computed yet" (None means "there are none")
 
 
