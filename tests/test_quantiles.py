@@ -17,3 +17,23 @@ def test_bracketing_matches_percentile(spark):
     assert got == pytest.approx(exact, rel=1e-12)
     many = column_quantiles(s, ["billings", "miles"], [0.5], exact_limit=500)
     assert many["billings"][0] == pytest.approx(exact[2], rel=1e-12)
+
+
+@pytest.mark.parametrize("case", ["dups", "tiny", "constant", "nulls"])
+def test_bracketing_random_cases(spark, case):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    if case == "dups":
+        vals = [float(v) for v in rng.integers(0, 20, 3000)]        # heavy ties
+    elif case == "tiny":
+        vals = [3.5]
+    elif case == "constant":
+        vals = [2.0] * 700
+    else:
+        vals = [None if rng.random() < 0.3 else float(v) for v in rng.normal(0, 1, 2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.95, 1.0]
+    clean = np.array([v for v in vals if v is not None])
+    want = [float(np.quantile(clean, p)) for p in probs]          # linear interpolation
+    got = exact_quantiles(df, "x", probs, exact_limit=50, accuracy=50)
+    assert got == pytest.approx(want, rel=1e-12, abs=1e-12)
