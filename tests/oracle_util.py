@@ -35,12 +35,21 @@ def duck(sf_dir):
     return con
 
 
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, con, fn, sql, sf_dir):
     sdf = fn(spark, sf_dir)
     s_cols, s_rows = sdf.columns, [tuple(r) for r in sdf.collect()]
+    s_types = {f.name: TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    assert s_types == d_types
     assert rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
     return len(s_rows)
