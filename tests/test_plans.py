@@ -43,3 +43,12 @@ def test_evaluation_pipeline_single_shuffle(spark):
     from storecast.plans.evaluation_q import predictions
     plan = _plan(EV.model_results(predictions(spark, SF_SMALL)))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_date_filter_reaches_lineitem_scan(spark):
+    """``date`` is cast(l_shipdate as date) in the view; a range on it is
+    pushed into the parquet scan as a timestamp bound."""
+    from pyspark.sql import functions as F
+    from storecast.sources.tables import sales
+    df = sales(spark, SF_SMALL).filter(F.col("date") < F.lit("2000-01-01").cast("date")).select("billings")
+    assert "LessThan(l_shipdate" in _plan(df)
