@@ -44,3 +44,16 @@ def test_fleet_resumes_from_root(spark):
     assert [f["importances"] for f in again["fits"]] == [f["importances"] for f in first["fits"]]
     assert again["results"].count() == 2
     assert time.time() - t < 60                         # nothing refitted
+
+
+def test_failing_store_is_skipped_not_fatal(spark):
+    import tempfile
+    from storecast.operators import models as MD
+    from storecast.plans.features_q import REFERENCE_FEATURES
+    fl = M.fleet(spark, SF_SMALL, max_stores=3)
+    root = tempfile.mkdtemp(prefix="storecast-fail-")
+    fits = MD.fit_store_forests(spark, fl["table"], [fl["store_ids"][0], "P0_missing"],
+                                REFERENCE_FEATURES, root, parallelism=2)
+    status = {f["store_id"]: f["status"] for f in fits}
+    assert status == {fl["store_ids"][0]: "success", "P0_missing": "failed"}
+    assert [f for f in fits if f["status"] == "failed"][0]["error"]
