@@ -215,10 +215,16 @@ def filter_options(df: DataFrame, max_stores: int = 30) -> DataFrame:
     """Widget options as (option, value) rows: every partner and country
     (sorted), the first ``max_stores`` stores (sorted; a top-k), and the
     min/max date."""
+    from storecast.session import cut_lineage
+    # one pass over the dashboard rows: one row per (partner, country, store)
+    # with its date range, written once; every option list reads that
+    per_store = cut_lineage(df.groupBy("partner", "pais", "tienda").agg(
+        F.min("fecha").alias("fecha_min"), F.max("fecha").alias("fecha_max")))
+
     def opt(name, c):
-        return df.select(F.lit(name).alias("option"), F.col(c).cast("string").alias("value")).distinct()
+        return per_store.select(F.lit(name).alias("option"), F.col(c).cast("string").alias("value")).distinct()
     stores = opt("tienda", "tienda").orderBy("value").limit(max_stores)
-    dates = df.agg(F.min("fecha").alias("fecha_min"), F.max("fecha").alias("fecha_max")).select(
+    dates = per_store.agg(F.min("fecha_min").alias("fecha_min"), F.max("fecha_max").alias("fecha_max")).select(
         F.inline(F.array(
             F.struct(F.lit("fecha_min").alias("option"), F.col("fecha_min").cast("string").alias("value")),
             F.struct(F.lit("fecha_max").alias("option"), F.col("fecha_max").cast("string").alias("value")))))
