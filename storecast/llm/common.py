@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storecast.session import scratch_path
 
@@ -41,6 +42,37 @@ def slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int
     yield from zip(cuts[:-1], cuts[1:], strict=True)
 
 
+def add_columns(df: DataFrame, ddl: str, fn, text: str = "text", max_bytes: int = 4 << 20) -> DataFrame:
+    """``df`` with the columns of ``ddl``, which ``fn`` makes from an Arrow array of
+    texts (as strings, nulls kept).  A column of the same name is replaced."""
+    new = T._parse_datatype_string(ddl)
+    kept = df.drop(*new.names)
+    if text not in kept.columns:
+        raise ValueError(f"the text column {text} is missing or would be replaced")
+    out = T.StructType([*kept.schema.fields, *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(text).cast(pa.string())
+            for i, j in slices(texts, max_bytes):
+                more = fn(texts.slice(i, j - i))
+                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, *more], names=out.names)
+
+    return kept.mapInArrow(run, out)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have yet."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of the graph with long columns ``a``, ``b``: rows (node, root).
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import simhash
+from storecast.llm import langid, simhash
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out())
+    filters = langid.learn(docs.where("not held_out"))
+    return langid.identify(docs.drop("lang"), filters).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
