@@ -6,19 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import langid, simhash
+from storecast.llm import langid, quality, simhash
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None):
+    """Register the decorated builder under its name, with its DuckDB SQL."""
+    def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLE[fn.__name__] = sql
+        return fn
+    return register
 
 
-@query
+@query()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", langid.held_out())
@@ -26,6 +31,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.drop("lang"), filters).select("doc_id", "held_out", "lang_pred", "score")
 
 
-@query
+@query()
 def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@query(quality.SQL)
+def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
