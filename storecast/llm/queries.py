@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import langid, quality, simhash
+from storecast.llm import chat, langid, quality, simhash
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,10 @@ def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query(chat.SQL)
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(chat.EXTRA, "conv_id long, turn long, role string, text string")
+    return chat.round_trip(rows.unionByName(extra))
