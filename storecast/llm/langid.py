@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storecast.llm.common import add_columns
+from storecast.llm.common import add_columns, materialize
 
 U64 = np.uint64
 LENGTHS = (2, 3, 4)
@@ -143,11 +143,16 @@ def learn(docs: DataFrame, sample_docs: int = 400, min_ratio: float = 0.2, hashe
     What reaches the driver is the list of languages and the filter table, at
     most ``2 ** rows_log2`` rows whatever the input.
     """
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = docs.where("lang is not null and text is not null and doc_id is not null") \
-        .select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .withColumn("rn", F.row_number().over(pick)).where(F.col("rn") <= sample_docs) \
-        .select("lang", F.col("text").cast("string").alias("text")).repartition(32, F.xxhash64("text"))
+    known = docs.where("lang is not null and text is not null and doc_id is not null") \
+        .select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"),
+                F.col("text").cast("string").alias("text"))
+    ids = known.select("lang", "doc_id").withColumn("at", F.xxhash64("doc_id"))
+    for keys in (["lang", F.pmod("at", F.lit(32))], ["lang"]):  # in two steps: no task gets a whole language
+        first = Window.partitionBy(*keys).orderBy("at", "doc_id")
+        ids = ids.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= sample_docs).drop("rn")
+    # at most sample_docs ids a language
+    sample = materialize(known.join(F.broadcast(ids.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_semi")
+                         .select("lang", "text").repartition(32, F.xxhash64("text")), "langid-sample")
     sizes = {r.lang: r.n for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     words = max(1, -(-len(languages) // 64))
