@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import chat, langid, pii, quality, simhash
+from storecast.llm import bpe, chat, langid, pii, quality, simhash
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.digest(pii.annotate(docs, pii.learn(docs)))
+
+
+@query()
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
