@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import bpe, chat, langid, pii, quality, simhash
+from storecast.llm import bpe, chat, langid, pii, quality, simhash, tokenfile
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
