@@ -73,6 +73,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 30) -> np.ndarray:
+    """Weights of a logistic model with a ridge, by Newton steps: rows of
+    features x, (soft) labels y, counts n."""
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (n * np.maximum(q * (1 - q), 1e-9))[:, None]).T @ x + np.eye(len(w))
+        w += np.linalg.solve(h, x.T @ (n * (y - q)) - w)
+    return w
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of the graph with long columns ``a``, ``b``: rows (node, root).
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storecast.llm.common import add_columns, slices
+from storecast.llm.common import add_columns, logistic, slices
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 40
@@ -203,12 +203,7 @@ def fit(counts: list[tuple[int, int, int, int]], rounds: int = 50, threshold: fl
                     for i, y in ((0, 1 - prior[kind]), (1, prior[kind]))]
             p = 1 / (1 + np.exp(np.clip(like[0] - like[1], -30, 30)))
         x = np.array([[*(f >> i & 1 for i in range(N_FEATURES)), 1] for _, f, _ in rows], float)
-        w = np.zeros(N_FEATURES + 1)
-        for _ in range(30):  # Newton steps of the logistic loss with soft labels and a ridge
-            q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * (n * np.maximum(q * (1 - q), 1e-9))[:, None]).T @ x + np.eye(len(w))
-            w += np.linalg.solve(h, x.T @ (n * (p - q)) - w)
-        weights[kind] = w
+        weights[kind] = logistic(x, p, n)
     return Model(rel, prior, weights, threshold)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import bpe, chat, langid, pii, quality, simhash, tokenfile
+from storecast.llm import bpe, chat, html, langid, pii, quality, simhash, tokenfile
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.learn(pages)).select("page_id", "url", "text", "n_chars")
+
+
 @query()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
