@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from storecast.llm.common import SPACES, materialize
 
 RULES = ("short", "repeats", "symbols", "dup_lines")
+SALTS = 16
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 
@@ -114,9 +115,13 @@ def host_verdicts(metrics: DataFrame, host_rate: float = 0.8) -> DataFrame:
 def judge(docs: DataFrame, host: str = "source", host_rate: float = 0.8, **limits) -> DataFrame:
     """Metrics, base_failed, host_rejected and kept for every row of ``docs``."""
     metrics = materialize(document_metrics(docs, host, **limits), "quality")
-    hosts = host_verdicts(metrics, host_rate).where("rejected").select("host", "rejected")
+    # written, so that the planner knows its size: broadcast while small, else
+    # shuffled with a salt, for a host may hold a third of all documents
+    hosts = materialize(host_verdicts(metrics, host_rate).where("rejected").select("host", "rejected"), "quality-hosts")
+    hosts = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     failed = F.col("short") | F.col("repeats")
-    return metrics.join(hosts, "host", "left") \
+    return metrics.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")) \
+        .join(hosts, ["host", "salt"], "left").drop("salt") \
         .withColumn("base_failed", failed).withColumn("host_rejected", F.coalesce("rejected", F.lit(False))) \
         .withColumn("kept", ~failed & ~F.col("host_rejected")).drop("rejected")
 
