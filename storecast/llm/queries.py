@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import bpe, chat, html, langid, pii, quality, simhash, tokenfile
+from storecast.llm import bpe, chat, decontam, html, langid, pii, quality, simhash, tokenfile
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("row_hash")
