@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storecast.llm import bpe, chat, decontam, html, langid, pii, quality, simhash, tokenfile
+from storecast.llm import bpe, chat, decontam, html, langid, pii, quality, simhash, suffixes, tokenfile
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("row_hash")
+
+
+@query()
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats(table(spark, sf_dir, "documents"), min_words=50)
