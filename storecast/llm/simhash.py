@@ -29,10 +29,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storecast.llm.common import connected_components, materialize
+from storecast.llm.common import connected_components, fresh, materialize
 
 SEED = 42
 FANOUT = 8
@@ -63,15 +63,21 @@ def _fingerprint_batches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(fps, U64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"),
+                                              pa.array(np.array(fps, U64).view(np.int64))], ["doc_id", "row", "fp"])
     return run
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row that can be hashed."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not f.dataType.typeName() in ("map", "variant")])
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(_fingerprint_batches(shingle), "doc_id long, fp long")
+    """(doc_id, row, fp): row is a hash of the whole row, fp the fingerprint's 64 bits as a signed long."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash(docs).alias("row"),
+                       F.col("text").cast("string").alias("text")) \
+        .mapInArrow(_fingerprint_batches(shingle), "doc_id long, row long, fp long")
 
 
 def gray_rank(v: np.ndarray) -> np.ndarray:
@@ -271,14 +277,32 @@ def links(fps: DataFrame, max_bits: int = 4, max_group: int = 1 << 18) -> DataFr
     return edges.unionByName(points.join(least, "point").select(F.col("fp").alias("a"), "b"))
 
 
+def components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_group: int = 1 << 18) -> DataFrame:
+    """(doc_id, row, fp, root) for every row of ``docs``; rows of a component share ``root``."""
+    own = materialize(fingerprints(docs, shingle), "simhash-fp")
+    fps = materialize(own.select("fp").distinct(), "simhash-distinct")
+    roots = connected_components(links(fps, max_bits, max_group))
+    return own.join(roots, own.fp == roots.node, "left").select("doc_id", "row", "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_group: int = 1 << 18) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest
     doc_id that links reach, for every row of ``docs``."""
-    own = materialize(fingerprints(docs, shingle), "simhash-fp")
-    fps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = connected_components(links(fps, max_bits, max_group))
-    whole = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = whole.join(least, "root").select("fp", "component_id")
-    return own.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                     "component_id")
+    own = components(docs.select("doc_id", "text"), shingle, max_bits, max_group)
+    least = own.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return own.join(least, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                                          "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_group: int = 1 << 18) -> DataFrame:
+    """The rows of ``docs`` of smallest doc_id in each component (nulls last;
+    of rows that share it, the smallest row hash; of equal rows, one)."""
+    first = components(docs, shingle, max_bits, max_group).groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("k")) \
+        .select(F.col("k.doc_id").alias("_keep_id"), F.col("k.row").alias("_keep_row"))
+    first = materialize(first, "simhash-keep")  # its size is known then: broadcast only while small
+    row, number = fresh(docs, "_row", "_number")
+    kept = docs.withColumn(row, row_hash(docs)).join(
+        first, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col(row) == F.col("_keep_row")), "left_semi")
+    equal = Window.partitionBy("doc_id", row).orderBy(row)
+    return kept.withColumn(number, F.row_number().over(equal)).where(F.col(number) == 1).drop(row, number)
