@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from storecast.functions.exprs import ZERO_GUARD, keep_null
 from storecast.functions.stats import column_quantiles, exact_quantiles
 from storecast.operators.series import CHUNK, UNSET, chunk_series, home_rows
+from storecast.session import write_table
 from storecast.sources.tables import STORE_KEY, TIE_BREAK
 
 # Fixed values of the reference: window sizes and lags of each feature family.
@@ -234,7 +235,7 @@ def series_features(df: DataFrame, y: str = "billings", families: Sequence[str]
         if fam in families:
             lag_ks |= set(ks)
     needed_lags = {f"{prefix}_lag_{k}" for k in lag_ks}
-    base = chunk_series(df, key, order[0], LOOKBACK,
+    base = chunk_series(df, key, order, LOOKBACK,
                         chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows, hot)
     w = Window.partitionBy(*key, CHUNK).orderBy(*order)
     stages, helpers = _staged_columns(y, prefix, families, w, needed_lags)
@@ -434,7 +435,8 @@ def bfill_ffill_zero(df: DataFrame, cols: Sequence[str], key: Sequence[str] = ST
         return out.withColumns({x: F.coalesce(F.last(x, ignorenulls=True).over(after),
                                               F.last(x, ignorenulls=True).over(before),
                                               F.lit(0).cast(out.schema[x].dataType)) for x in cols})
-    c = chunk_series(out, key, order[0], 0, chunk, hot_rows, hot).drop("_home")
+    out = write_table(out, "series")    # a computed frame that the split reads several times
+    c = chunk_series(out, key, order, 0, chunk, hot_rows, hot).drop("_home")
     part = key + [CHUNK]
     before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     after = (Window.partitionBy(*part).orderBy(*[F.col(o).desc() for o in order])

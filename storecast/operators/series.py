@@ -5,24 +5,22 @@ holds a third of all rows would become one task.  Every feature here looks
 back a bounded number of rows (``lookback``), which makes the series
 splittable:
 
-1. ``sizes``: rows, first and last date per key (map-side partial aggregate).
-   Keys above ``hot_rows`` are *hot*.  The hot list has at most
-   ``total_rows / hot_rows`` entries: a proven bound, so it is broadcast.
-2. A hot key's rows are cut into calendar chunks of ``P`` days, ``P`` chosen
-   so a chunk holds about ``chunk_rows`` rows (a chunk is whole days).
-3. Each chunk needs the ``lookback`` rows before its first day (its *halo*).
-   From per-day counts of hot keys, a range frame over the running row
-   count finds the first halo day of every chunk; a bounds table keyed by
-   (key, chunk) lists, for the chunks feeding a later halo, the target chunk
-   and the first day it needs.  It has about one row per hot chunk
-   (<= total_rows / chunk_rows + hot keys), so it is broadcast too.
+1. ``hot_keys``: keys above ``hot_rows`` rows (map-side partial aggregate).
+2. A hot key's rows are counted by *unit*: a day, or a part of a day over
+   ``chunk_rows`` rows, cut at approximate quantiles of the first tie-break
+   column.  Units in order are filled into chunks of about ``chunk_rows`` rows.
+3. Each chunk needs the ``lookback`` rows before its first row (its *halo*).
+   They lie in the last units of the two chunks before it; from the running
+   counts a unit knows how many of its last rows go where, so the halo is cut
+   by row number at exactly ``lookback`` rows.
 4. Every row carries its home chunk (0 for ordinary keys) plus copies for the
    halos it belongs to.  Windows partition by (key, ``_chunk``); only
    ``_home`` rows are kept afterwards.
 
-Ordinary keys pay one extra pruned scan for ``sizes`` and two broadcast
-lookups against (usually empty) small tables; the big data is shuffled once,
-by (key, chunk).
+Ordinary keys pay one extra pruned scan for their sizes.  The lookup tables (hot
+keys, units) grow with the rows of hot keys, so nothing here forces a
+broadcast: the planner decides by their size.  Rows that agree in date and first
+tie-break column stay in one unit.
 """
 
 from __future__ import annotations
@@ -32,97 +30,90 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from storecast.session import write_table
+
 CHUNK = "_chunk"
 HOME = "_home"
 # A window task buffers its whole (key, chunk) group: 5M rows of ~100
-# feature columns stay spillable, and the broadcast tables stay small
-# (<= total_rows / 5M hot keys; about one bounds row per hot chunk).
+# feature columns stay spillable.
 DEFAULT_CHUNK_ROWS = 5_000_000
+PARTS = 1024          # most parts of a day
 UNSET = object()      # "hot keys not computed yet" (None means "there are none")
 
 
-def chunk_series(df: DataFrame, key: Sequence[str], date_col: str, lookback: int,
+def _units(hot_rows: DataFrame, key: list[str], day: str, tie: str | None, chunk_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of hot keys with ``_day`` and ``_part``, and the units in order: rows
+    ``_n``, rows before ``_before``, chunk ``_chunk`` and what the unit owes to the
+    halos of later chunks (see ``chunk_series``)."""
+    rows = hot_rows.withColumn("_day", F.col(day))
+    if tie is None:
+        rows = rows.withColumn("_part", F.lit(0))
+    else:
+        big = (rows.groupBy(*key, "_day").agg(F.count(F.lit(1)).alias("_nd"))
+               .filter(4 * F.col("_nd") > chunk_rows))
+        cuts = (rows.join(big, key + ["_day"]).groupBy(*key, "_day", "_nd")
+                .agg(F.percentile_approx(tie, F.lit([i / PARTS for i in range(1, PARTS)]), 10_000).alias("_q")))
+        # of these quantiles as many as parts of a quarter chunk need
+        step = F.greatest(F.lit(1), F.floor(F.lit(float(PARTS)) * chunk_rows / (4 * F.col("_nd"))).cast("int"))
+        cuts = write_table(cuts.select(*key, "_day", F.array_distinct(F.filter(
+            "_q", lambda q, i: (i + 1) % step == 0)).alias("_cuts")), "series-cuts")
+        rows = rows.join(cuts, key + ["_day"], "left").withColumn("_part", F.coalesce(F.size(F.filter(
+            "_cuts", lambda c: c < F.col(tie))), F.lit(0))).drop("_cuts")
+    rows = write_table(rows, "series-hot")      # read for the counts, the homes and the halos
+    return rows, rows.groupBy(*key, "_day", "_part").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def chunk_series(df: DataFrame, key: Sequence[str], order: str | Sequence[str], lookback: int,
                  chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
                  hot_rows: int | None = None, hot=UNSET) -> DataFrame:
     """Add ``_chunk`` (int) and ``_home`` (bool); halo copies have
-    ``_home = false``.  ``chunk_rows=None`` disables splitting.  ``hot`` may
+    ``_home = false``.  ``order`` is the series order: a date column, then the
+    tie-break columns.  ``chunk_rows=None`` disables splitting.  ``hot`` may
     carry a hot-key table computed upstream (on the raw input, which is
     cheaper than re-deriving a computed frame just to count its rows)."""
-    key = list(key)
+    key, order = list(key), [order] if isinstance(order, str) else list(order)
+    plain = {CHUNK: F.lit(0), HOME: F.lit(True)}
     if chunk_rows is None:
-        return df.withColumns({CHUNK: F.lit(0), HOME: F.lit(True)})
-    hot_rows = hot_rows or chunk_rows
-    d = F.col(date_col)
-
+        return df.withColumns(plain)
     if hot is UNSET:
-        hot = hot_keys(df, key, date_col, chunk_rows, hot_rows)
+        hot = hot_keys(df, key, order[0], chunk_rows, hot_rows)
     if hot is None:                      # the usual case: one chunk per key
-        return df.withColumns({CHUNK: F.lit(0), HOME: F.lit(True)})
-
-    def chunk_of(c):
-        return F.floor(F.datediff(c, F.col("_d0")) / F.col("_p")).cast("int")
-
-    # per-day counts of hot keys, running count before each day (T)
-    days = (df.select(*key, d.alias("_d")).join(F.broadcast(hot), key)
-            .groupBy(*key, "_d", "_d0", "_p").agg(F.count(F.lit(1)).alias("_nd")))
-    w_day = Window.partitionBy(*key).orderBy("_d")
-    days = days.withColumn(
-        "_T", F.coalesce(F.sum("_nd").over(w_day.rowsBetween(Window.unboundedPreceding, -1)),
-                         F.lit(0)))
-    # latest day whose running count leaves >= lookback rows before this day
-    w_T = Window.partitionBy(*key).orderBy("_T").rangeBetween(Window.unboundedPreceding, -lookback)
-    days = days.withColumn("_from", F.max("_d").over(w_T)).withColumn("_c", chunk_of(F.col("_d")))
-
-    starts = (days.groupBy(*key, "_c", "_d0", "_p")
-              .agg(F.min("_d").alias("_start"), F.min_by("_from", "_d").alias("_from")))
-    starts = starts.filter(F.col("_start") > F.col("_d0")).select(
-        *key, F.col("_c").alias("_target"), "_d0", "_p",
-        F.coalesce("_from", "_d0").alias("_from"))
-    # each target chunk needs rows from the chunk of its first halo day on
-    feeders = starts.select(
-        *key, "_target", "_from",
-        F.explode(F.sequence(chunk_of(F.col("_from")), F.col("_target") - 1)).alias(CHUNK))
-    # bounded: about one row per hot chunk
-    bounds = feeders.groupBy(*key, CHUNK).agg(
-        F.collect_list(F.struct(F.col("_target").alias("t"), F.col("_from").alias("f")))
-        .alias("_targets"))
-
-    if lookback <= 0:          # no history needed: chunks only, no halo copies
-        bounds = bounds.limit(0)
-    rows = (df.join(F.broadcast(hot), key, "left")
-            .withColumn(CHUNK, F.when(F.col("_p").isNull(), F.lit(0)).otherwise(chunk_of(d)))
-            .drop("_d0", "_p")
-            .join(F.broadcast(bounds), key + [CHUNK], "left"))
-    empty = F.expr("cast(array() as array<struct<t:int,f:date>>)")
-    halos = F.transform(F.filter(F.coalesce(F.col("_targets"), empty), lambda x: x["f"] <= d),
-                        lambda x: F.struct(x["t"].alias("c"), F.lit(False).alias("h")))
-    copies = F.concat(F.array(F.struct(F.col(CHUNK).alias("c"), F.lit(True).alias("h"))), halos)
-    out_cols = [c for c in df.columns]
-    return (rows.select(*out_cols, F.explode(copies).alias("_copy"))
-            .select(*out_cols, F.col("_copy.c").alias(CHUNK), F.col("_copy.h").alias(HOME)))
+        return df.withColumns(plain)
+    size = max(chunk_rows, lookback + 1)
+    rows, units = _units(df.join(hot.select(*key), key, "left_semi"), key, order[0],
+                         order[1] if len(order) > 1 else None, chunk_rows)
+    w = Window.partitionBy(*key).orderBy("_day", "_part")
+    units = units.withColumn("_before", F.coalesce(
+        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    units = units.withColumn(CHUNK, F.floor(F.col("_before") / size).cast("int"))
+    # a chunk holds its halo in the two chunks before it: they have over ``lookback`` rows
+    chunks = units.groupBy(*key, CHUNK).agg(F.min("_before").alias("_start"))
+    wc = Window.partitionBy(*key).orderBy(CHUNK)
+    for k in (1, 2):
+        chunks = chunks.withColumns({f"_next{k}": F.lead(CHUNK, k).over(wc), f"_from{k}": F.lead("_start", k).over(wc)})
+    end = F.col("_before") + F.col("_n")
+    owed = [F.struct(F.col(f"_next{k}").alias("c"),
+                     (F.lit(lookback) - (F.col(f"_from{k}") - end)).alias("rows")) for k in (1, 2)]
+    units = units.join(chunks, key + [CHUNK]).select(
+        *key, "_day", "_part", CHUNK,
+        F.filter(F.array(*owed), lambda x: x["c"].isNotNull() & (x["rows"] > 0)).alias("_owed"))
+    rows = rows.join(write_table(units, "series-units"), key + ["_day", "_part"])
+    last = Window.partitionBy(*key, "_day", "_part").orderBy(*[F.col(c).desc() for c in order])
+    owing = rows.filter(F.size("_owed") > 0).withColumn("_rn", F.row_number().over(last))
+    halo = owing.select(*df.columns, F.explode(F.filter("_owed", lambda x: F.col("_rn") <= x["rows"])).alias("_o")) \
+        .select(*df.columns, F.col("_o.c").alias(CHUNK), F.lit(False).alias(HOME))
+    return (df.join(hot.select(*key), key, "left_anti").select(*df.columns).withColumns(plain)
+            .unionByName(rows.select(*df.columns, CHUNK).withColumn(HOME, F.lit(True))).unionByName(halo))
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], date_col: str, chunk_rows: int,
              hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, with first date and chunk
-    width in days, or None when there are none.
-
-    The list has at most total_rows / hot_rows entries (a proven bound), so
-    it is collected and broadcast; it is one aggregation pass over the key
-    and date columns only."""
+    """Keys with more than ``hot_rows`` rows, or None when there are none; one
+    aggregation pass over the key columns, written once."""
     key = list(key)
-    hot_rows = hot_rows or chunk_rows
-    d = F.col(date_col)
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(d).alias("_d0"),
-                                 F.max(d).alias("_d1"))
-    hot = sizes.filter(F.col("_n") > hot_rows).select(
-        *key, "_d0",
-        F.greatest(F.lit(1), F.ceil((F.datediff("_d1", "_d0") + 1) * F.lit(float(chunk_rows))
-                                    / F.col("_n"))).cast("int").alias("_p"))
-    rows = hot.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, hot.schema)
+    hot = write_table(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > (hot_rows or chunk_rows)), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def home_rows(df: DataFrame) -> DataFrame:
@@ -143,7 +134,8 @@ def positions(df: DataFrame, key: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*key)
         return df.withColumns({"_pos": F.row_number().over(w.orderBy(*order)),
                                "_cnt": F.count(F.lit(1)).over(w)})
-    c = chunk_series(df, key, order[0], 0, chunk_rows, hot_rows, hot).drop(HOME)
+    df = write_table(df, "series")      # a computed frame that the split reads several times
+    c = chunk_series(df, key, order, 0, chunk_rows, hot_rows, hot).drop(HOME)
     counts = c.groupBy(*key, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*key)
     counts = counts.select(

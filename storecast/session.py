@@ -47,8 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system folder and is read as
-    is.  Only when it is unset (local runs, tests) a fresh scratch folder is
-    created and registered.
+    is.  Only when it is unset on a local master (tests, scripts) a fresh scratch
+    folder is created and registered; elsewhere that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -58,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: on {master} it must name a folder that all machines share")
     local = tempfile.mkdtemp(prefix="storecast-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -77,6 +80,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared folder and read it back: lineage is cut, later
+    reads prune columns, and the planner knows the size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _MEMO: dict[tuple, DataFrame] = {}
 
 

@@ -70,3 +70,24 @@ def test_pipeline_with_every_store_hot(spark, monkeypatch):
     assert hot is not None and hot.count() == 10
     split = EV.model_results(predictions(spark, SF_SMALL))
     assert _rows(split, cols) == want
+
+
+def test_one_huge_day_is_split_and_halo_is_exact(spark):
+    """One store-day of 100 chunks: groups stay near a chunk plus the halo."""
+    from storecast.operators.series import chunk_series
+    n, chunk = 20_000, 200
+    rows = spark.range(n).select(
+        F.lit("P").alias("partner_code"), F.lit("S").alias("store_code"), F.lit("2024-01-02").cast("date").alias("date"),
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(1).alias("l_partkey"),
+        (F.sin("id") + 2).alias("billings"))
+    rows = rows.unionByName(rows.limit(30).withColumn("date", F.lit("2024-01-01").cast("date")))
+    order = ["date", "l_orderkey", "l_linenumber", "l_partkey"]
+    c = chunk_series(rows, ["partner_code", "store_code"], order, FE.LOOKBACK, chunk_rows=chunk).cache()
+    sizes = c.groupBy("_chunk").agg(F.count("*").alias("n"), F.count_if(~F.col("_home")).alias("halo")).collect()
+    assert sum(r.n - r.halo for r in sizes) == n + 30 and len(sizes) >= 70
+    assert max(r.n for r in sizes) <= 1.5 * chunk + FE.LOOKBACK
+    assert all(r.halo == (FE.LOOKBACK if r["_chunk"] else 0) for r in sizes)
+    names = FE.feature_names(FE.FAMILIES)
+    plain = FE.series_features(rows, "billings", FE.FAMILIES, chunk_rows=10**9)
+    split = FE.series_features(rows, "billings", FE.FAMILIES, chunk_rows=chunk)
+    assert _rows(split, order + names) == _rows(plain, order + names)
