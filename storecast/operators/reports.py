@@ -33,19 +33,19 @@ def profile_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     numeric = ("double", "float", "int", "bigint", "smallint", "tinyint")
     fields = [f for f in df.schema.fields
               if (columns is None or f.name in columns) and f.dataType.simpleString() in numeric]
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs = []
     for f in fields:
         c = F.col(f.name).cast("double")
         aggs += [F.count(c).alias(f"{f.name}__n"), F.avg(c).alias(f"{f.name}__mean"),
                  F.stddev_samp(c).alias(f"{f.name}__std"), F.min(c).alias(f"{f.name}__min"),
                  F.max(c).alias(f"{f.name}__max")]
-    agg_df = df.agg(*aggs)
+    # the statistics ride on the first of the quartiles' three passes
+    qs, agg_df, row = column_quantiles(df.select(*[f.name for f in fields]), [f.name for f in fields],
+                                       [0.25, 0.5, 0.75], also=aggs)
     types = {f.name: f.dataType for f in agg_df.schema.fields}
-    stats = agg_df.first()                 # one row
-    # exact quartiles: one pass when small, distributed bracketing when large
-    qs = column_quantiles(df, [f.name for f in fields], [0.25, 0.5, 0.75], n=stats["__rows"])
+    stats = {k: v for k, v in row.items() if "__" in k and not k.startswith("_")}
     wide = df.sparkSession.range(1).select(
-        *[F.lit(stats[a]).cast(types[a]).alias(a) for a in stats.asDict() if a != "__rows"],
+        *[F.lit(v).cast(types[a]).alias(a) for a, v in stats.items()],
         *[F.array(*[F.lit(v).cast("double") for v in qs[f.name]]).alias(f"{f.name}__q") for f in fields])
     rows = [F.struct(
         F.lit(f.name).alias("column_name"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from storecast.functions.exprs import fixed, fixed_sql
 from storecast.operators import features as FE
 from storecast.plans.catalog import register
+from storecast.session import write_table
 from storecast.sources.tables import sales
 
 ROW_KEY = ["partner_code", "store_code", "date", "l_orderkey", "l_linenumber", "l_partkey"]
@@ -223,7 +224,9 @@ IMPUTE_COLS = [f"billings_trend_{n}" for n in FE.TREND_WINDOWS] + \
 def q_median_impute(spark, sf_dir):
     x = model_input(spark, sf_dir)
     f = FE.series_features(x, "billings", FE.FAMILIES, hot=input_hot_keys(x))
-    out = FE.median_impute(f.select(*ROW_KEY, *IMPUTE_COLS), IMPUTE_COLS)
+    # the medians take several scans: over a written table, not the windows again
+    f = write_table(f.select(*ROW_KEY, *IMPUTE_COLS), "impute-features")
+    out = FE.median_impute(f, IMPUTE_COLS)
     return out.select(*ROW_KEY, *_round(IMPUTE_COLS))
 
 
