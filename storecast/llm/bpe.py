@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storecast.llm.common import add_columns
+from storecast.llm.common import add_columns, materialize
 
 # Fixed value: how the byte-level vocabulary cuts a text before merging.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LONG = 2000
 NONE = np.int32(2**31 - 1)
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -228,7 +228,7 @@ def encode(docs: DataFrame, path: str, name: str = "ids") -> DataFrame:
         ids = tables(spec.value).encode([t or "" for t in texts.to_pylist()])
         return [pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
 
-    return add_columns(docs, f"{name} binary", run)
+    return add_columns(docs, f"{name} binary", run, max_bytes=1 << 20)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -246,8 +246,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") ->
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Counts and digests of the ids of every text and of the text that they decode to."""
+    """Counts and digests of the ids of every text and of the text that they decode to.
+
+    The ids are written before they are decoded: a task then runs one Python
+    worker at a time."""
     coded = encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), path).drop("text")
-    return decode(coded, path).select(
+    return decode(materialize(coded, "bpe-ids"), path).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
