@@ -1,8 +1,9 @@
 """Token ids in binary shards, each a wavelet matrix.
 
-Every text is encoded by the tokenizers library, whitespace-separated pieces
-apart (the vocabulary's rules never look across white space), each distinct piece
-once.  An end id closes every document.  Shards hold whole documents in ascending
+Every text is encoded by the tokenizers library, piece by piece, each distinct
+piece once: the vocabulary's rules look across neither white space nor the place
+between a letter or digit and a punctuation mark, and take no notice of case.
+An end id closes every document.  Shards hold whole documents in ascending
 doc_id order (nulls first, ties by content) and are cut at about
 ``shard_tokens`` tokens; a longer document is a shard of its own.
 
@@ -21,12 +22,14 @@ reads as an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,8 @@ MAGIC = b"WVMX0001"
 HEADER = struct.Struct("<8sIIIQB")  # magic, bucket, number, documents, tokens, levels
 BLOCK = 512
 CACHE_WORDS = 1_000_000
+# The rules of a vocabulary whose pieces can be encoded apart.
+APART = ("NFC", "Replace", "Lowercase"), r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 # ---- the file format ----
@@ -174,9 +179,14 @@ class Shard:
 # ---- encoding ----
 
 class Pieces:
-    """Ids of whitespace-separated pieces by the library, with a bounded cache."""
+    """Ids by the library, of pieces with a bounded cache, or of whole texts for
+    a vocabulary with other rules."""
 
     def __init__(self, spec: str):
+        rules = json.loads(spec)
+        names = tuple(x["type"] for x in (rules["normalizer"] or {}).get("normalizers", ()))
+        first = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        self.apart = (names, first.get("pattern", {}).get("Regex")) == APART
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(spec)
@@ -190,23 +200,33 @@ class Pieces:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
+        if not self.apart:
+            got = [e.ids for e in self.library.encode_batch_fast([t or "" for t in texts.to_pylist()],
+                                                                 add_special_tokens=False)]
+            n = np.fromiter(map(len, got), np.int64, len(got))
+            return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        apart = pc.replace_substring_regex(pc.fill_null(texts, ""), r"([A-Za-z0-9])([.,!?;:#*$%&])", r"\1 \2")
+        split = pc.ascii_split_whitespace(apart)
         words = split.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
+        # in plain ASCII the case is lost in any case; "<|" may begin a special string, which has one
+        plain = pc.and_(pc.string_is_ascii(words.dictionary), pc.invert(pc.match_substring(words.dictionary, "<|")))
+        lower = pc.if_else(plain, pc.ascii_lower(words.dictionary), words.dictionary).dictionary_encode()
+        names = lower.dictionary.to_pylist()
         at = np.fromiter((self.index.get(w, -1) for w in names), np.int64, len(names))
         missing = np.flatnonzero(at < 0)
         if len(missing):
             new = [names[i] for i in missing.tolist()]
-            got = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+            got = [e.ids for i in range(0, len(new), 50_000)
+                   for e in self.library.encode_batch_fast(new[i:i + 50_000], add_special_tokens=False)]
             at[missing] = np.arange(len(self.index), len(self.index) + len(new))
             self.index.update(zip(new, at[missing].tolist(), strict=True))
             n = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(n.sum()))
+            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum()))
             self.ids = np.concatenate([self.ids, flat])
             self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(n)])
-        at = at[words.indices.to_numpy(zero_copy_only=False)]
+        at = at[lower.indices.to_numpy(zero_copy_only=False)[words.indices.to_numpy(zero_copy_only=False)]]
         start, n = self.end[at], self.end[at + 1] - self.end[at]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(start - total[:-1], n) + np.arange(total[-1])]
@@ -225,7 +245,7 @@ def _encode(spec, bounds, end_id: int, narrow: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, doc = b.column("text"), b.column("doc_id")
-            for i, j in slices(texts, 8 << 20):
+            for i, j in slices(texts, 16 << 20):
                 ids, n = pieces(spec.value).encode(texts.slice(i, j - i))
                 until = np.cumsum(n)[:-1]
                 rows = [np.append(x, end_id).astype(kind).tobytes() for x in np.split(ids, until)]

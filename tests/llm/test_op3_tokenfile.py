@@ -31,15 +31,18 @@ def expected(lib, rows):
     return out
 
 
-def test_pieces_equal_whole_texts(lib):
+def test_pieces_equal_whole_texts():
     rng = random.Random(3)
     pool = ["the", "The", " ", "\n", "\t\t", "\x0b", "é", "É", "'s", "'S", "don't", "1", "23", "!", "?!", " ", "　",
-            "Σ", "ΑΣ", "İ", "日本", "<|endoftext|>", "<|startoftext|>x", "\x00", "\x1c", "ﬁ", "-", "\U0001f600"]
+            "Σ", "ΑΣ", "İ", "J̌", "ǰ", "A.", "b,c", "I", "̇", "<|ENDOFTEXT|>", ".", "a's.", "日本", "<|endoftext|>", "<|startoftext|>x", "\x00", "\x1c", "ﬁ", "-", "\U0001f600"]
     texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + [None, "", "x" * 50_000]
-    spec = open(PATH, encoding="utf-8").read()
-    ids, n = tokenfile.Pieces(spec).encode(pa.array(texts))
-    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == \
-        [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for path, apart in ((PATH, True), (public_tokenizers.path("byte_bpe_50k.json"), False)):
+        own = tokenfile.Pieces(open(path, encoding="utf-8").read())
+        assert own.apart == apart
+        ids, n = own.encode(pa.array(texts))
+        whole = Tokenizer.from_file(path)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == \
+            [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
