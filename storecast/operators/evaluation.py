@@ -71,67 +71,74 @@ def model_results(pred: DataFrame, y: str = "billings", p: str = "prediction",
                   n_features: int | None = None) -> DataFrame:
     """M4-M6 per store: train/test MAE, RMSE, R2, SMAPE (log scale, the
     model's target) plus test metrics on the original scale (expm1), sample
-    counts and the quality label of the test R2."""
+    counts and the quality label of the test R2.  Metrics are not rounded:
+    means over them would be rounded twice (see ``rounded``)."""
     aggs = []
     for s in ("train", "test"):
         cond = F.col(split_col) == s
         for name, e in _metrics(F.col(y), F.col(p), cond).items():
-            aggs.append((e.cast("bigint") if name == "n" else F.round(e, METRIC_DIGITS))
-                        .alias(f"{s}_samples" if name == "n" else f"{s}_{name}"))
+            aggs.append(e.cast("bigint").alias(f"{s}_samples") if name == "n" else e.alias(f"{s}_{name}"))
     for name, e in _metrics(F.expm1(y), F.expm1(p), F.col(split_col) == "test").items():
         if name != "n":
-            aggs.append(F.round(e, 4).alias(f"test_{name}_original"))
+            aggs.append(e.alias(f"test_{name}_original"))
     out = pred.groupBy(*key).agg(*aggs).withColumn("quality", quality_label("test_r2"))
     if n_features is not None:
         out = out.withColumn("n_features", F.lit(n_features))
     return out
 
 
-def quality_distribution(results: DataFrame) -> DataFrame:
-    """Models per label, count and percent (the total is a scalar
-    aggregate over the small label table)."""
-    counts = results.groupBy("quality").agg(F.count(F.lit(1)).alias("models"))
-    # at most one row per label: the total over the whole (tiny) table is safe
-    total = F.sum("models").over(Window.partitionBy())
-    return counts.select("quality", "models",
+def rounded(df: DataFrame) -> DataFrame:
+    """``df`` with its metric columns rounded for output."""
+    def digits(c: str) -> int | None:
+        if c.endswith("_original"):
+            return 4
+        metric = c.rpartition("_")[2] in ("mae", "rmse", "r2", "smape", "rate")
+        return METRIC_DIGITS if metric else None
+
+    return df.withColumns({c: F.round(c, digits(c)) for c in df.columns if digits(c) is not None})
+
+
+def quality_distribution(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Models per label (and group ``by``), count and percent."""
+    counts = results.groupBy(*by, "quality").agg(F.count(F.lit(1)).alias("models"))
+    # at most one row per label and run: the total over the (tiny) table is safe
+    total = F.sum("models").over(Window.partitionBy(*by))
+    return counts.select(*by, "quality", "models",
                          F.round(100.0 * F.col("models") / total, METRIC_DIGITS).alias("pct"))
 
 
-def training_summary(results: DataFrame, attempted: DataFrame) -> DataFrame:
-    """Attempted stores, successful models, success rate, mean /
-    population std / best of test R2 and SMAPE."""
-    n_attempted = attempted.count()          # a scalar
-    r = results.agg(
+def training_summary(results: DataFrame, attempted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A21, per group ``by``: attempted stores, successful models, success rate,
+    mean / population std / best of test R2 and SMAPE (not rounded)."""
+    r = results.groupBy(*by).agg(
         F.count(F.lit(1)).alias("successful_models"),
-        F.round(F.avg("test_r2"), METRIC_DIGITS).alias("avg_r2"),
-        F.round(F.stddev_pop("test_r2"), METRIC_DIGITS).alias("std_r2"),
-        F.round(F.max("test_r2"), METRIC_DIGITS).alias("best_r2"),
-        F.round(F.avg("test_smape"), METRIC_DIGITS).alias("avg_smape"),
-        F.round(F.stddev_pop("test_smape"), METRIC_DIGITS).alias("std_smape"),
-        F.round(F.min("test_smape"), METRIC_DIGITS).alias("best_smape"))
-    return r.withColumn("total_stores_attempted", F.lit(n_attempted).cast("bigint")).withColumn(
-        "success_rate", F.round(F.when(F.col("total_stores_attempted") > 0,
-                                       100.0 * F.col("successful_models") / F.col("total_stores_attempted"))
-                                .otherwise(F.lit(0.0)), METRIC_DIGITS))
+        F.avg("test_r2").alias("avg_r2"), F.stddev_pop("test_r2").alias("std_r2"), F.max("test_r2").alias("best_r2"),
+        F.avg("test_smape").alias("avg_smape"), F.stddev_pop("test_smape").alias("std_smape"),
+        F.min("test_smape").alias("best_smape"))
+    total = attempted.agg(F.count(F.lit(1)).alias("total_stores_attempted"))
+    return r.crossJoin(F.broadcast(total)).withColumn(      # one row
+        "success_rate", F.when(F.col("total_stores_attempted") > 0,
+                               100.0 * F.col("successful_models") / F.col("total_stores_attempted"))
+        .otherwise(F.lit(0.0)))
 
 
 def target_achievement(summary: DataFrame, target_r2: float = TARGET_R2,
-                       target_smape: float = TARGET_SMAPE) -> DataFrame:
+                       target_smape: float = TARGET_SMAPE, by: Sequence[str] = ()) -> DataFrame:
     """1/0 flags for avg R2 >= target and avg SMAPE <= target."""
     return summary.select(
-        "avg_r2", "avg_smape",
+        *by, "avg_r2", "avg_smape",
         F.coalesce((F.col("avg_r2") >= target_r2).cast("int"), F.lit(0)).alias("r2_target_achieved"),
         F.coalesce((F.col("avg_smape") <= target_smape).cast("int"), F.lit(0)).alias("smape_target_achieved"))
 
 
-def good_plus_share(results: DataFrame) -> DataFrame:
+def good_plus_share(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """EXCELENTE and EXCELENTE+BUENO counts and percent of models."""
     exc = F.count_if(F.col("quality") == "EXCELENTE")
     good = F.count_if(F.col("quality").isin("EXCELENTE", "BUENO"))
     n = F.count(F.lit(1))
-    return results.agg(exc.alias("excellent_models"), good.alias("good_plus_models"),
-                       F.round(100.0 * exc / n, METRIC_DIGITS).alias("excellent_pct"),
-                       F.round(100.0 * good / n, METRIC_DIGITS).alias("good_plus_pct"))
+    return results.groupBy(*by).agg(exc.alias("excellent_models"), good.alias("good_plus_models"),
+                                    F.round(100.0 * exc / n, METRIC_DIGITS).alias("excellent_pct"),
+                                    F.round(100.0 * good / n, METRIC_DIGITS).alias("good_plus_pct"))
 
 
 def top_stores(results: DataFrame, k: int = 5, metric: str = "test_r2") -> DataFrame:

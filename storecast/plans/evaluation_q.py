@@ -1,10 +1,12 @@
 """Registered evaluation queries (SURVEY §2.7 M1, M2, M4-M6, M17, M18 and
 §2.4 A20-A24, A35).
 
-The predictor is the deterministic seasonal naive forecast (the store's
-value seven rows earlier, on the log target), so every metric has an exact
-SQL oracle; the MLlib forests are evaluated by the same operators in
-``models_q``.
+Two deterministic predictors are evaluated, so every metric has an exact SQL
+oracle and more than one run and quality label occur: the seasonal naive
+forecast (the store's value seven rows earlier, on the log target) and a
+per-store least-squares line on the 7-row trend, fitted on the train rows
+(with the same-row leakage of the reference's features, D5).  The forests
+are evaluated by the same operators in ``models_q``.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from storecast.operators import evaluation as EV
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
 from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, feature_table
-from storecast.session import cut_lineage, memo_checkpoint
+from storecast.session import cut_lineage, memo_checkpoint, write_table
 from storecast.sources.tables import sales
 
 PREDICTOR_COL = "billings_lag_7"
+LINE_COL = "billings_trend_7"
+NAIVE, LINE = "seasonal_naive_7", "linear_trend_7"
+PREDICTORS = {NAIVE: PREDICTOR_COL, LINE: LINE_COL}
 BACKTEST_N = 5
 TOP_K = 5
 LISTING_N = 10
@@ -34,10 +39,25 @@ def predictions(spark, sf_dir):
     return EV.temporal_split(f, hot=hot).withColumn("prediction", F.col(PREDICTOR_COL))
 
 
-def results(spark, sf_dir):
-    """Per-store results (one row per store), checkpointed once per session."""
-    return memo_checkpoint(spark, ("naive-results", sf_dir), lambda: EV.model_results(
-        predictions(spark, sf_dir), n_features=len(REFERENCE_FEATURES)))
+def with_lines(p):
+    """(predictor, row) for both predictors; ``p`` is read three times."""
+    train = p.filter(F.col("split") == "train").groupBy(*V.STORE_KEY).agg(
+        F.regr_slope("billings", LINE_COL).alias("_slope"), F.regr_intercept("billings", LINE_COL).alias("_cut"))
+    line = p.join(train, list(V.STORE_KEY)).withColumn("prediction", F.col("_cut") + F.col("_slope") * F.col(LINE_COL))
+    cols = [*V.STORE_KEY, "split", "billings", "prediction"]
+    return p.select(F.lit(NAIVE).alias("predictor"), *cols).unionByName(
+        line.select(F.lit(LINE).alias("predictor"), *cols))
+
+
+def results(spark, sf_dir, predictor=None):
+    """Per-store results of each predictor (not rounded), written once per
+    session; ``predictor`` picks one run."""
+    def build():
+        p = write_table(predictions(spark, sf_dir).select(
+            *V.STORE_KEY, "split", "billings", "prediction", LINE_COL), "predictions")
+        return EV.model_results(with_lines(p), key=["predictor", *V.STORE_KEY], n_features=len(REFERENCE_FEATURES))
+    res = memo_checkpoint(spark, ("results", sf_dir), build)
+    return res if predictor is None else res.filter(F.col("predictor") == predictor).drop("predictor")
 
 
 # ------------------------------------------------------------------ SQL text
@@ -61,21 +81,18 @@ eb as (
   where _cnt >= {EV.MIN_STORE_ROWS})"""
 
 
-def _metric_sql(y, p, cond, prefix, digits=D, with_n=True):
+def _metric_sql(y, p, cond, prefix, suffix="", with_n=True):
     yy, pp = f"(case when {cond} then {y} end)", f"(case when {cond} then {p} end)"
     sse = f"sum(pow({yy} - {pp}, 2))"
     sst = f"(var_pop({yy}) * count({yy}))"
     den = f"((abs({yy}) + abs({pp})) / 2)"
-    out = []
-    if with_n:
-        out.append(f"count({yy}) as {prefix}_samples")
-    out += [f"round(avg(abs({yy} - {pp})), {digits}) as {prefix}_mae",
-            f"round(sqrt(avg(pow({yy} - {pp}, 2))), {digits}) as {prefix}_rmse",
-            f"round(case when {sst} = 0 then (case when {sse} = 0 then 1.0 else 0.0 end) "
-            f"else 1 - {sse} / {sst} end, {digits}) as {prefix}_r2",
-            f"round(100 * avg(abs({yy} - {pp}) / (case when {den} = 0 then {ZERO_GUARD} else {den} end)), "
-            f"{digits}) as {prefix}_smape"]
-    return out
+    out = [f"count({yy}) as {prefix}_samples"] if with_n else []
+    return out + [
+        f"avg(abs({yy} - {pp})) as {prefix}_mae{suffix}",
+        f"sqrt(avg(pow({yy} - {pp}, 2))) as {prefix}_rmse{suffix}",
+        f"case when {sst} = 0 then (case when {sse} = 0 then 1.0 else 0.0 end) "
+        f"else 1 - {sse} / {sst} end as {prefix}_r2{suffix}",
+        f"100 * avg(abs({yy} - {pp}) / (case when {den} = 0 then {ZERO_GUARD} else {den} end)) as {prefix}_smape{suffix}"]
 
 
 def _quality_sql(c):
@@ -84,17 +101,31 @@ def _quality_sql(c):
 
 
 RESULTS_CTE = EVAL_CTE + f""",
+line as (select partner_code, store_code, regr_slope(billings, {LINE_COL}) as slope,
+                regr_intercept(billings, {LINE_COL}) as cut from eb where split = 'train' group by 1, 2),
+pr as (select '{NAIVE}' as predictor, partner_code, store_code, split, billings, prediction from eb
+       union all
+       select '{LINE}' as predictor, eb.partner_code, eb.store_code, eb.split, eb.billings,
+              line.cut + line.slope * eb.{LINE_COL} as prediction
+       from eb join line on eb.partner_code = line.partner_code and eb.store_code = line.store_code),
 res0 as (
-  select partner_code, store_code,
+  select predictor, partner_code, store_code,
          {", ".join(_metric_sql("billings", "prediction", "split = 'train'", "train")
                     + _metric_sql("billings", "prediction", "split = 'test'", "test")
-                    + [s.replace(" as test_", " as test_").replace("_mae", "_mae_original")
-                        .replace("_rmse", "_rmse_original").replace("_r2", "_r2_original")
-                        .replace("_smape", "_smape_original")
-                       for s in _metric_sql("(exp(billings) - 1)", "(exp(prediction) - 1)",
-                                            "split = 'test'", "test", 4, with_n=False)])}
-  from eb group by partner_code, store_code),
-res as (select *, {_quality_sql('test_r2')} as quality, {len(REFERENCE_FEATURES)} as n_features from res0)"""
+                    + _metric_sql("(exp(billings) - 1)", "(exp(prediction) - 1)", "split = 'test'", "test",
+                                  "_original", with_n=False))}
+  from pr group by predictor, partner_code, store_code),
+resall as (select *, {_quality_sql('test_r2')} as quality, {len(REFERENCE_FEATURES)} as n_features from res0),
+res as (select * exclude (predictor) from resall where predictor = '{LINE}')"""
+
+
+def _rsel(cols):
+    """SQL twin of ``EV.rounded`` for a column list."""
+    def one(c):
+        if c.endswith("_original"):
+            return f"round({c}, 4) as {c}"
+        return f"round({c}, {D}) as {c}" if c.rpartition("_")[2] in ("mae", "rmse", "r2", "smape", "rate") else c
+    return ", ".join(map(one, cols))
 
 
 def _with_results(sql):
@@ -129,77 +160,82 @@ _M4 = ["train_samples", "train_mae", "train_rmse", "train_r2", "test_samples", "
        "test_rmse", "test_r2", "test_mae_original", "test_rmse_original", "test_r2_original"]
 
 
-@register("reg_metrics", _with_results(f"select partner_code, store_code, {', '.join(_M4)} from res"))
-def q_reg_metrics(spark, sf_dir):
-    return results(spark, sf_dir).select(*V.STORE_KEY, *_M4)
+RUN = ["predictor", *V.STORE_KEY]
 
 
-@register("smape", _with_results(
-    "select partner_code, store_code, train_smape, test_smape, test_smape_original from res"))
-def q_smape(spark, sf_dir):
-    return results(spark, sf_dir).select(*V.STORE_KEY, "train_smape", "test_smape", "test_smape_original")
+def _metrics_query(cols):
+    def q(spark, sf_dir):
+        return EV.rounded(results(spark, sf_dir).select(*RUN, *cols))
+    return q
 
 
-@register("quality_label", _with_results("select partner_code, store_code, test_r2, quality from res"))
-def q_quality_label(spark, sf_dir):
-    return results(spark, sf_dir).select(*V.STORE_KEY, "test_r2", "quality")
+for _key, _cols in (("reg_metrics", _M4), ("smape", ["train_smape", "test_smape", "test_smape_original"]),
+                    ("quality_label", ["test_r2", "quality"])):
+    register(_key, _with_results(f"select {_rsel(RUN + _cols)} from resall"))(_metrics_query(_cols))
 
 
 @register("quality_distribution", _with_results(f"""
-select quality, count(*) as models, round(100.0 * count(*) / sum(count(*)) over (), {D}) as pct
-from res group by quality"""))
+select predictor, quality, count(*) as models,
+       round(100.0 * count(*) / sum(count(*)) over (partition by predictor), {D}) as pct
+from resall group by predictor, quality"""))
 def q_quality_distribution(spark, sf_dir):
-    return EV.quality_distribution(results(spark, sf_dir))
+    return EV.quality_distribution(results(spark, sf_dir), ["predictor"])
 
 
+SUMMARY_COLS = ["successful_models", "avg_r2", "std_r2", "best_r2", "avg_smape", "std_smape", "best_smape",
+                "total_stores_attempted", "success_rate"]
 SUMMARY_SQL = f"""
-summ as (select count(*) as successful_models, round(avg(test_r2), {D}) as avg_r2,
-                round(stddev_pop(test_r2), {D}) as std_r2, round(max(test_r2), {D}) as best_r2,
-                round(avg(test_smape), {D}) as avg_smape, round(stddev_pop(test_smape), {D}) as std_smape,
-                round(min(test_smape), {D}) as best_smape,
+summ as (select *, case when total_stores_attempted > 0 then 100.0 * successful_models / total_stores_attempted
+                        else 0.0 end as success_rate
+         from (select predictor, count(*) as successful_models, avg(test_r2) as avg_r2,
+                stddev_pop(test_r2) as std_r2, max(test_r2) as best_r2,
+                avg(test_smape) as avg_smape, stddev_pop(test_smape) as std_smape,
+                min(test_smape) as best_smape,
                 (select count(*) from (select distinct partner_code, store_code from sales)) as total_stores_attempted
-         from res)"""
+         from resall group by predictor))"""
+
+
+def summary(spark, sf_dir):
+    return EV.training_summary(results(spark, sf_dir), V.distinct_stores(sales(spark, sf_dir)), ["predictor"])
 
 
 @register("training_summary", _with_results(f""", {SUMMARY_SQL.strip()}
-select *, round(case when total_stores_attempted > 0
-                     then 100.0 * successful_models / total_stores_attempted else 0.0 end, {D}) as success_rate
-from summ"""))
+select predictor, {_rsel(SUMMARY_COLS)} from summ"""))
 def q_training_summary(spark, sf_dir):
-    return EV.training_summary(results(spark, sf_dir), V.distinct_stores(sales(spark, sf_dir)))
+    return EV.rounded(summary(spark, sf_dir)).select("predictor", *SUMMARY_COLS)
 
 
 @register("target_achievement", _with_results(f""", {SUMMARY_SQL.strip()}
-select avg_r2, avg_smape, coalesce(cast(avg_r2 >= {EV.TARGET_R2} as integer), 0) as r2_target_achieved,
+select predictor, {_rsel(["avg_r2", "avg_smape"])},
+       coalesce(cast(avg_r2 >= {EV.TARGET_R2} as integer), 0) as r2_target_achieved,
        coalesce(cast(avg_smape <= {EV.TARGET_SMAPE} as integer), 0) as smape_target_achieved from summ"""))
 def q_target_achievement(spark, sf_dir):
-    summary = EV.training_summary(results(spark, sf_dir), V.distinct_stores(sales(spark, sf_dir)))
-    return EV.target_achievement(summary)
+    return EV.rounded(EV.target_achievement(summary(spark, sf_dir), by=["predictor"]))
 
 
 @register("good_plus_share", _with_results(f"""
-select count(*) filter (where quality = 'EXCELENTE') as excellent_models,
+select predictor, count(*) filter (where quality = 'EXCELENTE') as excellent_models,
        count(*) filter (where quality in ('EXCELENTE', 'BUENO')) as good_plus_models,
        round(100.0 * count(*) filter (where quality = 'EXCELENTE') / count(*), {D}) as excellent_pct,
        round(100.0 * count(*) filter (where quality in ('EXCELENTE', 'BUENO')) / count(*), {D}) as good_plus_pct
-from res"""))
+from resall group by predictor"""))
 def q_good_plus_share(spark, sf_dir):
-    return EV.good_plus_share(results(spark, sf_dir))
+    return EV.good_plus_share(results(spark, sf_dir), ["predictor"])
 
 
 @register("top5_stores", _with_results(f"""
-select store_key, test_r2, cast(row_number() over (order by test_r2 desc, store_key) as integer) as rank
-from (select partner_code || '_' || store_code as store_key, max(test_r2) as test_r2 from res group by 1)
-order by test_r2 desc, store_key limit {TOP_K}"""))
+select store_key, {_rsel(["test_r2"])}, cast(row_number() over (order by test_r2 desc, store_key) as integer) as rank
+from (select partner_code || '_' || store_code as store_key, max(test_r2) as test_r2 from res group by 1) t
+order by rank limit {TOP_K}"""))
 def q_top5_stores(spark, sf_dir):
-    return EV.top_stores(results(spark, sf_dir), TOP_K)
+    return EV.rounded(EV.top_stores(results(spark, sf_dir, LINE), TOP_K))
 
 
 @register("trained_listing", _with_results(f"""
-select partner_code || '_' || store_code as store_key, test_r2, test_smape, quality
-from res order by store_key limit {LISTING_N}"""))
+select store_key, {_rsel(["test_r2", "test_smape"])}, quality
+from (select partner_code || '_' || store_code as store_key, * from res) t order by store_key limit {LISTING_N}"""))
 def q_trained_listing(spark, sf_dir):
-    return EV.trained_listing(results(spark, sf_dir), LISTING_N)
+    return EV.rounded(EV.trained_listing(results(spark, sf_dir, LINE), LISTING_N))
 
 
 BACKTEST_SQL = f"""

@@ -12,10 +12,11 @@ import math
 
 from pyspark.sql import functions as F
 
+from storecast.operators import evaluation as EV
 from storecast.operators import forecast as FC
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
-from storecast.plans.evaluation_q import RESULTS_CTE, results
+from storecast.plans.evaluation_q import LINE, RESULTS_CTE, results
 from storecast.plans.quality_q import STORE_LIST
 from storecast.session import scratch_path
 from storecast.sources import csv_io as C
@@ -48,7 +49,7 @@ def baseline(spark, sf_dir, days=HORIZON_DAYS):
 
 
 def registry(spark, sf_dir):
-    r = results(spark, sf_dir)
+    r = EV.rounded(results(spark, sf_dir, LINE))
     return r.select(*KEY, F.col("test_mae").alias("mae"), F.col("test_rmse").alias("rmse"), "quality",
                     "test_r2", "test_smape", "train_samples", F.col("test_samples").alias("val_samples"),
                     "n_features",
@@ -139,7 +140,8 @@ STATUS_SQL = RESULTS_CTE + f""",
 req as (select distinct partner_code, store_code from sales
         union select * from (values {_store_list_values()}) v(partner_code, store_code)),
 hs as (select distinct partner_code, store_code from sales),
-stat as (select req.partner_code, req.store_code, res.quality, res.test_r2, res.test_smape,
+stat as (select req.partner_code, req.store_code, res.quality, round(res.test_r2, 6) as test_r2,
+                round(res.test_smape, 6) as test_smape,
                 case when res.partner_code is null then 'model_not_found'
                      when hs.partner_code is null then 'no_data' else 'success' end as status
          from req left join res on req.partner_code = res.partner_code and req.store_code = res.store_code
@@ -376,6 +378,6 @@ def q_sink_forecast_csv(spark, sf_dir):
 
 
 @register("available_stores", f"""with {RESULTS_CTE}
-select partner_code, store_code, test_mae as mae, test_rmse as rmse from res""")
+select partner_code, store_code, round(test_mae, 6) as mae, round(test_rmse, 6) as rmse from res""")
 def q_available_stores(spark, sf_dir):
     return registry(spark, sf_dir).select(*KEY, "mae", "rmse")
