@@ -55,10 +55,11 @@ def wavelet(ids: np.ndarray, levels: int) -> tuple[list[np.ndarray], list[int]]:
     """The bits of each level, highest first, and how many of them are 0."""
     cur, planes, zeros = ids.astype(np.uint16 if levels <= 16 else np.uint32), [], []
     for k in range(levels - 1, -1, -1):
-        one = (cur >> k & 1).astype(bool)
+        one = (cur & cur.dtype.type(1 << k)) != 0
         planes.append(one)
-        zeros.append(int(len(cur) - one.sum()))
-        cur = np.concatenate([cur[~one], cur[one]])
+        low = cur[~one]
+        zeros.append(len(low))
+        cur = np.concatenate([low, cur[one]])
     return planes, zeros
 
 
@@ -82,8 +83,11 @@ def pack(bucket: int, number: int, doc_ids: list[int | None], lengths: np.ndarra
     sections = [np.array([d or 0 for d in doc_ids], "<i8"), np.array([d is None for d in doc_ids], np.uint8),
                 np.cumsum(lengths).astype("<u8"), np.array(zeros, "<u8")]
     for one in planes:
-        before = np.add.reduceat(one, np.arange(0, len(one), BLOCK), dtype=np.int64) if len(one) else np.zeros(0, int)
-        sections += [np.packbits(one, bitorder="little"), (np.cumsum(before) - before).astype("<u4")]
+        bits = np.packbits(one, bitorder="little")
+        whole = np.zeros(-(-len(one) // BLOCK) * BLOCK // 64, np.uint64)
+        whole.view(np.uint8)[:len(bits)] = bits
+        ones = np.bitwise_count(whole).reshape(-1, BLOCK // 64).sum(1, dtype=np.int64)
+        sections += [bits, (np.cumsum(ones) - ones).astype("<u4")]
     out = [HEADER.pack(MAGIC, bucket, number, len(doc_ids), len(ids), levels)]
     for s in sections:
         raw = s.tobytes()
