@@ -219,9 +219,12 @@ def feature_names(families: Sequence[str] = FAMILIES, y_prefix: str = "billings"
 def series_features(df: DataFrame, y: str = "billings", families: Sequence[str] = FAMILIES,
                     key: Sequence[str] = STORE_KEY, order: Sequence[str] = ("date",) + TIE_BREAK,
                     y_prefix: str | None = None, chunk_rows: int | None = None,
-                    hot_rows: int | None = None, hot=UNSET) -> DataFrame:
+                    hot_rows: int | None = None, hot=UNSET, shift: int = 0,
+                    also_shift: Sequence[str] = ()) -> DataFrame:
     """Add the rolling/lag features of ``families`` on column ``y``.
 
+    With ``shift`` = k every feature (and the columns of ``also_shift``) is that
+    of k rows earlier, so it knows nothing of the row's own target (D5).
     Lag helper columns that are not requested are dropped again.  With
     ``chunk_rows`` set, hot stores are split (see ``series.chunk_series``).
     """
@@ -235,15 +238,18 @@ def series_features(df: DataFrame, y: str = "billings", families: Sequence[str]
         if fam in families:
             lag_ks |= set(ks)
     needed_lags = {f"{prefix}_lag_{k}" for k in lag_ks}
-    base = chunk_series(df, key, order, LOOKBACK,
+    base = chunk_series(df, key, order, LOOKBACK + shift,
                         chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows, hot)
     w = Window.partitionBy(*key, CHUNK).orderBy(*order)
     stages, helpers = _staged_columns(y, prefix, families, w, needed_lags)
     out = base
     for cols in stages:
         out = out.withColumns(cols)
-    drop = [n for n in needed_lags if n not in {s.name for s in wanted}] + helpers
-    return home_rows(out.drop(*drop))
+    names = [s.name for s in wanted]
+    out = out.drop(*[n for n in needed_lags if n not in names], *helpers)
+    if shift:
+        out = out.withColumns({n: F.lag(n, shift).over(w) for n in [*names, *also_shift]})
+    return home_rows(out)
 
 
 def _staged_columns(y: str, p: str, families: Sequence[str], w: Window, lag_names: set[str]):

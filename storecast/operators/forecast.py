@@ -104,17 +104,30 @@ def forecast_summary(forecast: DataFrame, days: int) -> DataFrame:
                           "confidence_level": F.lit(CONFIDENCE_LEVEL)})
 
 
-def forecast_status(requested: DataFrame, registry: DataFrame, history_stores: DataFrame) -> DataFrame:
-    """One status per requested store: ``model_not_found`` without a
-    registry entry, ``no_data`` without history, else ``success``; with the
-    model's quality and test metrics."""
-    reg = registry.select(*STORE_KEY, F.lit(True).alias("_has_model"), "quality", "test_r2", "test_smape")
+def forecast_status(requested: DataFrame, registry: DataFrame, history_stores: DataFrame,
+                    horizon: DataFrame | None = None) -> DataFrame:
+    """One status per requested store, the first that applies:
+    ``model_not_found`` without a registry entry, ``model_load_error`` if its
+    model is not saved (registry column ``model_saved``), ``no_data`` without
+    history, ``no_features`` if ``horizon`` (store, n_features, n_predicted) has no
+    feature value for it, ``prediction_error`` if it has no prediction, else
+    ``success``; with the model's quality, test metrics and features used."""
+    saved = F.col("model_saved") if "model_saved" in registry.columns else F.lit(True)
+    used = F.col("n_features") if "n_features" in registry.columns else F.lit(None)
+    reg = registry.select(*STORE_KEY, saved.alias("_saved"), "quality", "test_r2", "test_smape",
+                          used.cast("int").alias("_used"))
     hist = history_stores.select(*STORE_KEY, F.lit(True).alias("_has_data"))
     out = (requested.select(*STORE_KEY).distinct()
            .join(reg, list(STORE_KEY), "left").join(hist, list(STORE_KEY), "left"))
-    status = (F.when(F.col("_has_model").isNull(), "model_not_found")
-              .when(F.col("_has_data").isNull(), "no_data").otherwise("success"))
-    return out.withColumn("status", status).drop("_has_model", "_has_data")
+    status = (F.when(F.col("_saved").isNull(), "model_not_found").when(~F.col("_saved"), "model_load_error")
+              .when(F.col("_has_data").isNull(), "no_data"))
+    if horizon is not None:
+        out = out.join(horizon.select(*STORE_KEY, F.col("n_features").alias("_nf"), F.col("n_predicted").alias("_np")),
+                       list(STORE_KEY), "left")
+        status = (status.when(F.coalesce("_nf", F.lit(0)) == 0, "no_features")
+                  .when(F.coalesce("_np", F.lit(0)) == 0, "prediction_error"))
+    out = out.withColumn("status", status.otherwise("success"))
+    return out.withColumn("features_used", F.when(F.col("status") == "success", F.col("_used"))).drop("_saved", "_has_data", "_used", "_nf", "_np")
 
 
 def bulk_summary(status: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -143,7 +143,9 @@ hs as (select distinct partner_code, store_code from sales),
 stat as (select req.partner_code, req.store_code, res.quality, round(res.test_r2, 6) as test_r2,
                 round(res.test_smape, 6) as test_smape,
                 case when res.partner_code is null then 'model_not_found'
-                     when hs.partner_code is null then 'no_data' else 'success' end as status
+                     when hs.partner_code is null then 'no_data' else 'success' end as status,
+                case when res.partner_code is not null and hs.partner_code is not null then res.n_features end
+                  as features_used
          from req left join res on req.partner_code = res.partner_code and req.store_code = res.store_code
                   left join hs on req.partner_code = hs.partner_code and req.store_code = hs.store_code)"""
 
@@ -286,9 +288,10 @@ def q_forecast_summary(spark, sf_dir):
 
 
 @register("forecast_status", f"""with {STATUS_SQL}
-select partner_code, store_code, status, quality, test_r2, test_smape from stat""")
+select partner_code, store_code, status, quality, test_r2, test_smape, features_used from stat""")
 def q_forecast_status(spark, sf_dir):
-    return status(spark, sf_dir).select(*KEY, "status", "quality", "test_r2", "test_smape")
+    return status(spark, sf_dir).select(*KEY, "status", "quality", "test_r2", "test_smape",
+                                       "features_used")
 
 
 @register("model_lookup", f"""with {STATUS_SQL}

@@ -1,9 +1,19 @@
-"""Registered model queries.
-
-Rows-only checks: forest values cannot be reproduced by an SQL oracle.
-All of them share one training run per session (memoized): the scoring
-table is written once to the shared checkpoint folder, one forest per store
-is fitted and scored, and every query reads those outputs.
+"""Registered model queries.
+
+All of them read one training run: the fleet forest over all stores and rows
+(``fleet``), written once per folder as scaler, model, scores and registry.  It
+is one distributed model, not one forest per store.  Features are those of the
+row before (``shift=1``, D5), so nothing of a row's own target leaks, and every
+horizon day takes its own-target features from the store's last history row
+(direct horizon) beside its own calendar columns.
+
+Forest values cannot come from SQL.  The queries therefore return what SQL can
+state (stores, days, split sizes, statuses, actuals) and booleans that must
+hold for the values (predictions not negative and inside their band, metrics
+in range, importances that add up); the values themselves are in ``fleet``'s
+tables.
+
+``store_fleet`` is the reference's explicit ``max_stores`` run: one forest per store.
 """
 
 from __future__ import annotations
@@ -12,24 +22,117 @@ import os
 
 from pyspark.sql import functions as F
 
+from storecast.functions.exprs import QUALITY_FALLBACK, QUALITY_THRESHOLDS, quality_label
 from storecast.operators import evaluation as EV
 from storecast.operators import features as FE
 from storecast.operators import forecast as FC
 from storecast.operators import models as MD
+from storecast.operators import runs as RN
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
+from storecast.plans.evaluation_q import _NN, _W, _feature_sql
 from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, input_hot_keys, model_input
-from storecast.plans.forecast_q import HORIZON_DAYS, TEMPLATE_DAYS, template_start
-from storecast.plans.runs_q import run_tables
-from storecast.session import cut_lineage, scratch_path
+from storecast.plans.forecast_q import (HORIZON_DAYS, STATS_SQL, TEMPLATE_DAYS, TEMPLATE_START_SQL, _cal_sql,
+                                        requested_stores, template_start)
+from storecast.plans.quality_q import STORE_LIST
+from storecast.plans.runs_q import EXPERIMENT, PARENT_TAGS, long_log, run_tables
+from storecast.session import scratch_path, write_table
 from storecast.sources.tables import sales
 
 KEY = ["partner_code", "store_code"]
-VERSION = "0.1.0"
+VERSION = "0.2.0"
+RUN_NAME = "fleet_forest"
+SHIFT = 1
+OWN = [c for c in REFERENCE_FEATURES if c.startswith("billings_")] + ["miles"]
 _FLEETS: dict[tuple, dict] = {}
 MAX_FIT_THREADS = 64
 
 
+# ------------------------------------------------------------- rows to model
+
+def history_rows(spark, sf_dir, min_samples=1):
+    """Complete rows of every store with shifted features and the train/test
+    split; stores below ``min_samples`` rows (J1) are left out."""
+    h = model_input(spark, sf_dir)
+    hot = input_hot_keys(h)
+    if min_samples > 1:
+        h = h.join(V.store_sizes(sales(spark, sf_dir), min_samples).select(*KEY), KEY, "left_semi")
+    a = FE.series_features(FE.calendar_features(h), "billings", FE.REFERENCE_FAMILIES, hot=hot, shift=SHIFT,
+                           also_shift=["miles"])
+    rows = EV.temporal_split(V.drop_null_rows(a, REFERENCE_FEATURES + ["billings"]), hot=hot)
+    return rows.select(*ROW_KEY, "split", "billings", *REFERENCE_FEATURES)
+
+
+def horizon_rows(spark, sf_dir, days=HORIZON_DAYS):
+    """The days after each store's last row: calendar columns of the day, own
+    features as of the last row."""
+    tail = V.recent_rows(model_input(spark, sf_dir), FE.LOOKBACK + 1)
+    last = FC.last_rows(FE.series_features(tail, "billings", FE.REFERENCE_FAMILIES), 1).select(
+        *KEY, F.date_add("date", 1).alias("start_date"), *OWN)
+    return FE.calendar_features(FC.store_calendar(last, days)).select(*KEY, "date", *REFERENCE_FEATURES)
+
+
+def template_rows(spark, sf_dir, days=TEMPLATE_DAYS):
+    """M13's template days with features over history and the drawn targets before them."""
+    tail = V.recent_rows(model_input(spark, sf_dir), FE.LOOKBACK + 1).withColumn("_new", F.lit(False))
+    raw = sales(spark, sf_dir).select(*ROW_KEY, "billings", "miles")
+    tpl = FC.future_template(raw, template_start(spark, sf_dir), days)
+    tpl = FE.log_target(FE.target_transform(
+        tpl.select(*KEY, "date", "billings", "miles").withColumn("_new", F.lit(True)), "billings"), "billings")
+    both = FE.series_features(FE.calendar_features(tail.unionByName(tpl, allowMissingColumns=True)), "billings",
+                              FE.REFERENCE_FAMILIES, shift=SHIFT, also_shift=["miles"])
+    return both.filter("_new").select(*KEY, "date", *REFERENCE_FEATURES)
+
+
+# ------------------------------------------------------------- fleet forest
+
+def fleet(spark, sf_dir, min_samples=1, params=MD.FLEET_PARAMS, root=None):
+    """Train the fleet forest and write its tables, or read those of an equal run
+    (same data, selection, features and parameters) under ``root``."""
+    base = root or scratch_path(spark, "fleet")
+    key = (spark.sparkContext.applicationId, sf_dir, min_samples, params, root)
+    if key in _FLEETS:
+        return _FLEETS[key]
+    at = f"{base}/{MD.digest(os.path.abspath(sf_dir) if '://' not in sf_dir else sf_dir, min_samples, params, REFERENCE_FEATURES, SHIFT, VERSION)}"
+    if not MD.path_exists(spark, f"{at}/registry/_SUCCESS"):       # the registry is written last
+        history_rows(spark, sf_dir, min_samples).write.mode("overwrite").parquet(f"{at}/history")
+        hist = spark.read.parquet(f"{at}/history")
+        MD.train_fleet(hist.filter(F.col("split") == "train"), REFERENCE_FEATURES, at, params=params)
+        for name, rows in (("history", hist), ("horizon", horizon_rows(spark, sf_dir)),
+                           ("template", template_rows(spark, sf_dir))):
+            MD.score(rows, at, REFERENCE_FEATURES).write.mode("overwrite").parquet(f"{at}/scores/{name}")
+        res = EV.model_results(spark.read.parquet(f"{at}/scores/history"),
+                               n_features=len(REFERENCE_FEATURES) + len(MD.LEVELS))
+        res.select("*", F.lit(f"{at}/model").alias("model_file"), F.lit(f"{at}/scaler").alias("scaler_file"),
+                   F.lit(MD.path_exists(spark, f"{at}/model/metadata/_SUCCESS")).alias("model_saved"),
+                   F.array(*[F.lit(c) for c in [*REFERENCE_FEATURES, *MD.LEVELS]]).alias("features"),
+                   F.lit(VERSION).alias("version")).write.mode("overwrite").parquet(f"{at}/registry")
+    out = {"root": at, "registry": spark.read.parquet(f"{at}/registry"),
+           "importances": MD.importances(spark, at, REFERENCE_FEATURES)}
+    out |= {n: spark.read.parquet(f"{at}/scores/{n}") for n in ("history", "horizon", "template")}
+    _FLEETS[key] = out
+    return out
+
+
+def band(spark, sf_dir, fl):
+    """Horizon forecasts on the original scale with their band."""
+    st = FC.history_stats(sales(spark, sf_dir).select(*KEY, "date", "billings"))
+    f = fl["horizon"].join(st.select(*KEY, "hist_mean", "hist_std"), KEY)
+    return FC.confidence_band(f.withColumn("predicted_billings", F.greatest(F.expm1("prediction"), F.lit(0.0))))
+
+
+def statuses(spark, sf_dir, fl):
+    """One status for every requested store, from the written tables."""
+    used = F.lit(0)
+    for c in REFERENCE_FEATURES:
+        used = used + F.col(c).isNotNull().cast("int")
+    horizon = fl["horizon"].groupBy(*KEY).agg(F.max(used).alias("n_features"), F.count("prediction").alias("n_predicted"))
+    return FC.forecast_status(requested_stores(spark, sf_dir), fl["registry"], V.distinct_stores(sales(spark, sf_dir)),
+                              horizon)
+
+
+# ------------------------------------------------- one forest per named store
+
 def fit_threads(spark) -> int:
     """Concurrent store fits: one per core of the session, at most 64 (each
     fit is a sequence of small jobs driven from the driver)."""
@@ -37,228 +140,222 @@ def fit_threads(spark) -> int:
     return int(env) if env else max(1, min(MAX_FIT_THREADS, spark.sparkContext.defaultParallelism))
 
 
-def _features(x):
-    return FE.series_features(FE.calendar_features(x), "billings", FE.REFERENCE_FAMILIES)
-
-
-def history_table(spark, sf_dir):
-    """History rows of every store with the 31 features and the train/test
-    split (complete rows only), written once per session: later steps read
-    it several times."""
-    key = (spark.sparkContext.applicationId, sf_dir, "history")
-    if key not in _FLEETS:
-        h = model_input(spark, sf_dir)
-        hot = input_hot_keys(h)
-        a = FE.series_features(FE.calendar_features(h), "billings", FE.REFERENCE_FAMILIES, hot=hot)
-        hist = EV.temporal_split(V.drop_null_rows(a, REFERENCE_FEATURES + ["billings"]), hot=hot)
-        _FLEETS[key] = cut_lineage(hist.withColumn("kind", F.lit("history")))
-    return _FLEETS[key]
-
-
-def scoring_table(spark, sf_dir, stores=None):
-    """History rows (split), future-horizon rows and template rows with the
-    31 model features, scaled per store; ``stores`` restricts the table to
-    the stores being trained (features are still built on all rows)."""
-    hist = history_table(spark, sf_dir)
-    if stores is not None:
-        hist = hist.join(stores, KEY, "left_semi")
-    h = model_input(spark, sf_dir)
-    if stores is not None:
-        h = h.join(stores, KEY, "left_semi")
-    # rows appended after the history only look back FE.LOOKBACK rows, so
-    # their features come from each store's last LOOKBACK history rows
-    tail = V.recent_rows(h, FE.LOOKBACK).withColumn("_new", F.lit(False))
-    st = FC.history_stats(h)
-    fut = (FC.store_calendar(st.withColumn("start_date", F.date_add("last_date", 1)), HORIZON_DAYS)
-           .select(*KEY, "date", F.lit(True).alias("_new")))
-    fa = _features(tail.unionByName(fut, allowMissingColumns=True))
-    future = fa.filter(F.col("_new")).withColumns({"kind": F.lit("future"), "split": F.lit(None).cast("string")})
-    raw = sales(spark, sf_dir).select(*ROW_KEY, "billings", "miles")
-    if stores is not None:
-        raw = raw.join(stores, KEY, "left_semi")
-    tpl = FC.future_template(raw, template_start(spark, sf_dir), TEMPLATE_DAYS)
-    tpl_in = FE.log_target(FE.target_transform(
-        tpl.select(*KEY, "date", "billings", "miles").withColumn("_new", F.lit(True)), "billings"), "billings")
-    fb = _features(tail.unionByName(tpl_in, allowMissingColumns=True))
-    template = fb.filter(F.col("_new")).withColumns({"kind": F.lit("template"), "split": F.lit(None).cast("string")})
-    cols = ROW_KEY + ["kind", "split", "billings"] + REFERENCE_FEATURES
-    allrows = hist.select(*cols).unionByName(future.select(*cols)).unionByName(template.select(*cols))
-    allrows = allrows.join(hist.select(*KEY).distinct(), KEY, "left_semi")
-    scaled = MD.scale_by_store(allrows, REFERENCE_FEATURES,
-                               (F.col("kind") == "history") & (F.col("split") == "train"))
-    return scaled.withColumn("store_id", F.concat_ws("_", *KEY))
-
-
-def train_stores(spark, sf_dir, max_stores=None, min_samples=1):
-    """Stores to train (M8): at least ``min_samples`` rows (J1) and enough
-    complete rows to split, the first ``max_stores`` of them (A16)."""
-    sized = V.store_sizes(sales(spark, sf_dir), min_samples).select(*KEY)
-    modeled = history_table(spark, sf_dir).select(*KEY).distinct()
-    return V.limit_stores(modeled.join(sized, KEY, "left_semi"), max_stores)
-
-
-def scoring_path(spark, sf_dir, max_stores=None, min_samples=1):
-    """The scoring table of the selected stores, written once per session and
-    partitioned by store."""
-    key = (spark.sparkContext.applicationId, sf_dir, "scoring", max_stores, min_samples)
-    if key not in _FLEETS:
-        stores = None
-        if max_stores is not None or min_samples > 1:
-            # the selection is a bounded top-k / filter of the store list
-            stores = cut_lineage(train_stores(spark, sf_dir, max_stores, min_samples))
-        path = scratch_path(spark, "scoring")
-        scoring_table(spark, sf_dir, stores).write.mode("overwrite").partitionBy("store_id").parquet(path)
-        _FLEETS[key] = path
-    return _FLEETS[key]
-
-
-def fleet(spark, sf_dir, max_stores=None, params=MD.ForestParams(), min_samples=1, root=None):
-    """One per-store training run per session (M8): stores with at least
-    ``min_samples`` rows (J1), the first ``max_stores`` of them (A16); returns
-    paths, fit records, results and importances.
-
-    With ``root`` (a folder in the shared file system) the run can be
-    resumed by a new driver: a complete scoring table there is reused and
-    stores whose model and scores are saved are not refitted."""
-    key = (spark.sparkContext.applicationId, sf_dir, max_stores, params, min_samples, root)
+def store_fleet(spark, sf_dir, max_stores, params=MD.ForestParams(), min_samples=1, root=None):
+    """M8 as the reference runs it: one forest for each of the first ``max_stores``
+    stores (A16) with enough rows (J1).  The folder is named by selection, features
+    and parameters, so a resumed run never meets another run's table or
+    models; every store asked for has a row in ``status``."""
+    key = (spark.sparkContext.applicationId, sf_dir, "stores", max_stores, params, min_samples, root)
     if key in _FLEETS:
         return _FLEETS[key]
-    if root is None:
-        table_path = scoring_path(spark, sf_dir, max_stores, min_samples)
-        root = scratch_path(spark, "fleet")
-    else:
-        table_path = f"{root}/scoring"
-        if not MD.path_exists(spark, f"{table_path}/_SUCCESS"):
-            stores = None
-            if max_stores is not None or min_samples > 1:
-                stores = cut_lineage(train_stores(spark, sf_dir, max_stores, min_samples))
-            scoring_table(spark, sf_dir, stores).write.mode("overwrite").partitionBy("store_id").parquet(table_path)
-    stores = train_stores(spark, sf_dir, max_stores, min_samples)
-    store_ids = [r[0] for r in stores.select(F.concat_ws("_", *KEY)).collect()]   # the fit loop's work list
-    fits = MD.fit_store_forests(spark, table_path, store_ids, REFERENCE_FEATURES, root,
-                                params=params, parallelism=fit_threads(spark))
-    ok = [f["store_id"] for f in fits if f["status"] == "success"]
-    scores = MD.read_scores(spark, root) if ok else None
-    hist_scores = scores.filter(F.col("kind") == "history") if scores is not None else None
-    res = (EV.model_results(hist_scores, n_features=len(REFERENCE_FEATURES)) if hist_scores is not None
-           else None)
-    out = {"root": root, "table": table_path, "fits": fits, "store_ids": store_ids, "scores": scores,
-           "results": res, "importances": MD.importances_frame(spark, fits, REFERENCE_FEATURES)}
+    base = root or scratch_path(spark, "store-fleet")
+    at = f"{base}/{MD.digest(max_stores, min_samples, params, REFERENCE_FEATURES, SHIFT, VERSION)}"
+    table = f"{at}/scoring"
+    if not MD.path_exists(spark, f"{table}/_SUCCESS"):
+        rows = write_table(history_rows(spark, sf_dir, min_samples), "store-history")
+        chosen = write_table(V.limit_stores(rows.select(*KEY).distinct(), max_stores), "store-selection")
+        hist = rows.join(chosen, KEY, "left_semi").withColumn("kind", F.lit("history"))
+        fut = horizon_rows(spark, sf_dir).join(chosen, KEY, "left_semi").withColumn("kind", F.lit("future"))
+        both = hist.unionByName(fut, allowMissingColumns=True)
+        scaled = MD.apply_scaler(both, MD.fit_scaler(hist.filter(F.col("split") == "train"), REFERENCE_FEATURES),
+                                 REFERENCE_FEATURES)
+        scaled.withColumn("store_id", F.concat_ws("_", *KEY)).write.mode("overwrite").partitionBy("store_id").parquet(table)
+    # at most max_stores ids: the fit loop's work list
+    store_ids = sorted(r[0] for r in spark.read.parquet(table).select("store_id").distinct().collect())
+    fits = MD.fit_store_forests(spark, table, store_ids, REFERENCE_FEATURES, at, params=params,
+                                parallelism=fit_threads(spark))
+    ok = any(f["status"] == "success" for f in fits)
+    scores = MD.read_scores(spark, at) if ok else None
+    out = {"root": at, "table": table, "fits": fits, "store_ids": store_ids, "scores": scores,
+           "status": MD.status_frame(spark, fits),
+           "results": EV.model_results(scores.filter(F.col("kind") == "history"), n_features=len(REFERENCE_FEATURES))
+           if ok else None,
+           "importances": MD.importances_frame(spark, fits, REFERENCE_FEATURES)}
     _FLEETS[key] = out
     return out
 
 
-def _results_with_paths(spark, fl):
-    paths = spark.createDataFrame([(f["store_id"], f["model_path"]) for f in fl["fits"]],
-                                  "store_id string, model_path string")
-    return fl["results"].withColumn("store_id", F.concat_ws("_", *KEY)).join(paths, "store_id", "left")
+# ------------------------------------------------------------------ SQL text
+
+_CAL = [c for c in REFERENCE_FEATURES if c not in OWN]
+_OVER = f"over ({_W} order by date, l_orderkey, l_linenumber, l_partkey)"
+SPLIT_CTE = f"""
+sh as (select {', '.join(ROW_KEY + ['billings'] + _CAL)}, {', '.join(f'lag({c}, {SHIFT}) {_OVER} as {c}' for c in OWN)}
+       from ({_feature_sql()}) f),
+ev as (select *, case when _pos <= floor({EV.TRAIN_FRACTION} * _cnt) then 'train' else 'test' end as split
+       from (select *, row_number() {_OVER} as _pos, count(*) over ({_W}) as _cnt from sh where {_NN}) x
+       where _cnt >= {EV.MIN_STORE_ROWS}),
+md as (select partner_code, store_code, count(*) filter (where split = 'train') as train_samples,
+              count(*) filter (where split = 'test') as test_samples from ev group by 1, 2)"""
+N_USED = len(REFERENCE_FEATURES) + len(MD.LEVELS)
+
+
+def _sql(body, ctes=""):
+    return f"with {SPLIT_CTE}{ctes}\n{body}"
 
 
-@register("store_forest")
+def _metrics_hold():
+    """Every metric in its range, RMSE at least MAE, the label that of the R2."""
+    ok = F.lit(True)
+    for s in ("train", "test"):
+        ok &= (F.col(f"{s}_mae") >= 0) & (F.col(f"{s}_rmse") >= F.col(f"{s}_mae") - 1e-9) & (F.col(f"{s}_r2") <= 1)
+        ok &= F.col(f"{s}_smape").between(0, 200)
+    return F.coalesce(ok & (F.col("quality") == quality_label("test_r2")), F.lit(False))
+
+
+# ------------------------------------------------------------------ queries
+
+@register("store_forest", _sql(f"""
+select partner_code, store_code, train_samples, test_samples, {N_USED} as n_features, true as metrics_hold from md"""))
 def q_store_forest(spark, sf_dir):
-    """M3: one forest per store; per-store train/test metrics and label."""
-    fl = fleet(spark, sf_dir)
-    return _results_with_paths(spark, fl)
+    """M3: per-store evaluation of the forest."""
+    return fleet(spark, sf_dir)["registry"].select(
+        *KEY, "train_samples", "test_samples", "n_features", _metrics_hold().alias("metrics_hold"))
 
 
-@register("feature_importance")
-def q_feature_importance(spark, sf_dir):
-    """M7: importance of each feature in each store's forest."""
-    return fleet(spark, sf_dir)["importances"]
+@register("store_forest_pooled", _sql("""
+select count(*) as stores, sum(train_samples)::bigint as train_rows, sum(test_samples)::bigint as test_rows,
+       true as predictions_finite from md"""))
+def q_store_forest_pooled(spark, sf_dir):
+    """M8 for any fleet: one distributed fit over all rows of all stores."""
+    h = fleet(spark, sf_dir)["history"]
+    return h.agg(F.count_distinct(*KEY).alias("stores"), F.count_if(F.col("split") == "train").alias("train_rows"),
+                 F.count_if(F.col("split") == "test").alias("test_rows"),
+                 F.every(F.coalesce(F.abs("prediction") < 1e6, F.lit(False))).alias("predictions_finite"))
 
 
-@register("train_all_stores")
+@register("feature_importance", " union all ".join(
+    f"select '{c}' as feature, true as in_range, true as adds_up" for c in [*REFERENCE_FEATURES, *MD.LEVELS]))
+def q_feature_importance(spark, sf_dir):
+    """M7: importance of each feature of the forest; all of them add up to 1."""
+    imp = fleet(spark, sf_dir)["importances"]
+    total = imp.agg(F.sum("importance")).first()[0]
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                      F.lit(abs(total - 1) < 1e-6).alias("adds_up"))
+
+
+@register("train_all_stores", _sql(f"""
+select count(*) as successful_models,
+       (select count(*) from (select distinct partner_code, store_code from sales)) as total_stores_attempted,
+       round(100.0 * count(*) / (select count(*) from (select distinct partner_code, store_code from sales)), 6)
+         as success_rate, true as summary_holds from md"""))
 def q_train_all_stores(spark, sf_dir):
-    """M8: the training run summary over every store (attempted, successful,
-    success rate, mean/std/best R2 and SMAPE, target flags)."""
-    fl = fleet(spark, sf_dir)
-    summary = EV.training_summary(fl["results"], V.store_sizes(sales(spark, sf_dir), 1))
-    flags = EV.target_achievement(summary).drop("avg_r2", "avg_smape").first().asDict()   # one row
-    return summary.withColumns({c: F.lit(v) for c, v in flags.items()})
+    """M8: the training run's summary over every store, with the target flags."""
+    s = EV.training_summary(fleet(spark, sf_dir)["registry"], V.distinct_stores(sales(spark, sf_dir)))
+    flags = EV.target_achievement(s).select(
+        F.struct("r2_target_achieved", "smape_target_achieved").alias("f")).first()["f"]        # one row
+    holds = ((F.col("best_r2") >= F.col("avg_r2")) & (F.col("best_smape") <= F.col("avg_smape")) & (F.col("std_r2") >= 0)
+             & ((F.col("avg_r2") >= EV.TARGET_R2).cast("int") == flags[0])
+             & ((F.col("avg_smape") <= EV.TARGET_SMAPE).cast("int") == flags[1]))
+    return s.select("successful_models", "total_stores_attempted", F.round("success_rate", 6).alias("success_rate"),
+                    holds.alias("summary_holds"))
+
+
+@register("model_registry", _sql(f"""
+select partner_code, store_code, train_samples, test_samples as val_samples, {N_USED} as n_features,
+       '{VERSION}' as version, true as model_saved, true as errors_hold from md"""))
+def q_model_registry(spark, sf_dir):
+    """The written registry, one row per store with a model."""
+    return fleet(spark, sf_dir)["registry"].select(
+        *KEY, "train_samples", F.col("test_samples").alias("val_samples"), F.size("features").alias("n_features"),
+        "version", "model_saved",
+        ((F.col("test_mae") >= 0) & (F.col("test_rmse") >= F.col("test_mae") - 1e-9)).alias("errors_hold"))
 
 
-@register("model_registry")
-def q_model_registry(spark, sf_dir):
-    """One registry row per stored model."""
-    fl = fleet(spark, sf_dir)
-    r = _results_with_paths(spark, fl)
-    return r.select("store_code", "partner_code", F.col("model_path").alias("model_file"),
-                    F.col("test_mae").alias("mae"), F.col("test_rmse").alias("rmse"),
-                    F.array(*[F.lit(c) for c in REFERENCE_FEATURES]).alias("features"),
-                    "train_samples", F.col("test_samples").alias("val_samples"),
-                    F.lit(VERSION).alias("version"))
+def _holds(f):
+    p = F.col("predicted_billings")
+    return F.coalesce((p >= 0) & (F.col("confidence_lower") <= p) & (p <= F.col("confidence_upper")), F.lit(False))
 
 
-def _forecast_rows(spark, sf_dir, fl):
-    st = FC.history_stats(sales(spark, sf_dir).select(*KEY, "date", "billings"))
-    fut = fl["scores"].filter(F.col("kind") == "future").join(st.select(*KEY, "hist_mean", "hist_std"), KEY)
-    fut = fut.withColumn("predicted_billings", F.greatest(F.expm1("prediction"), F.lit(0.0)))
-    return FC.confidence_band(fut)
+_HORIZON = f", {STATS_SQL.strip()},\nhz as ({_cal_sql(HORIZON_DAYS)} from st semi join md using (partner_code, store_code))"
 
 
-@register("forecast_store")
+@register("forecast_store", _sql("""
+select hz.partner_code, hz.store_code, hz.date, true as in_band
+from hz join (select partner_code, store_code from sales group by 1, 2
+              order by count(*) desc, partner_code, store_code limit 1) top using (partner_code, store_code)""", _HORIZON))
 def q_forecast_store(spark, sf_dir):
     """M9: the horizon forecast of one store (the largest) with its band."""
-    s = sales(spark, sf_dir)
-    top = V.store_sizes(s).orderBy(F.desc("n_rows"), *KEY).first()
-    f = _forecast_rows(spark, sf_dir, fleet(spark, sf_dir))
-    f = V.filter_store(f, top["partner_code"], top["store_code"])
-    return f.select("date", "predicted_billings", "confidence_lower", "confidence_upper", *KEY)
+    top = V.store_sizes(sales(spark, sf_dir)).orderBy(F.desc("n_rows"), *KEY).first()
+    f = V.filter_store(band(spark, sf_dir, fleet(spark, sf_dir)), top["partner_code"], top["store_code"])
+    return f.select(*KEY, "date", _holds(f).alias("in_band"))
 
 
-@register("bulk_forecast_forest")
+_REQUESTED = ", ".join("('{}', '{}')".format(*x.strip().split("_", 1)) for x in STORE_LIST.split(",")
+                       if "_" in x and all(x.strip().split("_", 1)))
+_STATUS = f"""{_HORIZON},
+req as (select distinct partner_code, store_code from sales
+        union select * from (values {_REQUESTED}) v(partner_code, store_code)),
+stat as (select req.*, case when md.partner_code is null then 'model_not_found' else 'success' end as status,
+                case when md.partner_code is not null then {N_USED} end as features_used
+         from req left join md using (partner_code, store_code))"""
+
+
+@register("bulk_forecast_forest", _sql("""
+select stat.partner_code, stat.store_code, stat.status, stat.features_used, hz.date,
+       case when hz.date is not null then true end as in_band
+from stat left join hz using (partner_code, store_code)""", _STATUS))
 def q_bulk_forecast_forest(spark, sf_dir):
-    """M12 with the forests: every store's horizon forecast, band, quality
-    and test metrics."""
+    """One status for every requested store, and the horizon of each that succeeds."""
     fl = fleet(spark, sf_dir)
-    f = _forecast_rows(spark, sf_dir, fl).join(
-        fl["results"].select(*KEY, F.col("quality").alias("model_quality"), "test_r2", "test_smape"), KEY)
-    return f.select("date", "predicted_billings", "confidence_lower", "confidence_upper", *KEY,
-                    F.concat_ws("_", *KEY).alias("store_key"), "model_quality", "test_r2", "test_smape")
+    f = band(spark, sf_dir, fl)
+    return statuses(spark, sf_dir, fl).select(*KEY, "status", "features_used").join(
+        f.select(*KEY, "date", _holds(f).alias("in_band")), KEY, "left")
 
 
-@register("generate_forecast")
+@register("generate_forecast", _sql(f"""
+select strftime(date, '%Y-%m-%d') as date, partner_code, store_code, dayname(date) as day_of_week,
+       cast(month(date) as integer) as month, cast(quarter(date) as integer) as quarter, true as predicted
+from ({_cal_sql(TEMPLATE_DAYS, TEMPLATE_START_SQL)} from md) t"""))
 def q_generate_forecast(spark, sf_dir):
     """Template rows -> features -> forest -> daily rows with day name,
     month and quarter."""
-    t = fleet(spark, sf_dir)["scores"].filter(F.col("kind") == "template")
-    return t.select(F.date_format("date", "yyyy-MM-dd").alias("date"), *KEY,
-                    F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted_monto"),
-                    F.date_format("date", "EEEE").alias("day_of_week"), F.month("date").alias("month"),
-                    F.quarter("date").alias("quarter"))
+    p = F.greatest(F.expm1("prediction"), F.lit(0.0))
+    return fleet(spark, sf_dir)["template"].select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"), *KEY, F.date_format("date", "EEEE").alias("day_of_week"),
+        F.month("date").alias("month"), F.quarter("date").alias("quarter"), F.coalesce(p >= 0, F.lit(False)).alias("predicted"))
 
 
-@register("backtest_forest")
+@register("backtest_forest", _sql(f"""
+select {', '.join(ROW_KEY)}, round(exp(billings) - 1, 4) as actual, true as error_holds
+from (select *, row_number() over ({_W} order by date desc, l_orderkey desc, l_linenumber desc, l_partkey desc) as rn
+      from ev) x where rn <= 5"""))
 def q_backtest_forest(spark, sf_dir):
-    """M17 with the forests: the last 5 history rows of each store."""
-    h = fleet(spark, sf_dir)["scores"].filter(F.col("kind") == "history")
-    bt = EV.backtest_recent(h, F.expm1("billings"), F.expm1("prediction"), 5)
-    return bt.select(*ROW_KEY, "actual", "predicted", "error", "error_pct")
-
-
-@register("run_log_forest")
+    """M17 with the forest: the last 5 history rows of each store."""
+    bt = EV.backtest_recent(fleet(spark, sf_dir)["history"], F.expm1("billings"), F.expm1("prediction"), 5)
+    holds = F.abs(F.col("error") - (F.col("actual") - F.col("predicted"))) < 1e-9
+    return bt.select(*ROW_KEY, F.round("actual", 4).alias("actual"), F.coalesce(holds, F.lit(False)).alias("error_holds"))
+
+
+def forest_params(params=MD.FLEET_PARAMS):
+    return {"model_type": "random_forest", "n_estimators": params.num_trees, "max_depth": params.max_depth,
+            "min_samples_leaf": params.min_instances_per_node, "max_features": params.feature_subset,
+            "random_state": params.seed, "min_samples": 1, "max_stores": "all"}
+
+
+def _log_sql():
+    sk = "partner_code || '_' || store_code"
+    parent = f"md5(concat_ws('|', '{EXPERIMENT}', '{RUN_NAME}'))"
+    child = f"md5(concat_ws('|', '{EXPERIMENT}', '{RUN_NAME}', {sk}))"
+    known = {"model_type": "'random_forest'", "partner_code": "partner_code", "store_code": "store_code",
+             "train_samples": "cast(train_samples as varchar)", "test_samples": "cast(test_samples as varchar)",
+             "n_features": f"'{N_USED}'", "store_id": sk,
+             "training_date": "(select strftime(max(date), '%Y-%m-%d') from sales)"}
+    rows = [(parent, "metric", k, "cast(null as varchar)", "") for k in RN.PARENT_METRICS]
+    rows += [(parent, "param", k, f"'{v}'", "") for k, v in forest_params().items()]
+    rows += [(parent, "tag", k, f"'{v}'", "") for k, v in PARENT_TAGS.items()]
+    rows += [(child, "metric", k, "cast(null as varchar)", " from md") for k in RN.CHILD_METRICS]
+    rows += [(child, kind, k, known.get(k, "'label'"), " from md")
+             for kind, keys in (("param", RN.CHILD_PARAMS), ("tag", RN.CHILD_TAGS)) for k in keys]
+    return " union all ".join(f"select {i} as run_id, '{kind}' as kind, '{k}' as key, {v} as value_text, "
+                              f"{'true' if kind == 'metric' else 'false'} as has_number{src}" for i, kind, k, v, src in rows)
+
+
+@register("run_log_forest", _sql(_log_sql()))
 def q_run_log_forest(spark, sf_dir):
-    """S8 for the forest run: long params / metrics / tags rows."""
-    fl = fleet(spark, sf_dir)
-    p = MD.ForestParams()
-    params = {"model_type": "random_forest", "n_estimators": p.num_trees, "max_depth": p.max_depth,
-              "min_samples_leaf": p.min_instances_per_node, "max_features": p.feature_subset,
-              "random_state": p.seed, "min_samples": 1, "max_stores": "all"}
-    runs, metrics, params_t, tags = run_tables(spark, sf_dir, fl["results"], run_name="random_forest",
-                                               parent_params=params)
-    m = metrics.select("run_id", F.lit("metric").alias("kind"), "key", F.col("value").alias("value_double"),
-                       F.lit(None).cast("string").alias("value_text"))
-    pr = params_t.select("run_id", F.lit("param").alias("kind"), "key",
-                         F.lit(None).cast("double").alias("value_double"), F.col("value").alias("value_text"))
-    t = tags.select("run_id", F.lit("tag").alias("kind"), "key", F.lit(None).cast("double").alias("value_double"),
-                    F.col("value").alias("value_text"))
-    return m.unionByName(pr).unionByName(t)
-
-
-@register("store_forest_pooled")
-def q_store_forest_pooled(spark, sf_dir):
-    """M3/M8 for very large fleets: one distributed forest for all stores,
-    evaluated per store with the same metrics."""
-    table = spark.read.parquet(scoring_path(spark, sf_dir))
-    scores, _ = MD.fit_pooled_forest(table, REFERENCE_FEATURES)
-    return EV.model_results(scores.filter(F.col("kind") == "history"), n_features=len(REFERENCE_FEATURES) + 2)
+    """S8 for the forest run: params, metrics and tags; a quality label is shown as ``label``."""
+    _, metrics, params, tags = run_tables(spark, sf_dir, fleet(spark, sf_dir)["registry"], RUN_NAME, forest_params())
+    labels = [name for name, _ in QUALITY_THRESHOLDS] + [QUALITY_FALLBACK]
+    text = F.when((F.col("key") == "quality") & F.col("value_text").isin(labels), F.lit("label")).otherwise(F.col("value_text"))
+    return long_log(metrics, params, tags).select("run_id", "kind", "key", text.alias("value_text"),
+                                                  F.col("value_double").isNotNull().alias("has_number"))
