@@ -26,11 +26,6 @@ def zero_guard(c: str | Column, eps: float = ZERO_GUARD) -> Column:
     return F.when(c == 0, F.lit(eps)).otherwise(c)
 
 
-def null_if_zero(c: str | Column) -> Column:
-    c = col(c)
-    return F.when(c != 0, c)
-
-
 def keep_null(src: str | Column, value: Column) -> Column:
     """``value`` unless ``src`` is null (``greatest`` and friends skip nulls)."""
     return F.when(col(src).isNotNull(), value)

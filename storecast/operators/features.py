@@ -9,14 +9,14 @@ exchange + sort followed by stacked Window operators.  Series are split for
 hot stores by ``series.chunk_series`` (lookback 59 rows: a 30-row
 correlation against a 30-row lag).
 
-Each feature is declared once with a Spark expression and the equivalent SQL
-text; the SQL is used by the DuckDB oracle.
+``_staged_columns`` has the Spark columns, ``_build_specs`` the names and the SQL
+text of the DuckDB oracle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,15 +45,14 @@ CALENDAR = ["year", "month", "day", "dayofweek", "day_of_week", "day_of_month",
             "week_of_year", "is_weekend", "is_month_start", "is_month_end"]
 
 
-# --------------------------------------------------------------- spec types
+# ------------------------------------------------- the features' SQL (oracle)
 
 @dataclass
 class Ctx:
-    """Names used while building expressions."""
+    """Names used while building SQL text."""
     y: str
     key: list[str]
     order: list[str]
-    spark_window: Window = field(default=None)
 
     @property
     def sql_window(self) -> str:
@@ -64,26 +63,16 @@ class Ctx:
 class Feature:
     name: str
     family: str
-    spark: object          # Ctx -> Column
     sql: object            # Ctx -> str
     stage: int = 1         # 0: lag helpers, 1: window features, 2: derived from stage 1
 
 
-def _w(ctx: Ctx, n: int) -> Window:
-    return ctx.spark_window.rowsBetween(-(n - 1), 0)
-
-
 def _ws(ctx: Ctx, n: int) -> str:
     return f"over ({ctx.sql_window} rows between {n - 1} preceding and current row)"
 
 
-def _gate(ctx, n, e: Column, y: Column | None = None) -> Column:
-    y = F.col(ctx.y) if y is None else y
-    return F.when(F.count(y).over(_w(ctx, n)) == n, e)
-
-
-def _gate_sql(ctx, n, e: str, y: str | None = None) -> str:
-    return f"case when count({y or ctx.y}) {_ws(ctx, n)} = {n} then {e} end"
+def _gate_sql(ctx, n, e: str) -> str:
+    return f"case when count({ctx.y}) {_ws(ctx, n)} = {n} then {e} end"
 
 
 def _guard_sql(e: str) -> str:
@@ -94,85 +83,47 @@ def _guard(c: Column) -> Column:
     return F.when(c == 0, F.lit(ZERO_GUARD)).otherwise(c)
 
 
-def _mean(ctx, n):
-    return F.avg(ctx.y).over(_w(ctx, n))
-
-
-def _std(ctx, n):
-    return F.stddev_samp(ctx.y).over(_w(ctx, n))
-
-
 def _build_specs(y_prefix: str) -> list[Feature]:
     p = y_prefix
     specs: list[Feature] = []
     add = specs.append
     # lag helpers (also the W10 lag features)
     for k in sorted(set(LAGS) | set(MOMENTUM_LAGS) | set(AUTOCORR_LAGS)):
-        add(Feature(f"{p}_lag_{k}", "lags",
-                    lambda c, k=k: F.lag(c.y, k).over(c.spark_window),
-                    lambda c, k=k: f"lag({c.y}, {k}) over ({c.sql_window})", stage=0))
+        add(Feature(f"{p}_lag_{k}", "lags", lambda c, k=k: f"lag({c.y}, {k}) over ({c.sql_window})", stage=0))
     for n in TREND_WINDOWS:
-        add(Feature(f"{p}_trend_{n}", "trend",
-                    lambda c, n=n: _gate(c, n, F.col(c.y) - _mean(c, n)),
-                    lambda c, n=n: _gate_sql(c, n, f"{c.y} - avg({c.y}) {_ws(c, n)}")))
+        add(Feature(f"{p}_trend_{n}", "trend", lambda c, n=n: _gate_sql(c, n, f"{c.y} - avg({c.y}) {_ws(c, n)}")))
     for n in VOLATILITY_WINDOWS:
         add(Feature(f"{p}_volatility_{n}", "volatility",
-                    lambda c, n=n: _gate(c, n, _std(c, n) / _guard(_mean(c, n))),
                     lambda c, n=n: _gate_sql(c, n, f"stddev_samp({c.y}) {_ws(c, n)} / "
                                                    + _guard_sql(f"avg({c.y}) {_ws(c, n)}"))))
     for k in MOMENTUM_LAGS:
-        add(Feature(f"{p}_momentum_{k}", "momentum",
-                    lambda c, k=k: F.col(c.y) - F.col(f"{p}_lag_{k}"),
-                    lambda c, k=k: f"{c.y} - {p}_lag_{k}"))
+        add(Feature(f"{p}_momentum_{k}", "momentum", lambda c, k=k: f"{c.y} - {p}_lag_{k}"))
         add(Feature(f"{p}_momentum_pct_{k}", "momentum_pct",
-                    lambda c, k=k: (F.col(c.y) - F.col(f"{p}_lag_{k}")) / _guard(F.col(f"{p}_lag_{k}")) * 100,
                     lambda c, k=k: f"({c.y} - {p}_lag_{k}) / {_guard_sql(f'{p}_lag_{k}')} * 100"))
     for n in RANK_WINDOWS:
-        def rank_spark(c, n=n):
-            arr = F.collect_list(c.y).over(_w(c, n))
-            y = F.col(c.y)
-            less = F.size(F.filter(arr, lambda v: v < y))
-            eq = F.size(F.filter(arr, lambda v: v == y))
-            return _gate(c, n, (less + (eq + 1) / 2.0) / n)
-
         def rank_sql(c, n=n):
             lst = f"list({c.y}) {_ws(c, n)}"
             return _gate_sql(c, n, f"(len(list_filter({lst}, lambda v: v < {c.y})) + "
                                    f"(len(list_filter({lst}, lambda v: v = {c.y})) + 1) / 2.0) / {n}")
-        add(Feature(f"{p}_rank_{n}", "rank", rank_spark, rank_sql))
+        add(Feature(f"{p}_rank_{n}", "rank", rank_sql))
     for k in AUTOCORR_LAGS:
-        n = AUTOCORR_WINDOW
-
-        def ac_spark(c, k=k, n=n):
-            y, x = F.col(c.y), F.col(f"{p}_lag_{k}")
-            w = _w(c, n)
-            den = F.stddev_pop(y).over(w) * F.stddev_pop(x).over(w)
-            return F.when(F.count(F.when(y.isNotNull(), x)).over(w) == n,
-                          F.covar_pop(y, x).over(w) / F.when(den != 0, den))
-
-        def ac_sql(c, k=k, n=n):
+        def ac_sql(c, k=k, n=AUTOCORR_WINDOW):
             x = f"{p}_lag_{k}"
             ws = _ws(c, n)
             return (f"case when count(case when {c.y} is not null then {x} end) {ws} = {n} "
                     f"then covar_pop({c.y}, {x}) {ws} / nullif(stddev_pop({c.y}) {ws} * "
                     f"stddev_pop({x}) {ws}, 0) end")
-        add(Feature(f"{p}_autocorr_{k}", "autocorr", ac_spark, ac_sql))
+        add(Feature(f"{p}_autocorr_{k}", "autocorr", ac_sql))
     for n in ZSCORE_WINDOWS:
         add(Feature(f"{p}_zscore_{n}", "zscore",
-                    lambda c, n=n: _gate(c, n, (F.col(c.y) - _mean(c, n)) / _guard(_std(c, n))),
                     lambda c, n=n: _gate_sql(c, n, f"({c.y} - avg({c.y}) {_ws(c, n)}) / "
                                                    + _guard_sql(f"stddev_samp({c.y}) {_ws(c, n)}"))))
         add(Feature(f"{p}_is_outlier_{n}", "is_outlier",
-                    lambda c, n=n: F.coalesce(F.abs(F.col(f"{p}_zscore_{n}")) > OUTLIER_Z,
-                                              F.lit(False)).cast("int"),
-                    lambda c, n=n: f"cast(coalesce(abs({p}_zscore_{n}) > {OUTLIER_Z}, false) as integer)",
-                    stage=2))
+                    lambda c, n=n: f"cast(coalesce(abs({p}_zscore_{n}) > {OUTLIER_Z}, false) as integer)", stage=2))
     for n in ROLLING_WINDOWS:
-        for stat, fn, sq in (("mean", F.avg, "avg"), ("std", F.stddev_samp, "stddev_samp"),
-                             ("min", F.min, "min"), ("max", F.max, "max")):
+        for stat, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
             add(Feature(f"{p}_rolling_{n}_{stat}", "rolling",
-                        lambda c, n=n, fn=fn: _gate(c, n, fn(c.y).over(_w(c, n))),
-                        lambda c, n=n, sq=sq: _gate_sql(c, n, f"{sq}({c.y}) {_ws(c, n)}")))
+                        lambda c, n=n, fn=fn: _gate_sql(c, n, f"{fn}({c.y}) {_ws(c, n)}")))
     return specs
 
 

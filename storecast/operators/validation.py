@@ -21,6 +21,10 @@ from storecast.sources.tables import STORE_KEY, TIE_BREAK
 REQUIRED_COLUMNS = ["date", "billings", "store_code", "partner_code"]
 MIN_ROWS = 30
 MIN_TRAIN_ROWS = 50
+# Fixed values of the reference: its three error texts, which callers may compare.
+NO_COLUMNS = "Missing required columns: {}"
+BAD_DATE = "Invalid date format in {}"
+TOO_FEW = f"Insufficient data: {{}} rows. Minimum {MIN_ROWS} required."
 
 
 def missing_columns(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> list[str]:
@@ -49,7 +53,7 @@ def coerced_number(df: DataFrame, c: str) -> Column:
 def validate_sales(df: DataFrame, date_col: str = "date", target: str = "billings",
                    required: Sequence[str] = REQUIRED_COLUMNS, min_rows: int = MIN_ROWS
                    ) -> tuple[DataFrame, DataFrame]:
-    """(cleaned rows, one-row report with the first error or null)."""
+    """(cleaned rows in canonical order, one-row report with the first error or null)."""
     spark = df.sparkSession
     missing = missing_columns(df, required)
     if missing:
@@ -57,7 +61,7 @@ def validate_sales(df: DataFrame, date_col: str = "date", target: str = "billing
             F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("bad_dates"),
             F.lit(None).cast("bigint").alias("bad_numbers"), F.lit(None).cast("bigint").alias("null_targets"),
             F.lit(None).cast("bigint").alias("negative_targets"),
-            F.lit(f"Missing required columns: {missing}").alias("error"))
+            F.lit(NO_COLUMNS.format(missing)).alias("error"))
         return df, report
     d, y = parsed_date(df, date_col), coerced_number(df, target)
     raw_d, raw_y = F.col(date_col), F.col(target)
@@ -68,15 +72,15 @@ def validate_sales(df: DataFrame, date_col: str = "date", target: str = "billing
         F.count(F.when(y.isNull(), 1)).alias("null_targets"),
         F.count(F.when(y < 0, 1)).alias("negative_targets"))
     report = report.withColumn("error", F.when(
-        F.col("bad_dates") > 0, F.lit(f"Invalid date format in {date_col}")).when(
+        F.col("bad_dates") > 0, F.lit(BAD_DATE.format(date_col))).when(
         F.col("rows") < min_rows,
-        F.concat(F.lit("Insufficient data: "), F.col("rows").cast("string"),
-                 F.lit(f" rows. Minimum {min_rows} required."))))
+        F.replace(F.lit(TOO_FEW.replace(str(MIN_ROWS), str(min_rows))), F.lit("{}"), F.col("rows").cast("string"))))
     clean = df.withColumns({
         date_col: d,
         target: F.greatest(F.coalesce(y, F.lit(0.0)), F.lit(0.0)),   # P4 then P5
     })
-    return clean, report
+    # P9; the tie-break columns only where the input has them
+    return clean.orderBy(*[c for c in (*STORE_KEY, date_col, *TIE_BREAK) if c in clean.columns]), report
 
 
 def fill_target_zero(df: DataFrame, target: str = "billings") -> DataFrame:

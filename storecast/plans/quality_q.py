@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
 from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, feature_table
-from storecast.plans.sources_q import sales_csv
-from storecast.sources import csv_io as C
+from storecast.plans.sources_q import DIRTY_CTE, dirty_text
 from storecast.sources.tables import sales
 
 # Parameters of the registered queries.
@@ -18,49 +17,67 @@ RECENT_N = 60           # rows kept per store as the forecast template history
 MAX_STORES = 10         # limited training mode of the reference run
 
 
-def _csv_sales(spark, sf_dir):
-    return C.load_sales(spark, sales_csv(spark, sf_dir))
+STORE_ID = "concat_ws('_', partner_code, store_code) as store_id"
 
 
-@register("required_columns", " union all ".join(
-    f"select '{c}' as column_name, true as present, count({c}) as non_null from sales"
-    for c in V.REQUIRED_COLUMNS))
-def q_required_columns(spark, sf_dir):
-    df = sales(spark, sf_dir)
-    missing = V.missing_columns(df)
-    present = [c for c in V.REQUIRED_COLUMNS if c not in missing]
-    wide = df.agg(*[F.count(c).alias(c) for c in present])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(c not in missing).alias("present"),
-                 (F.col(c) if c in present else F.lit(None).cast("bigint")).alias("non_null"))
-        for c in V.REQUIRED_COLUMNS])))
+def _dirty(sql):
+    return f"with {DIRTY_CTE}\n{sql}"
+
+
+def _with_id(df):
+    return df.withColumn("store_id", F.concat_ws("_", "partner_code", "store_code"))
 
 
-@register("parse_dates", "select store_id, date, billings from sales")
+# two layouts: the sales view, and the EDA files, which have no codes
+_LAYOUTS = {"sales": V.REQUIRED_COLUMNS, "eda": ["date", "billings"]}
+
+
+@register("required_columns", " union all ".join(
+    f"select '{name}' as layout, '{c}' as column_name, {str(c in have).lower()} as present, "
+    f"{f'count({c})' if c in have else 'max(cast(null as bigint))'} as non_null from sales"
+    for name, have in _LAYOUTS.items() for c in V.REQUIRED_COLUMNS))
+def q_required_columns(spark, sf_dir):
+    s = sales(spark, sf_dir)
+    out = None
+    for name, df in (("sales", s), ("eda", s.select("date", "partner_name", "country", "city", "billings"))):
+        missing = V.missing_columns(df)
+        wide = df.agg(*[F.count(c).alias(c) for c in V.REQUIRED_COLUMNS if c not in missing])
+        rows = wide.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("layout"), F.lit(c).alias("column_name"), F.lit(c not in missing).alias("present"),
+                     (F.lit(None).cast("bigint") if c in missing else F.col(c)).alias("non_null"))
+            for c in V.REQUIRED_COLUMNS])))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("parse_dates", _dirty(f"select {STORE_ID}, date, miles from dirty"))
 def q_parse_dates(spark, sf_dir):
-    df = _csv_sales(spark, sf_dir)
-    return df.select("store_id", V.parsed_date(df, "date").alias("date"), "billings")
+    df = dirty_text(spark, sf_dir)
+    return _with_id(df).select("store_id", V.parsed_date(df, "date").alias("date"), V.coerced_number(df, "miles").alias("miles"))
 
 
-@register("coerce_numeric", "select store_id, billings, miles from sales")
+@register("coerce_numeric", _dirty(f"select {STORE_ID}, billings, miles from dirty"))
 def q_coerce_numeric(spark, sf_dir):
-    # read the numbers back as raw text first, then coerce
-    raw = spark.read.option("header", True).csv(sales_csv(spark, sf_dir))
-    raw = raw.withColumnsRenamed({k: v for k, v in C.SALES_HEADER_MAP.items()})
-    return raw.select(F.concat_ws("_", "partner_code", "store_code").alias("store_id"),
-                      V.coerced_number(raw, "billings").alias("billings"),
-                      V.coerced_number(raw, "miles").alias("miles"))
+    df = dirty_text(spark, sf_dir)
+    return _with_id(df).select("store_id", V.coerced_number(df, "billings").alias("billings"),
+                               V.coerced_number(df, "miles").alias("miles"))
+
 
+def _numbers(spark, sf_dir):
+    df = dirty_text(spark, sf_dir)
+    return _with_id(df).select("store_id", V.coerced_number(df, "billings").alias("billings"),
+                               V.coerced_number(df, "miles").alias("miles"))
 
-@register("fill_target_zero", f"select {', '.join(ROW_KEY)}, coalesce(billings, 0) as billings from sales")
+
+@register("fill_target_zero", _dirty(f"select {STORE_ID}, coalesce(billings, 0) as billings, miles from dirty"))
 def q_fill_target_zero(spark, sf_dir):
-    return V.fill_target_zero(sales(spark, sf_dir).select(*ROW_KEY, "billings"))
+    return V.fill_target_zero(_numbers(spark, sf_dir))
 
 
-@register("clip_negative",
-          f"select {', '.join(ROW_KEY)}, greatest(coalesce(billings, 0), 0) as billings from sales")
+@register("clip_negative", _dirty(
+    f"select {STORE_ID}, greatest(coalesce(billings, 0), 0) as billings, miles from dirty"))
 def q_clip_negative(spark, sf_dir):
-    return V.clip_negative(V.fill_target_zero(sales(spark, sf_dir).select(*ROW_KEY, "billings")))
+    return V.clip_negative(V.fill_target_zero(_numbers(spark, sf_dir)))
 
 
 @register("min_rows_check", f"""
@@ -70,28 +87,38 @@ def q_min_rows_check(spark, sf_dir):
         "enough_rows", F.col("rows") >= V.MIN_ROWS)
 
 
-@register("validate_sales", f"""
-select count(*) as rows, cast(0 as bigint) as bad_dates, count(*) filter (where billings is null) as bad_numbers,
-       count(*) filter (where billings is null) as null_targets,
-       count(*) filter (where billings < 0) as negative_targets,
-       case when count(*) < {V.MIN_ROWS} then 'Insufficient data: ' || count(*) || ' rows. Minimum {V.MIN_ROWS} required.' end as error
-from sales""")
+@register("validate_sales", _dirty(f"""
+select *, case when bad_dates > 0 then '{V.BAD_DATE.format('date')}'
+               when rows < {V.MIN_ROWS} then replace('{V.TOO_FEW}', '{{}}', cast(rows as varchar)) end as error
+from (select count(*) as rows, count(*) filter (where date is null) as bad_dates,
+             count(*) filter (where bad_number) as bad_numbers, count(*) filter (where billings is null) as null_targets,
+             count(*) filter (where billings < 0) as negative_targets from dirty) r"""))
 def q_validate_sales(spark, sf_dir):
-    _, report = V.validate_sales(_csv_sales(spark, sf_dir))
+    _, report = V.validate_sales(dirty_text(spark, sf_dir))
     return report
 
 
-@register("row_rules", """
-select rule, violations from (
-  select 'date_parses' as rule, count(*) filter (where date is null) as violations from sales
-  union all select 'billings_non_negative', count(*) filter (where coalesce(billings >= 0, false) = false) from sales
-  union all select 'partner_code_not_blank', count(*) filter (where coalesce(length(trim(partner_code)) > 0, false) = false) from sales
-  union all select 'store_code_not_blank', count(*) filter (where coalesce(length(trim(store_code)) > 0, false) = false) from sales
-  union all select 'any_rule', count(*) filter (where date is null or coalesce(billings >= 0, false) = false
-        or coalesce(length(trim(partner_code)) > 0, false) = false or coalesce(length(trim(store_code)) > 0, false) = false) from sales)
-""")
+@register("validated_rows", _dirty(f"""
+select {STORE_ID}, date, greatest(coalesce(billings, 0), 0) as billings, miles
+from dirty order by partner_code, store_code, date"""))
+def q_validated_rows(spark, sf_dir):
+    """P7's other result: the cleaned rows in canonical order."""
+    df = dirty_text(spark, sf_dir)
+    clean, _ = V.validate_sales(df.withColumn("miles", V.coerced_number(df, "miles")))
+    return _with_id(clean).select("store_id", "date", "billings", "miles")
+
+
+_RULES_SQL = {"date_parses": "date is not null", "billings_non_negative": "coalesce(billings >= 0, false)",
+              "partner_code_not_blank": "coalesce(length(trim(partner_code)) > 0, false)",
+              "store_code_not_blank": "coalesce(length(trim(store_code)) > 0, false)"}
+_RULES_SQL["any_rule"] = " and ".join(f"({r})" for r in _RULES_SQL.values())
+
+
+@register("row_rules", _dirty(" union all ".join(
+    f"select '{name}' as rule, count(*) filter (where not ({rule})) as violations from dirty"
+    for name, rule in _RULES_SQL.items())))
 def q_row_rules(spark, sf_dir):
-    return V.rule_violations(_csv_sales(spark, sf_dir))
+    return V.rule_violations(dirty_text(spark, sf_dir))
 
 
 @register("sort_canonical", f"select {', '.join(ROW_KEY)}, billings from sales "

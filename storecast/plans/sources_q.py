@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from storecast.functions.exprs import md5_uniform
 from storecast.operators import reports as R
 from storecast.plans.catalog import register
 from storecast.plans.reports_q import DASH_END, DASH_PAISES, DASH_START
@@ -43,6 +44,59 @@ def sales_csv(spark, sf_dir) -> str:
                  lambda p: C.write_csv(sales(spark, sf_dir).select(*cols), p, inv))
 
 
+# Shares of rows that the dirty training CSV spoils, by the md5 of the row's key (kept
+# rows are all rows): upper bounds of the draw for each fault.
+DIRT = {"bad_date": 0.01, "bad_number": 0.02, "null_number": 0.03, "negative": 0.05, "no_partner": 0.06, "no_store": 0.07}
+
+
+def _fault(u, name, between):
+    low = [0.0, *DIRT.values()][list(DIRT).index(name)]
+    return between(u, low, DIRT[name])
+
+
+def dirty_csv(spark, sf_dir) -> str:
+    """The training CSV with unparsable dates, text, missing and negative
+    billings and missing codes in some rows."""
+    def write(path):
+        s = sales(spark, sf_dir)
+        u = md5_uniform("l_orderkey", "l_linenumber", "l_partkey")
+
+        def on(name):
+            return _fault(u, name, lambda x, a, b: (x >= a) & (x < b))
+        amount = F.when(on("negative"), -F.col("billings")).when(~on("null_number"), F.col("billings")).cast("string")
+        rows = s.select(
+            F.when(~on("no_partner"), F.col("partner_code")).alias("partner_code"), "partner_name",
+            F.when(~on("no_store"), F.col("store_code")).alias("store_code"), "store_name",
+            F.when(on("bad_date"), F.concat(F.lit("day "), F.col("date").cast("string"))).otherwise(
+                F.col("date").cast("string")).alias("date"),
+            F.when(on("bad_number"), F.lit("n.d.")).otherwise(amount).alias("billings"), "miles")
+        C.write_csv(rows, path, {v: k for k, v in C.SALES_HEADER_MAP.items()})
+    return _once(spark, sf_dir, "dirty-csv", write)
+
+
+def dirty_text(spark, sf_dir):
+    """The dirty CSV as text columns under the canonical names."""
+    raw = spark.read.option("header", True).csv(dirty_csv(spark, sf_dir))
+    return raw.withColumnsRenamed(C.SALES_HEADER_MAP)
+
+
+def _sql_fault(name):
+    return _fault("u", name, lambda u, a, b: f"({u} >= {a} and {u} < {b})")
+
+
+#: The rows of the dirty CSV as the loaders must read them.
+DIRTY_CTE = f"""
+dirty as (
+  select case when not {_sql_fault('no_partner')} then partner_code end as partner_code,
+         case when not {_sql_fault('no_store')} then store_code end as store_code,
+         case when not {_sql_fault('bad_date')} then date end as date,
+         case when {_sql_fault('negative')} then -billings
+              when not ({_sql_fault('bad_number')} or {_sql_fault('null_number')}) then billings end as billings,
+         {_sql_fault('bad_number')} as bad_number, miles
+  from (select *, ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8))::UBIGINT
+                  / 4294967296.0 as u from sales) s)"""
+
+
 def eda_csv_dir(spark, sf_dir) -> str:
     """EDA transaction files in two layouts (with and without City)."""
     def write(path):
