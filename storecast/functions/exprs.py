@@ -14,6 +14,8 @@ ZERO_GUARD = 1e-8
 WEEKDAY_NAMES_ES = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"]
 QUALITY_THRESHOLDS = [("EXCELENTE", 0.8), ("BUENO", 0.6), ("REGULAR", 0.4)]
 QUALITY_FALLBACK = "POBRE"
+# Fixed values of the reference's documentation: label, least R2, largest SMAPE.
+DOCUMENTED_QUALITY = [("EXCELENTE", 0.9, 5.0), ("BUENO", 0.8, 10.0), ("ACEPTABLE", 0.6, 15.0)]
 
 
 def col(c: str | Column) -> Column:
@@ -54,6 +56,14 @@ def quality_label(r2: str | Column) -> Column:
     return out.otherwise(F.lit(QUALITY_FALLBACK))
 
 
+def documented_label(r2: str | Column, smape: str | Column) -> Column:
+    """The quality rule of the reference's documentation (D13): R2 and SMAPE."""
+    out = F.lit(QUALITY_FALLBACK)
+    for label, least, most in reversed(DOCUMENTED_QUALITY):
+        out = F.when((col(r2) >= least) & (col(smape) <= most), F.lit(label)).otherwise(out)
+    return out
+
+
 def smape_term(y: str | Column, p: str | Column) -> Column:
     """|y - p| / ((|y| + |p|) / 2), zero denominator -> 1e-8."""
     y, p = col(y), col(p)

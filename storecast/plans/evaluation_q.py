@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from storecast.functions.exprs import QUALITY_FALLBACK, QUALITY_THRESHOLDS, ZERO_GUARD
+from storecast.functions.exprs import (DOCUMENTED_QUALITY, QUALITY_FALLBACK, QUALITY_THRESHOLDS, ZERO_GUARD,
+                                       documented_label)
 from storecast.operators import evaluation as EV
 from storecast.operators import validation as V
 from storecast.plans.catalog import register
@@ -169,11 +170,22 @@ def _metrics_query(cols):
     return q
 
 
-for _key, _cols in (("reg_metrics", _M4), ("smape", ["train_smape", "test_smape", "test_smape_original"]),
-                    ("quality_label", ["test_r2", "quality"])):
+for _key, _cols in (("reg_metrics", _M4), ("smape", ["train_smape", "test_smape", "test_smape_original"])):
     register(_key, _with_results(f"select {_rsel(RUN + _cols)} from resall"))(_metrics_query(_cols))
 
 
+_DOC_LABEL = "case " + " ".join(f"when test_r2 >= {r} and test_smape <= {m} then '{name}'"
+                                for name, r, m in DOCUMENTED_QUALITY) + f" else '{QUALITY_FALLBACK}' end"
+
+
+@register("quality_label", _with_results(
+    f"select {_rsel(RUN + ['test_r2', 'quality'])}, {_DOC_LABEL} as documented_quality from resall"))
+def q_quality_label(spark, sf_dir):
+    """M6, and the rule of the documentation."""
+    return EV.rounded(results(spark, sf_dir).select(
+        *RUN, "test_r2", "quality", documented_label("test_r2", "test_smape").alias("documented_quality")))
+
+
 @register("quality_distribution", _with_results(f"""
 select predictor, quality, count(*) as models,
        round(100.0 * count(*) / sum(count(*)) over (partition by predictor), {D}) as pct

@@ -41,6 +41,14 @@ DECLARED_FEATURES = (
     + [f"billings_autocorr_{k}" for k in FE.AUTOCORR_LAGS]
     + [n for w in FE.ZSCORE_WINDOWS for n in (f"billings_zscore_{w}", f"billings_is_outlier_{w}")])
 
+# the compact list of 42: nine calendar columns, and every feature but the rolling
+# statistics other than mean and std over 7 and 30 rows
+COMPACT_FEATURES = (
+    ["year", "month", "day_of_week", "day_of_month", "quarter", "week_of_year", "is_weekend", "is_month_start",
+     "is_month_end"]
+    + [n for n in FE.feature_names(FE.FAMILIES) if "_rolling_" not in n
+       or n in [f"billings_rolling_{w}_{s}" for w in (7, 30) for s in ("mean", "std")]])
+
 MODEL_INPUT_SQL = (
     "(select partner_code, store_code, date, l_orderkey, l_linenumber, l_partkey, miles, "
     "greatest(billings, 0.1) as billings_original, ln(1 + greatest(billings, 0.1)) as billings_log, "
@@ -128,25 +136,26 @@ def q_feat_all(spark, sf_dir):
                     *FE.CALENDAR, *_round(ALL_NAMES))
 
 
+FEATURE_LISTS = {"declared_53": DECLARED_FEATURES, "compact_42": COMPACT_FEATURES}
+_LISTED = list(dict.fromkeys(DECLARED_FEATURES + COMPACT_FEATURES))
 _FL_SQL = (
     "with f as (" + FE.series_features_sql(
         f"(select *, {FE.calendar_sql('date')} from {MODEL_INPUT_SQL}) c", "billings",
         FE.FAMILIES, digits=None, select_cols=["*"]) + "), "
-    "c as (select " + ", ".join(f"count({n}) as {n}" for n in DECLARED_FEATURES) + " from f) "
+    "c as (select " + ", ".join(f"count({n}) as {n}" for n in _LISTED) + " from f) "
     + " union all ".join(
-        f"select {i + 1} as position, '{n}' as feature, {n} as non_null from c"
-        for i, n in enumerate(DECLARED_FEATURES)))
+        f"select '{name}' as list, {i + 1} as position, '{n}' as feature, {n} as non_null from c"
+        for name, names in FEATURE_LISTS.items() for i, n in enumerate(names)))
 
 
 @register("feature_lists", _FL_SQL)
 def q_feature_lists(spark, sf_dir):
-    """The declared numeric feature list, with each feature's non-null
-    count in the feature table (one aggregation pass)."""
-    f = feature_table(spark, sf_dir)
-    wide = f.agg(*[F.count(n).alias(n) for n in DECLARED_FEATURES])
+    """Both named feature lists, with each feature's non-null count in
+    the feature table (one aggregation pass)."""
+    wide = feature_table(spark, sf_dir).agg(*[F.count(n).alias(n) for n in _LISTED])
     return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(i + 1).alias("position"), F.lit(n).alias("feature"),
-                 F.col(n).alias("non_null")) for i, n in enumerate(DECLARED_FEATURES)])))
+        F.struct(F.lit(name).alias("list"), F.lit(i + 1).alias("position"), F.lit(n).alias("feature"),
+                 F.col(n).alias("non_null")) for name, names in FEATURE_LISTS.items() for i, n in enumerate(names)])))
 
 
 # ------------------------------------------------------------------ T1-T8
