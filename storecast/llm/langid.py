@@ -192,7 +192,8 @@ def identify(docs: DataFrame, filters: Filters, names: tuple[str, str] = ("lang_
         lang, score = model.predict(texts.to_pylist(), fp)
         return [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
 
-    return add_columns(docs, f"{names[0]} string, {names[1]} double", predict)
+    # small slices: a letter takes some 60 bytes while its n-grams are looked up
+    return add_columns(docs, f"{names[0]} string, {names[1]} double", predict, max_bytes=1 << 20)
 
 
 def held_out() -> Column:
