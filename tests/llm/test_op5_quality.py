@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from oracle import duck_rows, rows
+from llm.oracle import duck_rows, rows
 from storecast.llm import quality, queries
 from storecast.llm.common import table
 

@@ -14,12 +14,12 @@ def tokenise(text):
     """(template, value) of every token, in plain code."""
     n, p, u, d = decontam.NUMBER, decontam.NAME, decontam.UNIT, decontam.POINT
     t = regex.sub(rf"[{n}-{d}]", " ", text or "")
-    t = regex.sub(r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", p, t).lower()
+    t = regex.sub(r"(?<=[^\s.!?:] )(?=\p{Lu}\p{Ll})", p, t).lower()
     t = regex.sub(r"(?<=[0-9])[.,:/](?=[0-9])", d, t)
     t = regex.sub(rf"(?<![\p{{L}}\p{{N}}{p}{d}])([0-9]+(?:{d}[0-9]+)*)", rf"{n}\1", t)
-    t = regex.sub(rf"({n}[0-9{d}]+)[ -]?({decontam.UNITS})(?![\p{{L}}\p{{N}}])", rf"\1 {u}\2", t)
-    raw = regex.findall(rf"[\p{{L}}\p{{N}}{n}-{d}%°]+", t)
-    return [(regex.sub(rf"([{n}-{u}])[\p{{L}}\p{{N}}{d}%°]+", r"\1", x), x) for x in raw]
+    t = regex.sub(rf"({n}[0-9{d}]+)[ -]?({decontam.UNITS})(?![\p{{L}}\p{{N}}%])", rf"\1 {u}\2", t)
+    raw = regex.findall(rf"[\p{{L}}\p{{N}}{n}-{d}]+", t)
+    return [(regex.sub(rf"([{n}-{u}])[\p{{L}}\p{{N}}{d}]+", r"\1", x), x) for x in raw]
 
 
 def is_slot(x):
@@ -81,7 +81,7 @@ def test_reparameterised_question_is_caught(spark, docs_of, edge_rows):
     mixed = Q.replace("then Alice", "then Carol").replace("gives Bob", "gives Alice")
     half = " ".join(Q.split()[:9])
     docs = edge_rows + [(30, FILLER + Q), (31, FILLER + other + " and more"), (32, FILLER + mixed), (33, half),
-                        (34, Q.upper()), (35, "12 13 14 15 16 17 18 19 20 21 22 23 24 25"), (36, other + " " + Q),
+                        (34, Q.upper()), (40, FILLER + Q.replace(" ", "%%% ").replace("?", "?###")), (35, "12 13 14 15 16 17 18 19 20 21 22 23 24 25"), (36, other + " " + Q),
                         (30, FILLER + Q), (37, "the tiny one is here too"), (38, "we saw the tiny one is here, too. Yes")]
     bench = [(1, Q), (2, None), (3, ""), (4, "too short here"), (5, "1 2 3 4 5 6 7 8 9 10 11 12 13"),
              (6, "the tiny one is here too"), (None, "an item without any number that is still an item for us")]
@@ -89,7 +89,7 @@ def test_reparameterised_question_is_caught(spark, docs_of, edge_rows):
     df, b = docs_of(docs), bench_of(spark, bench)
     got = result(decontam.contaminated(df, b))
     assert got == brute(docs, bench)
-    assert {d for d, i, *_ in got} >= {30, 31, 36, 37, 38, 39} and not {d for d, *_ in got} & {32, 33, 34, 35}
+    assert {d for d, i, *_ in got} >= {30, 31, 36, 37, 38, 39, 40} and not {d for d, *_ in got} & {32, 33, 34, 35}
     assert (31, False) in {(d, v) for d, _, _, _, v in got} and (30, True) in {(d, v) for d, _, _, _, v in got}
     assert result(decontam.contaminated(df, b, broadcast_windows=0)) == got
     kept = decontam.clean(df, b)

@@ -4,9 +4,9 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_op4_simhash import brute_components, brute_fp
-from test_op8_decontam import brute as leaks
-from test_op10_pii import brute as base_spans
+from llm.test_op4_simhash import brute_components, brute_fp
+from llm.test_op8_decontam import brute as leaks
+from llm.test_op10_pii import brute as base_spans
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
