@@ -116,7 +116,11 @@ def load_pred_vs_real(spark: SparkSession, path: str, sep: str = ",") -> DataFra
     """S3: dashboard upload: headers trimmed and lower-cased, aliases renamed
     unless the target name exists, date and the two numbers coerced (bad ->
     null), rows without a date dropped."""
-    df = _text_csv(spark, path, sep)
+    return normalize_upload(_text_csv(spark, path, sep))
+
+
+def normalize_upload(df: DataFrame) -> DataFrame:
+    """S3's rules on an all-text frame (batch or streaming)."""
     df = df.toDF(*[c.strip().lower() for c in df.columns])
     for src, dst in DASHBOARD_ALIASES.items():
         if src in df.columns and dst not in df.columns:

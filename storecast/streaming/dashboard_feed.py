@@ -21,20 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from storecast.sources.csv_io import DASHBOARD_ALIASES
-
-
-def normalize_upload(df: DataFrame) -> DataFrame:
-    """Upload rules on an all-text frame (batch or streaming)."""
-    df = df.toDF(*[c.strip().lower() for c in df.columns])
-    for src, dst in DASHBOARD_ALIASES.items():
-        if src in df.columns and dst not in df.columns:
-            df = df.withColumnRenamed(src, dst)
-    t = F.trim("fecha")
-    df = df.withColumn("fecha", F.coalesce(F.try_to_date(t, "yyyy-MM-dd"), F.to_date(F.try_to_timestamp(t))))
-    df = df.withColumns({c: F.trim(c).try_cast("double") for c in ("ventas_reales", "ventas_predichas")
-                         if c in df.columns})
-    return df.dropna(subset=["fecha"])
+from storecast.sources.csv_io import normalize_upload
 
 
 def _aggregates(df: DataFrame) -> dict[str, DataFrame]:
