@@ -1,8 +1,8 @@
 """Benchmark decontamination by template windows, in DataFrame functions only.
 
 Canonical template of a text: numbers, units that follow a number, and names
-(a capitalised word after a word or comma, so not one that begins a sentence)
-become typed placeholders; the rest is lower-cased words.  Windows of ``window``
+(a capitalised word after a space, so not one that begins a sentence or line)
+become typed placeholders; the rest is lower-cased words without their punctuation.  Windows of ``window``
 template tokens of the benchmark (an item with fewer: the whole item) are
 hash-joined with those of the documents.  Matches of one document and one item
 at one distance are an alignment.  An alignment counts if its windows are equal
@@ -12,8 +12,8 @@ has enough windows: a run's worth of ``min_tokens`` tokens, or
 ``min_share`` of the item's windows where that is less.
 
 Windows with fewer than half literal tokens are left out: rows of numbers would
-match anything.  The benchmark index is broadcast up to ``broadcast_windows``
-windows, beyond that both sides are shuffled.
+match anything.  The benchmark index, and then the table of alignments, is
+broadcast up to ``broadcast_windows`` windows; beyond that both sides are shuffled.
 
 Edge cases: a null or empty text has no windows; items under ``min_item``
 tokens never match, for such a phrase is no evidence; rows are told apart by
@@ -41,21 +41,21 @@ def marked(text: Column) -> Column:
     """Lower-case text in which every slot token begins with the mark of its type."""
     for mark in (NUMBER, NAME, UNIT, POINT):
         text = F.replace(text, F.lit(mark), F.lit(" "))
-    named = F.lower(F.regexp_replace(text, r"\p{Lu}(?<=[\p{L}\p{N},;] .)(?=\p{Ll})", f"{NAME}$0"))
+    named = F.lower(F.regexp_replace(text, r"\p{Lu}(?<=[^\s.!?:] .)(?=\p{Ll})", f"{NAME}$0"))
     joined = F.regexp_replace(named, r"(?<=[0-9])[.,:/](?=[0-9])", POINT)
     numbered = F.regexp_replace(joined, rf"(?<![\p{{L}}\p{{N}}{NAME}{POINT}])[0-9]+(?:{POINT}[0-9]+)*", f"{NUMBER}$0")
-    united = F.regexp_replace(numbered, rf"({NUMBER}[0-9{POINT}]+)[\x20-]?({UNITS})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
+    united = F.regexp_replace(numbered, rf"({NUMBER}[0-9{POINT}]+)[\x20-]?({UNITS})(?![\p{{L}}\p{{N}}%])", f"$1 {UNIT}$2")
     return F.when(F.rlike(text, F.lit("[0-9]")), united).otherwise(named)
 
 
 def template(text: Column) -> Column:
     """Marked text with every slot token cut down to its mark."""
-    return F.regexp_replace(text, rf"([{NUMBER}-{UNIT}])[\p{{L}}\p{{N}}{POINT}%°]+", "$1")
+    return F.regexp_replace(text, rf"([{NUMBER}-{UNIT}])[\p{{L}}\p{{N}}{POINT}]+", "$1")
 
 
 def tokens(text: Column) -> Column:
     # only letters, digits and the like are cut off a slot, so marked text and template split alike
-    spaced = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}%°]+", " ")
+    spaced = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}]+", " ")
     trimmed = F.trim(spaced)
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
 
@@ -121,9 +121,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tok
         .agg(F.collect_set(F.struct("place", "size")).alias("places"), F.max("n_windows").alias("n_windows"))
         .where(F.size("places") >= need), "decontam-aligned")
 
-    # the tokens of the few documents that have an alignment
+    # the tokens of the documents that have an alignment, broadcast under the same bound
     by_row = aligned.groupBy("doc_id", "row_hash").agg(
         F.collect_list(F.struct("item_id", "shift", "places", "n_windows")).alias("found"))
+    n_places = aligned.agg(F.sum(F.size("places"))).first()[0] or 0
+    by_row = F.broadcast(by_row) if n_places <= broadcast_windows else by_row.hint("merge")
     texts = rows.alias("r").join(
         by_row.alias("b"), F.col("r.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("r.row_hash") == F.col("b.row_hash"))) \
         .select("r.doc_id", "r.row_hash", "found", "text").dropDuplicates(["doc_id", "row_hash"])
@@ -158,3 +160,68 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     bad = materialize(bad, "decontam-bad")  # its size is known then: broadcast only while small
     return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_id"))
                       & (F.col(key) == F.col("_bad_hash")), "left_anti").drop(key)
+
+
+def _sql_marked(text: str) -> str:
+    """``marked`` without look-around: what stands beside a match is matched and
+    put back, twice where matches can share it."""
+    def sub(x: str, pattern: str, to: str) -> str:
+        return f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+
+    x = text
+    for mark in (NUMBER, NAME, UNIT, POINT):
+        x = f"replace({x}, '{mark}', ' ')"
+    for _ in range(2):
+        x = sub(x, r"([^\s.!?:] )(\p{Lu}\p{Ll})", rf"\1{NAME}\2")
+    x = f"lower({x})"
+    for _ in range(2):
+        x = sub(x, "([0-9])[.,:/]([0-9])", rf"\1{POINT}\2")
+    x = sub(x, rf"(^|[^\p{{L}}\p{{N}}{NAME}{POINT}])([0-9]+(?:{POINT}[0-9]+)*)", rf"\1{NUMBER}\2")
+    return sub(x, rf"({NUMBER}[0-9{POINT}]+)[ -]?({UNITS})([^\p{{L}}\p{{N}}%]|$)", rf"\1 {UNIT}\2\3")
+
+
+def _sql_tokens(x: str) -> str:
+    spaced = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}}{NUMBER}-{POINT}]+', ' ', 'g')"
+    return f"list_filter(string_split({spaced}, ' '), lambda t: t <> '')"
+
+
+_TEMPLATE = rf"regexp_replace(m, '([{NUMBER}-{UNIT}])[\p{{L}}\p{{N}}{POINT}]+', '\1', 'g')"
+_SLOT = f"^[{NUMBER}-{UNIT}]"
+
+#: ``contaminated`` with its defaults in DuckDB SQL over ``documents`` and ``benchmark``; windows are compared as text.
+SQL = f"""
+with d as (
+  select row_number() over () as d, doc_id, {_sql_tokens('m')} as raw, {_sql_tokens(_TEMPLATE)} as words
+  from (select doc_id, {_sql_marked('text')} as m from (select distinct doc_id, coalesce(text, '') as text from documents))),
+b as (
+  select item_id, least(len(words), 8) as size, raw, words
+  from (select item_id, {_sql_tokens('m')} as raw, {_sql_tokens(_TEMPLATE)} as words
+        from (select item_id, {_sql_marked("coalesce(text, '')")} as m from benchmark)) where len(words) >= 5),
+bw as (
+  select item_id, size, place, raw, array_to_string(words[place + 1:place + size], ' ') as win
+  from (select *, unnest(range(0, len(words) - size + 1)) as place from b)
+  where 2 * len(list_filter(words[place + 1:place + size], lambda t: not regexp_matches(t, '{_SLOT}'))) >= size),
+bn as (select item_id, count(*) as n_windows from bw group by item_id),
+dw as (
+  select d, pos, size, array_to_string(words[pos + 1:pos + size], ' ') as win
+  from (select d, words, size, unnest(range(0, len(words) - size + 1)) as pos
+        from d cross join (select distinct size from bw) z where len(words) >= size)),
+hit as (
+  select dw.d, bw.item_id, dw.pos - bw.place as shift, bw.place, bw.size, dw.pos, bw.raw
+  from dw join bw on dw.win = bw.win and dw.size = bw.size),
+slot as (
+  select hit.d, item_id, shift, hit.raw[place + k + 1] as a, d.raw[pos + k + 1] as b
+  from (select *, unnest(range(0, size)) as k from hit) hit join d on hit.d = d.d
+  where regexp_matches(hit.raw[place + k + 1], '{_SLOT}')),
+kept as (
+  select d, item_id, shift, count(distinct (a, b)) = count(distinct a) as consistent, bool_and(a = b) as same
+  from slot group by all),
+al as (select d, item_id, shift, count(distinct place) as n_matched from hit group by all)
+select doc_id, al.item_id, max(n_matched)::bigint as n_matched, max(n_windows)::bigint as n_windows,
+       bool_or(coalesce(same, true)) as verbatim
+from al join bn on al.item_id is not distinct from bn.item_id
+     left join kept on kept.d = al.d and kept.item_id is not distinct from al.item_id and kept.shift = al.shift
+     join d on d.d = al.d
+where coalesce(consistent, true) and n_matched >= least(6, ceil(n_windows * 0.8))
+group by d.d, doc_id, al.item_id
+"""

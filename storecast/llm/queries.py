@@ -72,12 +72,12 @@ def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query()
+@query(decontam.SQL)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("row_hash")
 
 
-@query()
+@query(suffixes.SQL)
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.repeats(table(spark, sf_dir, "documents"), min_words=50)
+    return suffixes.repeats(table(spark, sf_dir, "documents"), min_words=50).drop("other_doc_id")

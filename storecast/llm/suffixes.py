@@ -243,3 +243,24 @@ def repeats(docs: DataFrame, min_words: int = 50, span: int = 32) -> DataFrame:
     none = F.lit(NO_ID)
     return found.select(F.nullif("doc", none).alias("doc_id"), "start_word", "end_word", "n_words",
                         F.nullif("other", none).alias("other_doc_id"))
+
+
+#: The spans in DuckDB SQL over ``documents``: every window as text.
+SQL = r"""
+with d as (select distinct doc_id, text from documents where text is not null),
+w as (
+  select row_number() over () as r, doc_id,
+         list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from d),
+win as (
+  select r, doc_id, s, array_to_string(words[s + 1:s + 50], ' ') as win
+  from (select r, doc_id, words, unnest(range(0, len(words) - 49)) as s from w where len(words) >= 50)),
+rep as (
+  select win from win group by win having count(distinct doc_id) + max((doc_id is null)::int) >= 2),
+hit as (select r, doc_id, s, lag(s) over (partition by r order by s) as before from win semi join rep using (win)),
+span as (
+  select r, doc_id, s, sum(case when before is null or s > before + 50 then 1 else 0 end)
+                         over (partition by r order by s) as k from hit)
+select doc_id, min(s)::bigint as start_word, (max(s) + 50)::bigint as end_word,
+       (max(s) + 50 - min(s))::bigint as n_words
+from span group by r, doc_id, k
+"""

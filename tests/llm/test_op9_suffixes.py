@@ -4,7 +4,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from storecast.llm import queries, suffixes
+from llm.oracle import duck_rows, rows
+from storecast.llm import suffixes
 from storecast.llm.common import table
 
 SF = "/root/testdata/sf0.01"
@@ -43,7 +44,7 @@ def check(df, docs, m=50):
 
 def test_whole_query_equals_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
-    assert len(check(queries.QUERIES["op9_suffix_dedup"](spark, SF), docs)) > 20
+    assert len(check(suffixes.repeats(table(spark, SF, "documents")), docs)) > 20
 
 
 @pytest.mark.parametrize("seed,m,span", [(1, 50, 32), (2, 12, 5), (3, 9, 1), (4, 9, 2), (5, 20, 13)])
@@ -78,5 +79,6 @@ def test_edges(spark, docs_of, edge_rows):
     docs = edge_rows + [(20, p), (20, p), (21, "a " + p), (22, p + " " + p), (23, "q " * 49), (24, "q " * 49),
                         (25, "own " * 80), (26, f"s {p}x"), (None, p), (None, "t " + p)]
     got = check(suffixes.repeats(docs_of(docs)), docs)
+    assert rows(suffixes.repeats(docs_of(docs)).drop("other_doc_id")) == duck_rows(suffixes.SQL, documents=docs_of(docs))
     assert {d for d, *_ in got} == {20, 21, 22, 26, None}
     assert suffixes.repeats(docs_of(docs).where(F.lit(False))).count() == 0
