@@ -93,8 +93,9 @@ def test_reparameterised_question_is_caught(spark, docs_of, edge_rows):
     assert {d for d, i, *_ in got} >= {30, 31, 36, 37, 38, 39, 40} and not {d for d, *_ in got} & {32, 33, 34, 35}
     assert (31, False) in {(d, v) for d, _, _, _, v in got} and (30, True) in {(d, v) for d, _, _, _, v in got}
     assert result(decontam.contaminated(df, b, broadcast_windows=0)) == got
-    plain = rows(decontam.contaminated(df, b).drop("row_hash"))
-    assert plain == duck_rows(decontam.SQL, documents=df, benchmark=b)
+    small = docs_of([d for d in docs if len(d[1] or "") < 10_000])
+    plain = rows(decontam.contaminated(small, b).drop("row_hash"))
+    assert plain == duck_rows(decontam.SQL, documents=small, benchmark=b)
     kept = decontam.clean(df, b)
     assert kept.columns == df.columns
     bad = {d for d, *_ in got}
