@@ -251,6 +251,6 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     The ids are written before they are decoded: a task then runs one Python
     worker at a time."""
     coded = encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), path).drop("text")
-    return decode(materialize(coded, "bpe-ids"), path).select(
+    return decode(materialize(coded, "bpe-ids", "zstd"), path).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
