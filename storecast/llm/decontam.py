@@ -153,13 +153,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tok
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without a benchmark item, with all their columns."""
+    key, bad_id, bad_hash = fresh(docs, "_row_hash", "_bad_id", "_bad_hash")
     bad = contaminated(docs, benchmark, **options).select(
-        F.col("doc_id").alias("_bad_id"), F.col("row_hash").alias("_bad_hash")).distinct()
-    key, = fresh(docs, "_row_hash")
+        F.col("doc_id").alias(bad_id), F.col("row_hash").alias(bad_hash)).distinct()
     keyed = docs.withColumn(key, F.xxhash64(_text(docs)))
     bad = materialize(bad, "decontam-bad")  # its size is known then: broadcast only while small
-    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_id"))
-                      & (F.col(key) == F.col("_bad_hash")), "left_anti").drop(key)
+    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id))
+                      & (F.col(key) == F.col(bad_hash)), "left_anti").drop(key)
 
 
 def _sql_marked(text: str) -> str:

@@ -297,12 +297,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_gr
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_group: int = 1 << 18) -> DataFrame:
     """The rows of ``docs`` of smallest doc_id in each component (nulls last;
     of rows that share it, the smallest row hash; of equal rows, one)."""
+    row, number, keep_id, keep_row = fresh(docs, "_row", "_number", "_keep_id", "_keep_row")
     first = components(docs, shingle, max_bits, max_group).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("k")) \
-        .select(F.col("k.doc_id").alias("_keep_id"), F.col("k.row").alias("_keep_row"))
+        .select(F.col("k.doc_id").alias(keep_id), F.col("k.row").alias(keep_row))
     first = materialize(first, "simhash-keep")  # its size is known then: broadcast only while small
-    row, number = fresh(docs, "_row", "_number")
     kept = docs.withColumn(row, row_hash(docs)).join(
-        first, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col(row) == F.col("_keep_row")), "left_semi")
+        first, F.col("doc_id").cast("long").eqNullSafe(F.col(keep_id)) & (F.col(row) == F.col(keep_row)), "left_semi")
     equal = Window.partitionBy("doc_id", row).orderBy(row)
     return kept.withColumn(number, F.row_number().over(equal)).where(F.col(number) == 1).drop(row, number)
