@@ -43,11 +43,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i ins
 BOILER_TAGS = frozenset("nav footer aside form menu dialog button fieldset".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 # Words of class, id and role that name what a part of a page is for.
-BOILER_WORDS = frozenset("""ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs byline comment
+BOILER_WORDS = frozenset("""ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs comment
     comments consent contentinfo cookie cookies copyright dialog discussion disqus disclaimer footer gdpr header login
     masthead menu modal nav navbar navigation navi newsletter notice notices notification overlay pager pagination popup
     privacy promo promotion recommended related replies reply respond search share sharing sidebar sidenav signup skip
     social sponsor sponsored subscribe tags teaser toolbar topbar tracking widget widgets""".split())
+BOILER_STARTS = ("comment", "advert", "adsby", "sidebar", "cookie", "navig", "newsletter")
 CONTENT_WORDS = frozenset("article articlebody content entry main post postbody story body text".split())
 LAYOUT_WORDS = frozenset("has with no wrapper wrap container layout page site col row".split())
 CUE = re.compile(r"©|copyright|cookie|all rights|subscribe|sign up|log ?in|privacy|terms of|newsletter|share", re.I)
@@ -65,7 +66,10 @@ def says(name: str, attrs: str, above: float) -> float:
     words = {w.lower() for m in NAMED.finditer(attrs) for w in WORD.findall(m[1] or m[2] or m[3] or "")} if attrs else set()
     if above <= STRONG or name in BOILER_TAGS or (name == "header" and above < INSIDE):
         return STRONG
-    if words & BOILER_WORDS and not words & LAYOUT_WORDS and name not in ("html", "body", "main"):
+    if above >= INSIDE:  # the header of an article is part of it
+        words.discard("header")
+    boiler = words & BOILER_WORDS or any(w.startswith(BOILER_STARTS) for w in words)
+    if boiler and not words & LAYOUT_WORDS and name not in ("html", "body", "main"):
         return STRONG
     if name in CONTENT_TAGS or words & CONTENT_WORDS and name not in ("html", "body"):
         return INSIDE

@@ -48,6 +48,7 @@ PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><b
 <header><h1>Site</h1></header><nav><a href=/>Home</a> <a href=x>News</a></nav>
 <div class="cookie-notice">We use cookies. <button>OK</button></div>
 <div class="page has-sidebar"><article><header><h1>The&nbsp;title &lt;1&gt;</h1></header>
+<div class="article-header">By <span class="byline">Ann</span></div><ol class="commentlist"><li>Nice one</li></ol>
 <p>First <b>par</b>agraph, with a <a href="#">link</a>.<br>Next line&#33; 3 < 4
 <p title="a>b">Second &amp; last.</p><div class="ad">Buy now</div><!-- <p>no</p> --><script>var a="</p>";</script>
 <form><label>Mail</label><input></form>
@@ -57,7 +58,7 @@ PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><b
 
 def test_boilerplate_of_many_kinds_goes():
     assert html.main_text(PAGE, ZERO) == \
-        "The title <1> First paragraph, with a link. Next line! 3 < 4 Second & last."
+        "The title <1> By Ann First paragraph, with a link. Next line! 3 < 4 Second & last."
 
 
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<>", "<p", "<!--", "<script>", "&", "<article>", "</p></p>",
@@ -72,6 +73,6 @@ def test_edges(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     out = html.extract(df, html.learn(df))
     assert sorted(out.columns) == ["html", "n_chars", "page_id", "text", "url"]
-    assert sorted(r.text for r in out.collect())[:3] == ["", "", "The title <1> First paragraph, with a link. Next line! 3 < 4 Second & last."]
+    assert sorted(r.text for r in out.collect())[:3] == ["", "", "The title <1> By Ann First paragraph, with a link. Next line! 3 < 4 Second & last."]
     none = df.where(F.lit(False))
     assert html.extract(none, html.learn(none)).count() == 0
