@@ -134,13 +134,11 @@ def bulk_summary(status: DataFrame, forecast: DataFrame) -> DataFrame:
     """Stores, successes, success percent; total and mean forecast."""
     s = status.agg(F.count(F.lit(1)).alias("total_stores"),
                    F.count_if(F.col("status") == "success").alias("successful"))
-    # the forecast totals are one aggregate row: bounded, fetched as scalars
-    row = forecast.agg(F.sum("predicted_billings").alias("total_forecast"),
-                       F.avg("predicted_billings").alias("avg_daily")).first()
-    return s.select("*",
-                    (100.0 * F.col("successful") / F.col("total_stores")).alias("success_rate_pct"),
-                    F.lit(row["total_forecast"]).cast("double").alias("total_forecast"),
-                    F.lit(row["avg_daily"]).cast("double").alias("avg_daily"))
+    totals = forecast.agg(F.sum("predicted_billings").cast("double").alias("total_forecast"),
+                          F.avg("predicted_billings").cast("double").alias("avg_daily"))
+    return s.crossJoin(F.broadcast(totals)).select(      # one row each
+        "*", (100.0 * F.col("successful") / F.col("total_stores")).alias("success_rate_pct")).select(
+        "total_stores", "successful", "success_rate_pct", "total_forecast", "avg_daily")
 
 
 def forecast_totals(forecast: DataFrame) -> DataFrame:
