@@ -25,6 +25,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from storecast.llm.common import add_columns, materialize
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LONG = 2000
 NONE = np.int32(2**31 - 1)
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 
 
 def byte_characters() -> list[str]:
@@ -184,8 +185,7 @@ class Bpe:
         for t in texts:
             words += self.words(t)
             until.append(len(words))
-        get = self.index.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0).tolist()
         if missing:
             self.learn_words(list(dict.fromkeys(words[i] for i in missing)))
