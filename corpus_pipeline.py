@@ -48,9 +48,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), TOKENIZER)
-    source = coded.select("doc_id", "ids", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    return bpe.decode(materialize(source, "pipeline-ids", "zstd"), TOKENIZER).select(
+    text = F.col("text").cast("string")
+    source = docs.select("doc_id", text.alias("text"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("text_sha256"))
+    coded = bpe.encode(source, TOKENIZER, keep_text=False)
+    return bpe.decode(materialize(coded, "pipeline-ids", "zstd"), TOKENIZER).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         (F.sha2("decoded", 256) == F.col("text_sha256")).alias("decodes"))
 

@@ -40,7 +40,7 @@ from storecast.llm.common import add_columns, materialize
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LONG = 2000
 NONE = np.int32(2**31 - 1)
-CACHE_WORDS = 600_000
+CACHE_WORDS = 350_000
 
 
 def byte_characters() -> list[str]:
@@ -220,15 +220,16 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, path: str, name: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every whole text; the vocabulary file is read by the driver."""
+def encode(docs: DataFrame, path: str, name: str = "ids", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the ids of every whole text (and without the text, if asked for);
+    the vocabulary file is read by the driver."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(texts: pa.Array) -> list[pa.Array]:
         ids = tables(spec.value).encode([t or "" for t in texts.to_pylist()])
         return [pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
 
-    return add_columns(docs, f"{name} binary", run, max_bytes=1 << 20)
+    return add_columns(docs, f"{name} binary", run, max_bytes=1 << 20, keep_text=keep_text)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -238,7 +239,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") ->
     out = T.StructType([*kept.schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             texts = [tables(spec.value).decode(np.frombuffer(x or b"", "<u4")) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=out.names)
 
@@ -250,7 +251,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     The ids are written before they are decoded: a task then runs one Python
     worker at a time."""
-    coded = encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), path).drop("text")
+    coded = encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), path, keep_text=False)
     return decode(materialize(coded, "bpe-ids", "zstd"), path).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -42,21 +42,24 @@ def slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int
     yield from zip(cuts[:-1], cuts[1:], strict=True)
 
 
-def add_columns(df: DataFrame, ddl: str, fn, text: str = "text", max_bytes: int = 4 << 20) -> DataFrame:
+def add_columns(df: DataFrame, ddl: str, fn, text: str = "text", max_bytes: int = 4 << 20,
+                keep_text: bool = True) -> DataFrame:
     """``df`` with the columns of ``ddl``, which ``fn`` makes from an Arrow array of
-    texts (as strings, nulls kept).  A column of the same name is replaced."""
+    texts (as strings, nulls kept).  A column of the same name is replaced; the
+    text itself is sent back only with ``keep_text``."""
     new = T._parse_datatype_string(ddl)
     kept = df.drop(*new.names)
     if text not in kept.columns:
         raise ValueError(f"the text column {text} is missing or would be replaced")
-    out = T.StructType([*kept.schema.fields, *new.fields])
+    back = [c for c in kept.columns if keep_text or c != text]
+    out = T.StructType([*(kept.schema[c] for c in back), *new.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(text).cast(pa.string())
             for i, j in slices(texts, max_bytes):
                 more = fn(texts.slice(i, j - i))
-                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, *more], names=out.names)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in back), *more], names=out.names)
 
     return kept.mapInArrow(run, out)
 
