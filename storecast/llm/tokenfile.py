@@ -29,7 +29,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,8 @@ from storecast.session import scratch_path
 MAGIC = b"WVMX0001"
 HEADER = struct.Struct("<8sIIIQB")  # magic, bucket, number, documents, tokens, levels
 BLOCK = 512
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
+MAX_BUCKETS = 200_000
 # The rules of a vocabulary whose pieces can be encoded apart.
 APART = ("NFC", "Replace", "Lowercase"), r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -191,6 +192,10 @@ class Pieces:
         names = tuple(x["type"] for x in (rules["normalizer"] or {}).get("normalizers", ()))
         first = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
         self.apart = (names, first.get("pattern", {}).get("Regex")) == APART
+        vocab, suffix = rules["model"]["vocab"], rules["model"].get("end_of_word_suffix")
+        self.apart &= bool(suffix)
+        self.ends = np.zeros(max([*vocab.values(), *(t["id"] for t in rules["added_tokens"])]) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if suffix and w.endswith(suffix)]] = True
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(spec)
@@ -202,13 +207,27 @@ class Pieces:
         self.index: dict[str, int] = {}
         self.ids, self.end = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def call(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of all texts in a row, and how many each has."""
+        got = [e.ids for i in range(0, len(texts), 50_000)
+               for e in self.library.encode_batch_fast(texts[i:i + 50_000], add_special_tokens=False)]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
+
+    def fresh(self, words: list[str], letters: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, the first ``letters`` of which have letters only: a
+        token that ends a word then ends each of them."""
+        ids, _ = self.call([" ".join(words[i:min(i + 256, letters)]) for i in range(0, letters, 256)])
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != letters:  # a rule that these words do not know of
+            return self.call(words)
+        rest, n = self.call(words[letters:])
+        return np.concatenate([ids, rest]), np.concatenate([np.diff(ends, prepend=-1), n])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
         if not self.apart:
-            got = [e.ids for e in self.library.encode_batch_fast([t or "" for t in texts.to_pylist()],
-                                                                 add_special_tokens=False)]
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
+            return self.call([t or "" for t in texts.to_pylist()])
         if len(self.index) > CACHE_WORDS:
             self.clear()
         apart = pc.replace_substring_regex(pc.fill_null(texts, ""), r"([A-Za-z0-9])([.,!?;:#*$%&])", r"\1 \2")
@@ -218,17 +237,18 @@ class Pieces:
         plain = pc.and_(pc.string_is_ascii(words.dictionary), pc.invert(pc.match_substring(words.dictionary, "<|")))
         lower = pc.if_else(plain, pc.ascii_lower(words.dictionary), words.dictionary).dictionary_encode()
         names = lower.dictionary.to_pylist()
-        at = np.fromiter((self.index.get(w, -1) for w in names), np.int64, len(names))
+        at = np.fromiter(map(self.index.get, names, repeat(-1)), np.int64, len(names))
         missing = np.flatnonzero(at < 0)
         if len(missing):
+            # words of letters only are one piece each: many of them make one text
             new = [names[i] for i in missing.tolist()]
-            got = [e.ids for i in range(0, len(new), 50_000)
-                   for e in self.library.encode_batch_fast(new[i:i + 50_000], add_special_tokens=False)]
-            at[missing] = np.arange(len(self.index), len(self.index) + len(new))
-            self.index.update(zip(new, at[missing].tolist(), strict=True))
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum()))
-            self.ids = np.concatenate([self.ids, flat])
+            letters = np.fromiter((w.isalpha() and w.lower().isalpha() for w in new), bool, len(new))
+            order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+            new = [new[i] for i in order.tolist()]
+            ids, n = self.fresh(new, int(letters.sum()))
+            at[missing[order]] = np.arange(len(self.index), len(self.index) + len(new))
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, ids])
             self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(n)])
         at = at[lower.indices.to_numpy(zero_copy_only=False)[words.indices.to_numpy(zero_copy_only=False)]]
         start, n = self.end[at], self.end[at + 1] - self.end[at]
@@ -249,7 +269,7 @@ def _encode(spec, bounds, end_id: int, narrow: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, doc = b.column("text"), b.column("doc_id")
-            for i, j in slices(texts, 16 << 20):
+            for i, j in slices(texts, 8 << 20):
                 ids, n = pieces(spec.value).encode(texts.slice(i, j - i))
                 until = np.cumsum(n)[:-1]
                 rows = [np.append(x, end_id).astype(kind).tobytes() for x in np.split(ids, until)]
@@ -305,8 +325,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard_tok
     """Write ``docs`` as shard files into the shared folder ``path``; a row (name,
     n_docs, n_tokens) for every file.
 
-    The bounds of the buckets, one number for ``shard_docs`` documents, are
-    approximate quantiles of doc_id: they only set how even the buckets are.
+    Documents are dealt into buckets of about ``shard_docs`` (at most
+    ``MAX_BUCKETS`` buckets) at quantiles of 32 doc_ids a bucket, chosen by hash:
+    they only set how even the buckets are.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
@@ -314,10 +335,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard_tok
     from tokenizers import Tokenizer
     size = max(Tokenizer.from_str(spec).get_vocab_size(with_added_tokens=True), end_id + 1)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = max(1, -(-docs.count() // shard_docs))
-    cuts = [] if parts == 1 else docs.agg(F.percentile_approx(
-        "doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []
-    bounds = np.array(sorted(set(cuts)), np.int64)
+    n = docs.count()
+    parts = max(1, min(MAX_BUCKETS, -(-n // shard_docs)))
+    bounds = np.zeros(0, np.int64)
+    if parts > 1:
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 32 * parts / n))
+        ids = docs.select("doc_id").where(share & F.col("doc_id").isNotNull()).toArrow()["doc_id"].to_numpy()
+        if len(ids):
+            bounds = np.unique(np.quantile(ids, np.arange(1, parts) / parts, method="nearest"))
     where, folder = store(path)
     where.create_dir(folder, recursive=True)
     shared, cut = spark.sparkContext.broadcast(spec), spark.sparkContext.broadcast(bounds)

@@ -34,7 +34,7 @@ def expected(lib, rows):
 def test_pieces_equal_whole_texts():
     rng = random.Random(3)
     pool = ["the", "The", " ", "\n", "\t\t", "\x0b", "é", "É", "'s", "'S", "don't", "1", "23", "!", "?!", " ", "　",
-            "Σ", "ΑΣ", "İ", "J̌", "ǰ", "A.", "b,c", "I", "̇", "<|ENDOFTEXT|>", ".", "a's.", "日本", "<|endoftext|>", "<|startoftext|>x", "\x00", "\x1c", "ﬁ", "-", "\U0001f600"]
+            "Σ", "ΑΣ", "İ", "İİ", "Å", "ŉ", "ẞ", "ǆ", "हिन्दी", "ไทย", "한국", "ª", "ʰ", "J̌", "ǰ", "A.", "b,c", "I", "̇", "<|ENDOFTEXT|>", ".", "a's.", "日本", "<|endoftext|>", "<|startoftext|>x", "\x00", "\x1c", "ﬁ", "-", "\U0001f600"]
     texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + [None, "", "x" * 50_000]
     for path, apart in ((PATH, True), (public_tokenizers.path("byte_bpe_50k.json"), False)):
         own = tokenfile.Pieces(open(path, encoding="utf-8").read())
