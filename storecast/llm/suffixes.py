@@ -14,7 +14,8 @@ that stands in two or more documents; all such windows are found.
    match in all its windows.
 3. Extension: where only part of a stretch matches, its windows are compared one
    by one, to the left and right of the minimiser; of equal whole stretches
-   one takes part.
+   one takes part, and its windows stand for the smallest and the largest of its
+   documents, so a window that a part-equal stretch repeats is seen in both.
 
 Words are compared by 128-bit hashes (64 bits only to propose).  Sorting is by
 (hash, document), so a passage that a third of all documents share is dealt over
@@ -124,7 +125,8 @@ def _samples(min_words: int, span: int):
 
 
 def _windows(min_words: int):
-    """The hash of each window that begins in one of the ranges of a text."""
+    """The hash of each window that begins in one of the ranges of a text, and how far
+    beyond the text's document the largest one is that the range is known from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
@@ -132,21 +134,26 @@ def _windows(min_words: int):
                 words, begin = words_of(texts.slice(i, j - i))
                 h, ranges = Hashes(words), b.column("ranges").slice(i, j - i)
                 n = pc.list_value_length(ranges).to_numpy(zero_copy_only=False)
-                lo, hi = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in ranges.flatten().flatten())
+                lo, hi, far = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in ranges.flatten().flatten())
+                # a difference, for it is mostly 0 and packs well; it may wrap around, and back
+                beyond = far - np.repeat(b.column("doc").slice(i, j - i).to_numpy(zero_copy_only=False), n)
                 text, size = np.repeat(np.arange(j - i), n), hi - lo + 1
                 start = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 text = np.repeat(text, size)
                 at, row = start + begin[text], pa.array(i + text)
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc").take(row), b.column("row").take(row), pa.array(start.astype(np.int32)),
+                    pa.array(np.repeat(beyond, size)),
                     pa.array(h.of(at, at + min_words).view(np.int64)), pa.array(h.of(at, at + min_words, 1).view(np.int64))],
-                    ["doc", "row", "lo", "h", "h2"])
+                    ["doc", "row", "lo", "beyond", "h", "h2"])
     return run
 
 
 def _compare(levels: list[list[str]], names: list[str]):
     """Each row of a sorted partition with, for each level of keys, the smallest and
-    largest document of its run of equal keys, and if the run may go on in another task."""
+    largest document of its run of equal keys, and if the run may go on in another task.
+    A row with ``beyond`` stands for the document that far beyond its own, too; it
+    is a match already and passed on only where its run may go on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -154,7 +161,9 @@ def _compare(levels: list[list[str]], names: list[str]):
         t = pa.Table.from_batches(held).combine_chunks()
         doc = t["doc"].to_numpy()
         new = np.zeros(len(doc) - 1, bool)
-        cols = list(t.columns)
+        beyond = t["beyond"].to_numpy() if "beyond" in t.column_names else np.zeros(len(doc), np.int64)
+        far, wanted = doc + beyond, beyond == 0
+        cols = [t[c] for c in names[:len(names) - 3 * len(levels)]]
         for level in levels:
             for c in level:
                 v = t[c].to_numpy()
@@ -163,9 +172,10 @@ def _compare(levels: list[list[str]], names: list[str]):
             size = np.diff(np.append(first, len(doc)))
             edge = np.zeros(len(first), bool)
             edge[[0, -1]] = True
+            wanted |= np.repeat(edge, size)
             cols += [pa.array(np.repeat(x, size)) for x in
-                     (np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first), edge)]
-        yield from pa.Table.from_arrays(cols, names=names).to_batches(max_chunksize=1 << 16)
+                     (np.minimum.reduceat(doc, first), np.maximum.reduceat(far, first), edge)]
+        yield from pa.Table.from_arrays(cols, names=names).filter(pa.array(wanted)).to_batches(max_chunksize=1 << 16)
     return run
 
 
@@ -179,10 +189,11 @@ def sort_and_compare(rows: DataFrame, levels: list[list[str]], name: str) -> Dat
     keys = [c for level in levels for c in level]
     order = [*keys, "doc", "row", "lo"]
     more = [x for i in range(len(levels)) for x in (f"least_{i}", f"most_{i}", f"edge_{i}")]
-    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields]
+    kept = [f for f in rows.schema.fields if f.name != "beyond"]
+    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept]
                     + [f"{x} {'boolean' if x.startswith('edge') else 'bigint'}" for x in more])
     near = rows.repartitionByRange(*order).sortWithinPartitions(*order) \
-        .mapInArrow(_compare(levels, [*rows.columns, *more]), ddl)
+        .mapInArrow(_compare(levels, [*[f.name for f in kept], *more]), ddl)
     near = materialize(near.where("least_0 < most_0 or edge_0"), name)
     upto: list[str] = []
     for i, level in enumerate(levels):
@@ -228,9 +239,10 @@ def repeats(docs: DataFrame, min_words: int = 50, span: int = 32) -> DataFrame:
     near = materialize(sort_and_compare(kept, [["key"], ["big", "big2"]], "suffix-runs"), "suffix-candidates")
     whole = F.col("least_1") < F.col("most_1")
     parts = near.where(~whole | (F.col("doc") == F.col("least_1"))).groupBy("doc", "row").agg(
-        F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+        F.collect_set(F.struct("lo", "hi", F.when(whole, F.col("most_1")).otherwise(F.col("doc")).alias("far")))
+        .alias("ranges"))
     single = rows.join(parts, ["doc", "row"]).select("doc", "row", "text", "ranges").mapInArrow(
-        _windows(min_words), "doc long, row int, lo int, h long, h2 long")
+        _windows(min_words), "doc long, row int, lo int, beyond long, h long, h2 long")
     windows = sort_and_compare(materialize(single, "suffix-windows"), [["h", "h2"]], "suffix-window-runs")
 
     def other(i: int):

@@ -61,6 +61,22 @@ def test_random_corpora(spark, docs_of, seed, m, span):
     check(suffixes.repeats(docs_of(docs), m, span), docs, m)
 
 
+@pytest.mark.parametrize("copies", [1, 300])
+def test_second_occurrence_in_the_smallest_document(spark, docs_of, copies):
+    rng = random.Random(copies)
+
+    def text(tag, n):
+        return " ".join(f"{tag}{rng.randint(0, 10 ** 9)}" for _ in range(n))
+
+    docs = []
+    for k in range(10):  # several, so that the passage ends at different places of a minimiser's range
+        head, passage, tail = text("h", 60), text("p", 50 + 3 * k), text("t", 60)
+        docs.append((1000 * k, f"{head} {passage} {tail} {text('o', 20)} {passage} {text('e', 20)}"))
+        docs += [(1000 * k + 1 + i, f"{head} {passage} {tail}") for i in range(copies)]
+    got = check(suffixes.repeats(docs_of(docs)), docs)
+    assert sum(d % 1000 == 0 for d, *_ in got) == 20
+
+
 def test_runs_over_many_tasks(spark, docs_of):
     common = " ".join(f"c{i}" for i in range(60))
     docs = [(i, f"x{i} y{i} {common} z{i}") for i in range(300)] + [(1000 + i, common) for i in range(100)]
