@@ -5,7 +5,8 @@ what its ancestors say (article and main against nav, footer, aside, forms and
 class names of menus, notices, adverts, comments), plus a text classifier over
 link density, length, punctuation and the like.  The classifier is trained on
 the blocks of up to ``sample_pages`` pages (the bound is a parameter) whose
-ancestors tell their label.  The two costs of a block are the capacities of its
+ancestors tell their label; a sure classifier outweighs an article's or, with
+edges to content, boilerplate's ancestors.  The two costs of a block are the capacities of its
 edges to source and sink; edges between adjacent blocks, and between blocks
 close in the DOM, have the capacity of a smoothness cost.  The minimum cut
 separates content from boilerplate: blocks whose own cost exceeds all their
@@ -16,6 +17,7 @@ Text: character references decoded, white space in a block turned into one
 space, blocks joined by one space in page order; nothing else is dropped.
 
 Edge cases: a null or empty page, or one without content, gives an empty text;
+a page without content by the cut has what its ancestors call so;
 unclosed tags, comments and scripts run to the end of the page; repeated rows
 give repeated results; without any labelled block the classifier is
 neutral; other columns pass through, one named like a result is replaced.
@@ -58,16 +60,23 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z) | <[!?][^>]*(?:>|\Z)
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 N_FEATURES = 12
-ADJACENT, CLOSE, STRONG, INSIDE = 0.5, 0.3, -8.0, 5.0
+# Costs: a sure classifier outweighs what an article says, and edges tip the scales; with
+# edges it also outweighs what boilerplate says (more, for comments and adverts are prose too).
+ADJACENT, CLOSE, STRONG, INSIDE, CLIP = 0.5, 0.3, -5.0, 4.0, 4.4
+TOPICS = ("category-", "tag-")  # classes that name what an article is about
+KINDS_OF_ARTICLE = frozenset("article entry main post story".split())
 
 
 def says(name: str, attrs: str, above: float) -> float:
     """What an element tells of the text in it: a logit, ``above`` is its parent's."""
-    words = {w.lower() for m in NAMED.finditer(attrs) for w in WORD.findall(m[1] or m[2] or m[3] or "")} if attrs else set()
+    words = {w.lower() for m in NAMED.finditer(attrs) for c in (m[1] or m[2] or m[3] or "").split()
+             if not c.lower().startswith(TOPICS) for w in WORD.findall(c)} if attrs else set()
     if above <= STRONG or name in BOILER_TAGS or (name == "header" and above < INSIDE):
         return STRONG
     if above >= INSIDE:  # the header of an article is part of it
         words.discard("header")
+    if name in CONTENT_TAGS and words & KINDS_OF_ARTICLE:
+        return INSIDE
     boiler = words & BOILER_WORDS or any(w.startswith(BOILER_STARTS) for w in words)
     if boiler and not words & LAYOUT_WORDS and name not in ("html", "body", "main"):
         return STRONG
@@ -255,8 +264,11 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    logit = [b.logit + float(np.clip(weights[f], -3, 3)) for b, f in zip(found, features(found), strict=True)]
-    return " ".join(b.text for b, c in zip(found, min_cut(logit, edges(found)), strict=True) if c)
+    logit = [b.logit + float(np.clip(weights[f], -CLIP, CLIP)) for b, f in zip(found, features(found), strict=True)]
+    content = min_cut(logit, edges(found))
+    if not any(content):  # a page has content: what ancestors call so, then
+        content = [b.logit > 0 for b in found]
+    return " ".join(b.text for b, c in zip(found, content, strict=True) if c)
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,3 +76,28 @@ def test_edges(spark):
     assert sorted(r.text for r in out.collect())[:3] == ["", "", "The title <1> By Ann First paragraph, with a link. Next line! 3 < 4 Second & last."]
     none = df.where(F.lit(False))
     assert html.extract(none, html.learn(none)).count() == 0
+
+
+PARA = ("<p>The river rose slowly through the night, and by morning the whole lower town, from the mill to the market, "
+        "stood under two feet of brown water. Nobody had expected it so early in the year.</p>")
+LINKS = "<ul>" + "".join(f'<li><a href="{i}">Link number {i}</a></li>' for i in range(6)) + "</ul>"
+SHARE = "<div><p><a href=x>Share this</a></p><p><a href=y>Subscribe</a></p></div>"
+
+
+@pytest.mark.parametrize("page", [f"<main>{PARA * 3}{LINKS}</main>", f"<div id=content>{PARA * 2}{SHARE}{PARA}</div>",
+                                  f"<div>{PARA * 3}</div><div>{LINKS}</div>"])
+def test_cut_takes_boilerplate_without_class_hints_out_of_content(spark, page):
+    weights = html.learn(table(spark, SF, "pages"))
+    assert html.main_text(f"<body>{page}</body>", weights) == " ".join([PARA[3:-4]] * 3)
+
+
+def test_edges_change_a_label():
+    found = html.blocks("<main><p>a</p><p>b</p><p>c</p></main>")
+    logit = [b.logit + x for b, x in zip(found, (0, -html.CLIP, 0), strict=True)]
+    assert logit[1] < 0 and html.min_cut(logit, []) == [True, False, True]
+    assert html.min_cut(logit, html.edges(found)) == [True, True, True]
+
+
+def test_topics_are_no_boilerplate():
+    page = '<article class="post-7 post tag-cookies category-social">a</article><article class="comment-body">b</article>'
+    assert html.main_text(page, ZERO) == "a"
