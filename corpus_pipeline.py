@@ -1,7 +1,8 @@
 """Raw documents to token ids in five stages, each on all that the one before kept.
 
 1. language: documents without a letter, or with hardly an n-gram of any learned
-   language (score under ``MIN_SCORE``), go.
+   language (score under ``MIN_SCORE``), go; without any labelled document, only
+   those without a letter go.
 2. near duplicates: one document of each SimHash component stays.
 3. decontamination: documents that hold a benchmark item go.
 4. personal data: every span is replaced by its kind; n_chars follows the text.
@@ -30,6 +31,8 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = langid.learn(docs.where(~langid.held_out()))
+    if not filters.languages:  # nothing labelled to learn from: only the texts without a letter go
+        return docs.where(F.rlike(F.col("text").cast("string"), F.lit(r"\p{L}")))
     lang, score = fresh(docs, "_lang_pred", "_score")
     found = langid.identify(docs, filters, (lang, score))
     return found.where((F.col(lang) != "und") & (F.col(score) >= MIN_SCORE)).drop(lang, score)

@@ -103,3 +103,10 @@ def test_empty(spark):
     for _, stage in P.STAGES:
         docs = P.materialize(stage(spark, docs, SF), "test-stage")
         assert docs.count() == 0
+
+
+def test_language_without_labels_keeps_every_text_with_a_letter(spark, docs_of, edge_rows):
+    docs = docs_of([(d, t, None, "h") for d, t in edge_rows] + [(80, "12 34 !"), (81, "some text of its own")])
+    kept = P.language(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert rows_of(kept) == rows_of(docs.where("text rlike '\\\\p{L}'")) and kept.count() == 9
