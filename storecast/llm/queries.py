@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storecast.llm import bpe, chat, decontam, html, langid, pii, quality, simhash, suffixes, tokenfile
+from storecast.llm import (audit, bpe, chat, codes, decontam, html, langid, pii, quality, shards, simhash, suffixes,
+                           tokenfile)
 from storecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +83,20 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(suffixes.SQL)
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeats(table(spark, sf_dir, "documents"), min_words=50).drop("other_doc_id")
+
+
+@query(codes.SQL)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"),
+                                  parts=16, entries=64, rounds=2)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query(audit.SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(shards.SQL)
+def op13_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"), shards=24)
