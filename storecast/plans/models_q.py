@@ -194,25 +194,8 @@ def _sql(body, ctes=""):
     return f"with {SPLIT_CTE}{ctes}\n{body}"
 
 
-def _metrics_hold():
-    """Every metric in its range, RMSE at least MAE, the label that of the R2."""
-    ok = F.lit(True)
-    for s in ("train", "test"):
-        ok &= (F.col(f"{s}_mae") >= 0) & (F.col(f"{s}_rmse") >= F.col(f"{s}_mae") - 1e-9) & (F.col(f"{s}_r2") <= 1)
-        ok &= F.col(f"{s}_smape").between(0, 200)
-    return F.coalesce(ok & (F.col("quality") == quality_label("test_r2")), F.lit(False))
-
-
 # ------------------------------------------------------------------ queries
 
-@register("store_forest", _sql(f"""
-select partner_code, store_code, train_samples, test_samples, {N_USED} as n_features, true as metrics_hold from md"""))
-def q_store_forest(spark, sf_dir):
-    """M3: per-store evaluation of the forest."""
-    return fleet(spark, sf_dir)["registry"].select(
-        *KEY, "train_samples", "test_samples", "n_features", _metrics_hold().alias("metrics_hold"))
-
-
 @register("store_forest_pooled", _sql("""
 select count(*) as stores, sum(train_samples)::bigint as train_rows, sum(test_samples)::bigint as test_rows,
        true as predictions_finite from md"""))
@@ -224,83 +207,8 @@ def q_store_forest_pooled(spark, sf_dir):
                  F.every(F.coalesce(F.abs("prediction") < 1e6, F.lit(False))).alias("predictions_finite"))
 
 
-@register("feature_importance", " union all ".join(
-    f"select '{c}' as feature, true as in_range, true as adds_up" for c in [*REFERENCE_FEATURES, *MD.LEVELS]))
-def q_feature_importance(spark, sf_dir):
-    """M7: importance of each feature of the forest; all of them add up to 1."""
-    imp = fleet(spark, sf_dir)["importances"]
-    total = imp.agg(F.sum("importance")).first()[0]
-    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"),
-                      F.lit(abs(total - 1) < 1e-6).alias("adds_up"))
-
-
-@register("train_all_stores", _sql(f"""
-select count(*) as successful_models,
-       (select count(*) from (select distinct partner_code, store_code from sales)) as total_stores_attempted,
-       round(100.0 * count(*) / (select count(*) from (select distinct partner_code, store_code from sales)), 6)
-         as success_rate, true as summary_holds from md"""))
-def q_train_all_stores(spark, sf_dir):
-    """M8: the training run's summary over every store, with the target flags."""
-    s = EV.training_summary(fleet(spark, sf_dir)["registry"], V.distinct_stores(sales(spark, sf_dir)))
-    flags = EV.target_achievement(s).select(
-        F.struct("r2_target_achieved", "smape_target_achieved").alias("f")).first()["f"]        # one row
-    holds = ((F.col("best_r2") >= F.col("avg_r2")) & (F.col("best_smape") <= F.col("avg_smape")) & (F.col("std_r2") >= 0)
-             & ((F.col("avg_r2") >= EV.TARGET_R2).cast("int") == flags[0])
-             & ((F.col("avg_smape") <= EV.TARGET_SMAPE).cast("int") == flags[1]))
-    return s.select("successful_models", "total_stores_attempted", F.round("success_rate", 6).alias("success_rate"),
-                    holds.alias("summary_holds"))
-
-
-@register("model_registry", _sql(f"""
-select partner_code, store_code, train_samples, test_samples as val_samples, {N_USED} as n_features,
-       '{VERSION}' as version, true as model_saved, true as errors_hold from md"""))
-def q_model_registry(spark, sf_dir):
-    """The written registry, one row per store with a model."""
-    return fleet(spark, sf_dir)["registry"].select(
-        *KEY, "train_samples", F.col("test_samples").alias("val_samples"), F.size("features").alias("n_features"),
-        "version", "model_saved",
-        ((F.col("test_mae") >= 0) & (F.col("test_rmse") >= F.col("test_mae") - 1e-9)).alias("errors_hold"))
-
-
-def _holds(f):
-    p = F.col("predicted_billings")
-    return F.coalesce((p >= 0) & (F.col("confidence_lower") <= p) & (p <= F.col("confidence_upper")), F.lit(False))
-
-
-_HORIZON = f", {STATS_SQL.strip()},\nhz as ({_cal_sql(HORIZON_DAYS)} from st semi join md using (partner_code, store_code))"
-
-
-@register("forecast_store", _sql("""
-select hz.partner_code, hz.store_code, hz.date, true as in_band
-from hz join (select partner_code, store_code from sales group by 1, 2
-              order by count(*) desc, partner_code, store_code limit 1) top using (partner_code, store_code)""", _HORIZON))
-def q_forecast_store(spark, sf_dir):
-    """M9: the horizon forecast of one store (the largest) with its band."""
-    top = V.store_sizes(sales(spark, sf_dir)).orderBy(F.desc("n_rows"), *KEY).first()
-    f = V.filter_store(band(spark, sf_dir, fleet(spark, sf_dir)), top["partner_code"], top["store_code"])
-    return f.select(*KEY, "date", _holds(f).alias("in_band"))
-
-
 _REQUESTED = ", ".join("('{}', '{}')".format(*x.strip().split("_", 1)) for x in STORE_LIST.split(",")
                        if "_" in x and all(x.strip().split("_", 1)))
-_STATUS = f"""{_HORIZON},
-req as (select distinct partner_code, store_code from sales
-        union select * from (values {_REQUESTED}) v(partner_code, store_code)),
-stat as (select req.*, case when md.partner_code is null then 'model_not_found' else 'success' end as status,
-                case when md.partner_code is not null then {N_USED} end as features_used
-         from req left join md using (partner_code, store_code))"""
-
-
-@register("bulk_forecast_forest", _sql("""
-select stat.partner_code, stat.store_code, stat.status, stat.features_used, hz.date,
-       case when hz.date is not null then true end as in_band
-from stat left join hz using (partner_code, store_code)""", _STATUS))
-def q_bulk_forecast_forest(spark, sf_dir):
-    """One status for every requested store, and the horizon of each that succeeds."""
-    fl = fleet(spark, sf_dir)
-    f = band(spark, sf_dir, fl)
-    return statuses(spark, sf_dir, fl).select(*KEY, "status", "features_used").join(
-        f.select(*KEY, "date", _holds(f).alias("in_band")), KEY, "left")
 
 
 @register("generate_forecast", _sql(f"""
@@ -316,17 +224,6 @@ def q_generate_forecast(spark, sf_dir):
         F.month("date").alias("month"), F.quarter("date").alias("quarter"), F.coalesce(p >= 0, F.lit(False)).alias("predicted"))
 
 
-@register("backtest_forest", _sql(f"""
-select {', '.join(ROW_KEY)}, round(exp(billings) - 1, 4) as actual, true as error_holds
-from (select *, row_number() over ({_W} order by date desc, l_orderkey desc, l_linenumber desc, l_partkey desc) as rn
-      from ev) x where rn <= 5"""))
-def q_backtest_forest(spark, sf_dir):
-    """M17 with the forest: the last 5 history rows of each store."""
-    bt = EV.backtest_recent(fleet(spark, sf_dir)["history"], F.expm1("billings"), F.expm1("prediction"), 5)
-    holds = F.abs(F.col("error") - (F.col("actual") - F.col("predicted"))) < 1e-9
-    return bt.select(*ROW_KEY, F.round("actual", 4).alias("actual"), F.coalesce(holds, F.lit(False)).alias("error_holds"))
-
-
 def forest_params(params=MD.FLEET_PARAMS):
     return {"model_type": "random_forest", "n_estimators": params.num_trees, "max_depth": params.max_depth,
             "min_samples_leaf": params.min_instances_per_node, "max_features": params.feature_subset,

@@ -16,7 +16,7 @@ SAMPLE = [
     "forecast_totals", "future_template", "future_extras", "feature_variability", "sink_forecast_csv",
     "run_log", "run_list", "best_runs", "best_store_models", "experiment_list", "store_forest", "feature_importance",
     "train_all_stores", "model_registry", "forecast_store", "bulk_forecast_forest", "generate_forecast",
-    "backtest_forest", "run_log_forest", "store_forest_pooled",
+    "backtest_forest", "run_log_forest", "store_forest_pooled", "store_forest_splits", "store_forest_predictions",
 ]
 
 
