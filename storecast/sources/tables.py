@@ -126,8 +126,10 @@ from (select partner_name as partner, country as pais, city as ciudad, store_id
 def with_views(sql: str) -> str:
     """Prefix a query with the ``sales`` and ``pred_vs_real`` CTEs (merged
     into the query's own ``with`` list when it has one)."""
-    head = f"with sales as ({SALES_SQL}), pred_vs_real as ({PRED_VS_REAL_SQL})"
-    body = sql.strip()
+    views = f"sales as ({SALES_SQL}), pred_vs_real as ({PRED_VS_REAL_SQL})"
+    head, body = f"with {views}", sql.strip()
+    if body[:15].lower() == "with recursive ":
+        return f"with recursive {views},\n{body[15:]}"
     if body[:5].lower() == "with ":
         return f"{head},\n{body[5:]}"
     return f"{head}\n{body}"
