@@ -171,13 +171,14 @@ def series_features(df: DataFrame, y: str = "billings", families: Sequence[str]
                     key: Sequence[str] = STORE_KEY, order: Sequence[str] = ("date",) + TIE_BREAK,
                     y_prefix: str | None = None, chunk_rows: int | None = None,
                     hot_rows: int | None = None, hot=UNSET, shift: int = 0,
-                    also_shift: Sequence[str] = ()) -> DataFrame:
+                    also_shift: Sequence[str] = (), chunked: bool = False) -> DataFrame:
     """Add the rolling/lag features of ``families`` on column ``y``.
 
     With ``shift`` = k every feature (and the columns of ``also_shift``) is that
     of k rows earlier, so it knows nothing of the row's own target (D5).
     Lag helper columns that are not requested are dropped again.  With
-    ``chunk_rows`` set, hot stores are split (see ``series.chunk_series``).
+    ``chunk_rows`` set, hot stores are split (see ``series.chunk_series``);
+    ``chunked`` rows are split already (see ``sources.clustered``).
     """
     from storecast.operators.series import DEFAULT_CHUNK_ROWS
     prefix = y_prefix or y
@@ -189,8 +190,8 @@ def series_features(df: DataFrame, y: str = "billings", families: Sequence[str]
         if fam in families:
             lag_ks |= set(ks)
     needed_lags = {f"{prefix}_lag_{k}" for k in lag_ks}
-    base = chunk_series(df, key, order, LOOKBACK + shift,
-                        chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows, hot)
+    base = df if chunked else chunk_series(df, key, order, LOOKBACK + shift,
+                                           chunk_rows if chunk_rows is not None else DEFAULT_CHUNK_ROWS, hot_rows, hot)
     w = Window.partitionBy(*key, CHUNK).orderBy(*order)
     stages, helpers = _staged_columns(y, prefix, families, w, needed_lags)
     out = base

@@ -36,4 +36,5 @@ def load_all() -> None:
     """Import every plan module so their queries register."""
     from storecast.plans import (  # noqa: F401
         evaluation_q, features_q, forecast_q, models_q, quality_q, reports_q, runs_q,
-        sources_q, store_forest_q, recursive_q)
+        sources_q, store_forest_q, recursive_q,
+        storage_q)

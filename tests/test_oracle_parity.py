@@ -17,7 +17,8 @@ SAMPLE = [
     "run_log", "run_list", "best_runs", "best_store_models", "experiment_list", "store_forest", "feature_importance",
     "train_all_stores", "model_registry", "forecast_store", "bulk_forecast_forest", "generate_forecast",
     "backtest_forest", "run_log_forest", "store_forest_pooled", "store_forest_splits", "store_forest_predictions",
-    "forecast_recursive", "generate_forecast_recursive",
+    "forecast_recursive", "generate_forecast_recursive", "feat_all_clustered", "feat_incremental",
+    "model_registry_versions", "available_stores_latest",
 ]
 
 
