@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
@@ -83,6 +83,30 @@ def validate_sales(df: DataFrame, date_col: str = "date", target: str = "billing
     return clean.orderBy(*[c for c in (*STORE_KEY, date_col, *TIE_BREAK) if c in clean.columns]), report
 
 
+def validate_and_write(df: DataFrame, path: str, date_col: str = "date", target: str = "billings",
+                       required: Sequence[str] = REQUIRED_COLUMNS, min_rows: int = MIN_ROWS) -> tuple[DataFrame, DataFrame]:
+    """P7 in one pass: the cleaned rows are written to ``path`` (each task's in canonical order),
+    and the report is observed by the write itself.  Returns (the written rows, the report);
+    without a required column nothing is written and the first is None."""
+    if missing_columns(df, required):
+        return None, validate_sales(df, date_col, target, required, min_rows)[1]
+    seen = Observation("validation")
+    raw = {"_d": parsed_date(df, date_col), "_y": coerced_number(df, target)}
+    watched = df.withColumns(raw).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(date_col).isNotNull() & F.col("_d").isNull()).alias("bad_dates"),
+        F.count_if(F.col(target).isNotNull() & F.col("_y").isNull()).alias("bad_numbers"),
+        F.count_if(F.col("_y").isNull()).alias("null_targets"), F.count_if(F.col("_y") < 0).alias("negative_targets"))
+    clean = watched.withColumns({date_col: F.col("_d"), target: F.greatest(F.coalesce("_y", F.lit(0.0)), F.lit(0.0))}).drop(*raw)
+    order = [c for c in (*STORE_KEY, date_col, *TIE_BREAK) if c in clean.columns]
+    clean.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    got = seen.get          # five numbers
+    error = (BAD_DATE.format(date_col) if got["bad_dates"] else
+             TOO_FEW.replace(str(MIN_ROWS), str(min_rows)).replace("{}", str(got["rows"])) if got["rows"] < min_rows else None)
+    names = ("rows", "bad_dates", "bad_numbers", "null_targets", "negative_targets")
+    report = df.sparkSession.range(1).select(*[F.lit(got[c]).cast("bigint").alias(c) for c in names], F.lit(error).cast("string").alias("error"))
+    return df.sparkSession.read.schema(clean.schema).parquet(path), report
+
+
 def fill_target_zero(df: DataFrame, target: str = "billings") -> DataFrame:
     """P4."""
     return df.withColumn(target, F.coalesce(F.col(target), F.lit(0.0)))

@@ -9,6 +9,7 @@ from storecast.operators import validation as V
 from storecast.plans.catalog import register
 from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY, feature_table
 from storecast.plans.sources_q import DIRTY_CTE, dirty_text
+from storecast.session import scratch_path
 from storecast.sources.tables import sales
 
 # Parameters of the registered queries.
@@ -87,17 +88,26 @@ def q_min_rows_check(spark, sf_dir):
         "enough_rows", F.col("rows") >= V.MIN_ROWS)
 
 
-@register("validate_sales", _dirty(f"""
+VALIDATION_SQL = _dirty(f"""
 select *, case when bad_dates > 0 then '{V.BAD_DATE.format('date')}'
                when rows < {V.MIN_ROWS} then replace('{V.TOO_FEW}', '{{}}', cast(rows as varchar)) end as error
 from (select count(*) as rows, count(*) filter (where date is null) as bad_dates,
              count(*) filter (where bad_number) as bad_numbers, count(*) filter (where billings is null) as null_targets,
-             count(*) filter (where billings < 0) as negative_targets from dirty) r"""))
+             count(*) filter (where billings < 0) as negative_targets from dirty) r""")
+
+
+@register("validate_sales", VALIDATION_SQL)
 def q_validate_sales(spark, sf_dir):
     _, report = V.validate_sales(dirty_text(spark, sf_dir))
     return report
 
 
+@register("validate_sales_written", VALIDATION_SQL)
+def q_validate_sales_written(spark, sf_dir):
+    """The report of the pass that writes the cleaned rows."""
+    return V.validate_and_write(dirty_text(spark, sf_dir), scratch_path(spark, "validated"))[1]
+
+
 @register("validated_rows", _dirty(f"""
 select {STORE_ID}, date, greatest(coalesce(billings, 0), 0) as billings, miles
 from dirty order by partner_code, store_code, date"""))

@@ -8,6 +8,7 @@ rename by the reference's header maps, and coerce types with ``try_cast`` /
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +46,8 @@ def write_csv(df: DataFrame, path: str, header_map: dict[str, str] | None = None
     return path
 
 
-def _text_csv(spark: SparkSession, paths, sep: str = ",") -> DataFrame:
-    return (spark.read.option("header", True).option("sep", sep)
+def _text_csv(spark: SparkSession, paths, sep: str = ",", multiline: bool = False) -> DataFrame:
+    return (spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
             .option("inferSchema", False).option("mode", "PERMISSIVE").csv(paths))
 
 
@@ -64,46 +65,39 @@ def load_sales(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_csv_files(spark: SparkSession, directory: str) -> list[str]:
-    """Names of the ``*.csv`` files under ``directory`` (file-system listing
-    on the driver: metadata only)."""
+    """The ``*.csv`` files of ``directory``, its subfolders left out (file-system listing on the
+    driver: metadata only)."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = root.getFileSystem(conf)
-    it = fs.listFiles(root, True)
-    out = []
-    while it.hasNext():
-        p = it.next().getPath().toString()
-        if p.endswith(".csv"):
-            out.append(p)
-    return sorted(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath().toString() for s in fs.listStatus(root) if s.isFile()]
+    return sorted(p for p in found if p.endswith(".csv"))
 
 
-def _header(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
+def csv_layouts(spark: SparkSession, directory: str) -> list[tuple[str, list[str]]]:
+    """(header line, its files) of every layout among the CSV files; the tasks read the
+    headers (the first line of each file's first split), and the driver gets one row a layout."""
+    files = list_csv_files(spark, directory)
+    if not files:
+        return []
+    lines = spark.read.text(files).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("nth"))
+    first = lines.groupBy("path").agg(F.min_by("value", "nth").alias("header"))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return sorted((r["header"], [unquote(p) for p in r["paths"]]) for r in found)
 
 
 def load_csv_dir(spark: SparkSession, directory: str) -> DataFrame:
-    """Every ``*.csv`` under ``directory``, union by column name
-    (columns missing in a file are null).  Files are grouped by header line
-    so each distinct layout is one scan, not one scan per file."""
-    import concurrent.futures as cf
-    files = list_csv_files(spark, directory)
-    # one header line per file (metadata-sized reads), fetched concurrently
-    with cf.ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f), files))
-    groups: dict[str, list[str]] = {}
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
-    frames = [_text_csv(spark, files) for _, files in sorted(groups.items())]
+    """Every ``*.csv`` of ``directory``, union by column name (columns missing in a file
+    are null).  Files are grouped by header line so each distinct layout is one scan.  A
+    header with a line break inside quotes makes its file a layout of its own, read as
+    records over several lines (one task a file); empty files add nothing."""
+    frames = []
+    for header, files in csv_layouts(spark, directory):
+        if header.count('"') % 2:
+            frames += [_text_csv(spark, f, multiline=True) for f in files]
+        else:
+            frames.append(_text_csv(spark, files))
     if not frames:
         return spark.createDataFrame([], "value string")
     out = frames[0]

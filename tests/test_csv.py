@@ -44,3 +44,31 @@ def test_csv_dir_union_by_name(spark):
     rows = {r["Transaction Date"]: r.asDict() for r in df.collect()}
     assert rows["2024-01-01"]["City"] is None and rows["2024-01-02"]["Country"] is None
     assert rows["2024-01-02"]["City"] == "Z"
+
+
+def test_csv_dir_layouts_are_found_by_tasks(spark):
+    import os
+    d = tempfile.mkdtemp(prefix="storecast-csvdir-")
+    os.mkdir(f"{d}/deeper")
+    with open(f"{d}/deeper/c.csv", "w") as f:                      # not of this folder
+        f.write("Transaction Date,Country,Local Amount\n2024-01-09,X,100\n")
+    for k in range(40):
+        with open(f"{d}/a {k}%.csv", "w") as f:                    # names that URIs escape
+            f.write(f"Transaction Date,Local Amount\n2024-01-01,{k}\n2024-01-02,{k}\n")
+    with open(f"{d}/bom.csv", "wb") as f:
+        f.write(b"\xef\xbb\xbfTransaction Date,Local Amount\n2024-01-03,7\n")
+    with open(f"{d}/broken.csv", "w") as f:                        # a line break inside a quoted header
+        f.write('"Transaction\nDate",Local Amount\n2024-01-04,8\n')
+    for name, text in (("empty", ""), ("header", "Transaction Date,City\n"), ("notes.txt", "x\ny\n")):
+        with open(f"{d}/{name}" + ("" if "." in name else ".csv"), "w") as f:
+            f.write(text)
+    layouts = C.csv_layouts(spark, d)
+    assert [len(files) for _, files in layouts] == [1, 1, 41]
+    df = C.load_csv_dir(spark, d)
+    assert set(df.columns) == {"Transaction Date", "Transaction\nDate", "Local Amount", "City"}
+    rows = df.collect()
+    assert len(rows) == 82 and sum(int(r["Local Amount"]) for r in rows) == 2 * sum(range(40)) + 15
+    assert [r["Local Amount"] for r in rows if r["Transaction\nDate"]] == ["8"]
+    assert C.load_csv_dir(spark, f"{d}/deeper").count() == 1
+    os.mkdir(f"{d}/none")
+    assert C.load_csv_dir(spark, f"{d}/none").count() == 0

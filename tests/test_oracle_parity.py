@@ -18,7 +18,7 @@ SAMPLE = [
     "train_all_stores", "model_registry", "forecast_store", "bulk_forecast_forest", "generate_forecast",
     "backtest_forest", "run_log_forest", "store_forest_pooled", "store_forest_splits", "store_forest_predictions",
     "forecast_recursive", "generate_forecast_recursive", "feat_all_clustered", "feat_incremental",
-    "model_registry_versions", "available_stores_latest",
+    "model_registry_versions", "available_stores_latest", "validate_sales_written",
 ]
 
 
