@@ -66,11 +66,14 @@ def template(text: Column) -> Column:
     return F.regexp_replace(text, rf"([{NUMBER}-{UNIT}])[\p{{L}}\p{{N}}{POINT}]+", "$1")
 
 
-def tokens(text: Column) -> Column:
+def spaced(text: Column) -> Column:
+    """The tokens of marked text with one space between them."""
     # only letters, digits and the like are cut off a slot, so marked text and template split alike
-    spaced = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}]+", " ")
-    trimmed = F.trim(spaced)
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
+    return F.trim(F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}]+", " "))
+
+
+def tokens(joined: Column) -> Column:
+    return F.array_remove(F.split(joined, " "), "")
 
 
 def window_hashes(words: Column, window: int) -> Column:
@@ -98,7 +101,8 @@ def spelled(text: Column) -> Column:
 
 
 def views(text: Column, m: Column, kinds) -> list[Column]:
-    """For every key in ``kinds`` a struct of its name, marked tokens (``raw``) and tokens (``words``)."""
+    """For every key in ``kinds`` a struct of its name, marked tokens (``raw``) and tokens
+    (``words``); ``m`` is the spaced marked text."""
     plain = tokens(F.translate(m, NUMBER + NAME + UNIT, ""))
     made = {TEMPLATE_KEY: lambda: (tokens(m), tokens(template(m))), PLAIN_KEY: lambda: (plain, plain),
             WHOLE_KEY: lambda: (spelled(text),) * 2}
@@ -114,7 +118,7 @@ def index(benchmark: DataFrame, window: int = 8, min_item: int = 5, min_whole: i
     place, size, hash, tokens and marked tokens."""
     every = (TEMPLATE_KEY, PLAIN_KEY, WHOLE_KEY)
     one = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _text(benchmark).alias("t")) \
-        .select("item_id", "t", marked(F.col("t")).alias("m"))
+        .select("item_id", "t", spaced(marked(F.col("t"))).alias("m"))
     long_ = F.size(F.filter("v", lambda x: (x["kind"] == PLAIN_KEY) & (F.size(x["words"]) >= min_item))) > 0
     one = one.select("item_id", F.array(*views(F.col("t"), F.col("m"), every)).alias("v")) \
         .select("item_id", long_.alias("long"), F.inline("v"))
@@ -141,6 +145,17 @@ def index(benchmark: DataFrame, window: int = 8, min_item: int = 5, min_whole: i
     return out.join(counts, out.item_id.eqNullSafe(counts.of) & (out.kind == counts.by)).drop("of", "by")
 
 
+SALT = 0x9E3779B97F4B
+
+
+def _salt(looked: list[tuple[str, int]]) -> Column:
+    """The number that tells the hashes of a key and size from those of others."""
+    out = F.lit(0).cast("long")
+    for i, (kind, size) in enumerate(looked):
+        out = F.when((F.col("kind") == kind) & (F.col("size") == size), F.lit(SALT * (i + 1))).otherwise(out)
+    return out
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tokens: int = 13, min_share: float = 0.8,
                  min_item: int = 5, broadcast_windows: int = 1_000_000, min_whole: int = 3) -> DataFrame:
     """doc_id, row_hash (of the text), item_id, n_matched, n_windows and verbatim for
@@ -151,17 +166,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tok
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, row_hash long, item_id long, n_matched long, n_windows long, verbatim boolean")
     kinds = sorted({k for k, _ in looked})
-    keys = items.select("kind", "hash", "size", "item_id", "place", "n_windows")
+    # one number a window, so that the join's table is keyed by numbers; texts are compared below
+    keys = items.select("kind", F.col("hash").bitwiseXOR(_salt(looked)).alias("key"), "size", "item_id", "place", "n_windows")
     if items.count() <= broadcast_windows:
         keys = F.broadcast(keys)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text(docs).alias("text"))
     rows = rows.withColumn("row_hash", F.xxhash64("text"))
-    seen = rows.withColumn("m", marked(F.col("text"))).select(
+    seen = rows.withColumn("m", spaced(marked(F.col("text")))).select(
         "doc_id", "row_hash", *[v.alias(k) for k, v in zip(kinds, views(F.col("text"), F.col("m"), kinds), strict=True)])
     at = seen.select("doc_id", "row_hash", F.inline(F.array(*[F.struct(
-        F.lit(k).alias("kind"), F.lit(n).alias("size"), window_hashes(F.col(f"{k}.words"), n).alias("hashes"))
-        for k, n in looked]))).select("doc_id", "row_hash", "kind", "size", F.posexplode("hashes").alias("pos", "hash"))
-    found = at.join(keys, ["hash", "kind", "size"])
+        F.lit(SALT * (i + 1)).alias("salt"), window_hashes(F.col(f"{k}.words"), n).alias("hashes"))
+        for i, (k, n) in enumerate(looked)]))).select("doc_id", "row_hash", "salt", F.posexplode("hashes").alias("pos", "hash"))
+    found = at.select("doc_id", "row_hash", "pos", F.col("hash").bitwiseXOR(F.col("salt")).alias("key")).join(keys, "key")
     need = F.least(F.lit(min_tokens - window + 1), F.ceil(F.col("n_windows") * min_share))
     aligned = materialize(
         found.withColumn("shift", F.col("pos") - F.col("place")).groupBy("doc_id", "row_hash", "kind", "item_id", "shift")
@@ -176,7 +192,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tok
     texts = rows.alias("r").join(
         by_row.alias("b"), F.col("r.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("r.row_hash") == F.col("b.row_hash"))) \
         .select("r.doc_id", "r.row_hash", "found", "text").dropDuplicates(["doc_id", "row_hash"])
-    own = texts.withColumn("m", marked(F.col("text"))).select(
+    own = texts.withColumn("m", spaced(marked(F.col("text")))).select(
         "doc_id", "row_hash", "found", F.inline(F.array(*views(F.col("text"), F.col("m"), kinds))))
     per = own.select("doc_id", "row_hash", "kind", "raw", "words", F.explode(F.filter(
         "found", lambda f: f["kind"] == F.col("kind"))).alias("f")).select(
