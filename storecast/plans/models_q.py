@@ -1,4 +1,5 @@
-"""Registered model queries.
+"""The pooled forest and its registered queries, and the rows that
+all model queries train and forecast on; those of the per-store forests are in ``store_forest_q``.
 
 All of them read one training run: the fleet forest over all stores and rows
 (``fleet``), written once per folder as scaler, model, scores and registry.  It
@@ -37,7 +38,7 @@ from storecast.plans.forecast_q import (HORIZON_DAYS, STATS_SQL, TEMPLATE_DAYS,
 from storecast.plans.quality_q import STORE_LIST
 from storecast.plans.runs_q import EXPERIMENT, PARENT_TAGS, long_log, run_tables
 from storecast.session import scratch_path, write_table
-from storecast.sources.tables import sales
+from storecast.sources.tables import read_table, sales
 
 KEY = ["partner_code", "store_code"]
 VERSION = "0.2.0"
@@ -86,6 +87,13 @@ def template_rows(spark, sf_dir, days=TEMPLATE_DAYS):
 
 # ------------------------------------------------------------- fleet forest
 
+def input_state(spark, sf_dir) -> tuple:
+    """Rows, last day and a sum of row hashes of the sales lines: a rewritten input has another."""
+    li = read_table(spark, sf_dir, "lineitem")
+    h = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity", "l_shipdate"),
+               F.lit(1 << 31))
+    return tuple(li.agg(F.count(F.lit(1)), F.max("l_shipdate").cast("string"), F.sum(h)).first())
+
 def fleet(spark, sf_dir, min_samples=1, params=MD.FLEET_PARAMS, root=None):
     """Train the fleet forest and write its tables, or read those of an equal run
     (same data, selection, features and parameters) under ``root``."""
@@ -93,7 +101,8 @@ def fleet(spark, sf_dir, min_samples=1, params=MD.FLEET_PARAMS, root=None):
     key = (spark.sparkContext.applicationId, sf_dir, min_samples, params, root)
     if key in _FLEETS:
         return _FLEETS[key]
-    at = f"{base}/{MD.digest(os.path.abspath(sf_dir) if '://' not in sf_dir else sf_dir, min_samples, params, REFERENCE_FEATURES, SHIFT, VERSION)}"
+    path = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+    at = f"{base}/{MD.digest(path, input_state(spark, sf_dir), min_samples, params, REFERENCE_FEATURES, SHIFT, VERSION)}"
     if not MD.path_exists(spark, f"{at}/registry/_SUCCESS"):       # the registry is written last
         history_rows(spark, sf_dir, min_samples).write.mode("overwrite").parquet(f"{at}/history")
         hist = spark.read.parquet(f"{at}/history")
@@ -149,7 +158,8 @@ def store_fleet(spark, sf_dir, max_stores, params=MD.ForestParams(), min_samples
     if key in _FLEETS:
         return _FLEETS[key]
     base = root or scratch_path(spark, "store-fleet")
-    at = f"{base}/{MD.digest(max_stores, min_samples, params, REFERENCE_FEATURES, SHIFT, VERSION)}"
+    path = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+    at = f"{base}/{MD.digest(path, input_state(spark, sf_dir), max_stores, min_samples, params, REFERENCE_FEATURES, SHIFT, VERSION)}"
     table = f"{at}/scoring"
     if not MD.path_exists(spark, f"{table}/_SUCCESS"):
         rows = write_table(history_rows(spark, sf_dir, min_samples), "store-history")

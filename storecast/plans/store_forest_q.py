@@ -25,9 +25,9 @@ from storecast.plans.evaluation_q import D, _feature_sql, _metric_sql, _quality_
 from storecast.plans.features_q import REFERENCE_FEATURES, ROW_KEY
 from storecast.plans.forecast_q import HORIZON_DAYS, STATS_SQL, _cal_sql, requested_stores
 from storecast.plans.models_q import (_CAL, _OVER, _REQUESTED, KEY, OWN, SHIFT, SPLIT_CTE, VERSION, band, history_rows,
-                                      horizon_rows, statuses)
+                                      horizon_rows, input_state, statuses)
 from storecast.session import scratch_path
-from storecast.sources.tables import read_table, sales
+from storecast.sources.tables import sales
 
 QUERY_FOREST = FO.StoreForestParams(num_trees=3, max_depth=3)
 HORIZON_KEY = [*KEY, "date"]
@@ -35,14 +35,6 @@ BACKTEST_N = 5
 _RUNS: dict[tuple, dict] = {}
 
 
-def input_state(spark, sf_dir) -> tuple:
-    """Rows, last day and a sum of row hashes of the sales lines: a rewritten input has another."""
-    li = read_table(spark, sf_dir, "lineitem")
-    h = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity", "l_shipdate"),
-               F.lit(1 << 31))
-    return tuple(li.agg(F.count(F.lit(1)), F.max("l_shipdate").cast("string"), F.sum(h)).first())
-
-
 def store_run(spark, sf_dir, params=QUERY_FOREST, min_samples=1, root=None):
     """Train, score and write one forest per store, or read an equal run (same data, selection,
     features and parameters) under ``root``."""
