@@ -19,12 +19,17 @@ that stands in two or more documents; all such windows are found.
 
 Words are compared by 128-bit hashes (64 bits only to propose).  Sorting is by
 (hash, document), so a passage that a third of all documents share is dealt over
-many tasks; runs that cross tasks are joined by a table of two rows a task.
+many tasks.  A task compares ``CHUNK`` rows at a time and holds no more than about two
+such chunks; a run that goes on in another task, or is longer than a chunk, is put
+together by a table of two rows a task and two a chunk of such a run.
 
 Edge cases: null, empty and shorter texts have no passage; rows of one doc_id
 are one document, so what only they share is no repeat; null doc_ids are one
-document too; repeated rows are reported once; empty tables give an empty
-result; other columns are ignored.
+document too, apart from every id; rows of one doc_id are told apart by 64 bits of
+hash of their texts; repeated rows are reported once; equal suffixes (ties) are
+ordered by document, text and place, and of several other documents the smallest or
+the largest is named; a very long text is hashed as a whole, about 100 bytes a word;
+empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ from storecast.llm.common import materialize, slices
 
 U64 = np.uint64
 GRAM = 8
-NO_ID = -(1 << 63)
+CHUNK = 1 << 18
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so invertible modulo 2 ** 64
 
 
@@ -149,37 +154,63 @@ def _windows(min_words: int):
     return run
 
 
-def _compare(levels: list[list[str]], names: list[str]):
+def _chunks(batches: Iterator[pa.RecordBatch], level: list[str], size: int) -> Iterator[tuple[pa.Table, bool, bool]]:
+    """A sorted partition in tables of about ``size`` rows that end with a run of equal
+    keys, or within one that is longer; and if the first and the last run may go on
+    in rows outside the table."""
+    held: list[pa.RecordBatch] = []
+    rows, opened = 0, True
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            rows += b.num_rows
+        if rows < size:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        last = np.zeros(rows - 1, bool)
+        for c in level:
+            v = t[c].to_numpy()
+            last |= v[1:] != v[:-1]
+        cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+        whole = cut > 0
+        yield t.slice(0, cut if whole else rows), opened, not whole
+        opened = not whole
+        held = t.slice(cut).to_batches() if whole else []
+        rows = rows - cut if whole else 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks(), opened, True
+
+
+def _compare(levels: list[list[str]], names: list[str], size: int):
     """Each row of a sorted partition with, for each level of keys, the smallest and
-    largest document of its run of equal keys, and if the run may go on in another task.
+    largest document of its run of equal keys, and if the run may go on elsewhere.
     A row with ``beyond`` stands for the document that far beyond its own, too; it
     is a match already and passed on only where its run may go on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held).combine_chunks()
-        doc = t["doc"].to_numpy()
-        new = np.zeros(len(doc) - 1, bool)
-        beyond = t["beyond"].to_numpy() if "beyond" in t.column_names else np.zeros(len(doc), np.int64)
-        far, wanted = doc + beyond, beyond == 0
-        cols = [t[c] for c in names[:len(names) - 3 * len(levels)]]
-        for level in levels:
-            for c in level:
-                v = t[c].to_numpy()
-                new |= v[1:] != v[:-1]
-            first = np.flatnonzero(np.r_[True, new])
-            size = np.diff(np.append(first, len(doc)))
-            edge = np.zeros(len(first), bool)
-            edge[[0, -1]] = True
-            wanted |= np.repeat(edge, size)
-            cols += [pa.array(np.repeat(x, size)) for x in
-                     (np.minimum.reduceat(doc, first), np.maximum.reduceat(far, first), edge)]
-        yield from pa.Table.from_arrays(cols, names=names).filter(pa.array(wanted)).to_batches(max_chunksize=1 << 16)
+        for t, before, after in _chunks(batches, levels[0], size):
+            doc = t["doc"].to_numpy()
+            new = np.zeros(len(doc) - 1, bool)
+            beyond = t["beyond"].to_numpy() if "beyond" in t.column_names else np.zeros(len(doc), np.int64)
+            far, wanted = doc + beyond, beyond == 0
+            cols = [t[c] for c in names[:len(names) - 3 * len(levels)]]
+            for level in levels:
+                for c in level:
+                    v = t[c].to_numpy()
+                    new |= v[1:] != v[:-1]
+                first = np.flatnonzero(np.r_[True, new])
+                length = np.diff(np.append(first, len(doc)))
+                edge = np.zeros(len(first), bool)
+                edge[0] |= before
+                edge[-1] |= after
+                wanted |= np.repeat(edge, length)
+                cols += [pa.array(np.repeat(x, length)) for x in
+                         (np.minimum.reduceat(doc, first), np.maximum.reduceat(far, first), edge)]
+            yield from pa.Table.from_arrays(cols, names=names).filter(pa.array(wanted)) \
+                .to_batches(max_chunksize=1 << 16)
     return run
 
 
-def sort_and_compare(rows: DataFrame, levels: list[list[str]], name: str) -> DataFrame:
+def sort_and_compare(rows: DataFrame, levels: list[list[str]], name: str, chunk: int = CHUNK) -> DataFrame:
     """The rows whose key of the first level stands in two or more documents.
 
     ``levels`` are keys, each level adding columns to those before; for each
@@ -193,12 +224,12 @@ def sort_and_compare(rows: DataFrame, levels: list[list[str]], name: str) -> Dat
     ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept]
                     + [f"{x} {'boolean' if x.startswith('edge') else 'bigint'}" for x in more])
     near = rows.repartitionByRange(*order).sortWithinPartitions(*order) \
-        .mapInArrow(_compare(levels, [*[f.name for f in kept], *more]), ddl)
+        .mapInArrow(_compare(levels, [*[f.name for f in kept], *more], chunk), ddl)
     near = materialize(near.where("least_0 < most_0 or edge_0"), name)
     upto: list[str] = []
     for i, level in enumerate(levels):
         upto = [*upto, *level]
-        # at most two keys a task; written, so that the planner knows how small it is
+        # two keys a task or chunk of a long run; written, so that the planner knows how small it is
         cross = materialize(near.where(f"edge_{i}").groupBy(*upto).agg(F.min(f"least_{i}").alias("lo_doc"), F.max(
             f"most_{i}").alias("hi_doc")), name + "-edges")
         near = near.join(cross, upto, "left") \
@@ -225,25 +256,37 @@ def _spans(min_words: int):
     return run
 
 
-def repeats(docs: DataFrame, min_words: int = 50, span: int = 32) -> DataFrame:
+def stand_in(docs: DataFrame, block: int = 64) -> int:
+    """A number that is no doc_id of ``docs``, for the null ones: the smallest free one."""
+    ids, low = docs.select(F.col("doc_id").cast("long").alias("doc")), -(1 << 63)
+    while True:  # at most ``block`` rows reach the driver
+        taken = {r.doc for r in ids.where(F.col("doc").between(low, low + block - 1)).distinct().collect()}
+        if len(taken) < block:
+            return next(k for k in range(low, low + block) if k not in taken)
+        low += block
+
+
+def repeats(docs: DataFrame, min_words: int = 50, span: int = 32, chunk: int = CHUNK) -> DataFrame:
     """doc_id, start_word, end_word (exclusive), n_words and other_doc_id for every
     stretch of a document that repeated windows cover; other_doc_id is another
     document that has one of them.  ``span`` k-grams are looked at for a
-    minimiser: more of them mean fewer suffixes and shorter sort keys."""
+    minimiser: more of them mean fewer suffixes and shorter sort keys.  ``chunk`` rows are
+    compared at a time."""
     if not 1 <= span <= min_words - GRAM + 1:
         raise ValueError("span must be from 1 to min_words - 7")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.col("text").cast("string").alias("text")).withColumn("row", F.hash("text"))
+    none = F.lit(stand_in(docs))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), none).alias("doc"),
+                       F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
     kept = materialize(rows.mapInArrow(
-        _samples(min_words, span), "doc long, row int, lo int, hi int, key long, big long, big2 long"), "suffixes")
-    near = materialize(sort_and_compare(kept, [["key"], ["big", "big2"]], "suffix-runs"), "suffix-candidates")
+        _samples(min_words, span), "doc long, row long, lo int, hi int, key long, big long, big2 long"), "suffixes")
+    near = materialize(sort_and_compare(kept, [["key"], ["big", "big2"]], "suffix-runs", chunk), "suffix-candidates")
     whole = F.col("least_1") < F.col("most_1")
     parts = near.where(~whole | (F.col("doc") == F.col("least_1"))).groupBy("doc", "row").agg(
         F.collect_set(F.struct("lo", "hi", F.when(whole, F.col("most_1")).otherwise(F.col("doc")).alias("far")))
         .alias("ranges"))
     single = rows.join(parts, ["doc", "row"]).select("doc", "row", "text", "ranges").mapInArrow(
-        _windows(min_words), "doc long, row int, lo int, beyond long, h long, h2 long")
-    windows = sort_and_compare(materialize(single, "suffix-windows"), [["h", "h2"]], "suffix-window-runs")
+        _windows(min_words), "doc long, row long, lo int, beyond long, h long, h2 long")
+    windows = sort_and_compare(materialize(single, "suffix-windows"), [["h", "h2"]], "suffix-window-runs", chunk)
 
     def other(i: int):
         return F.when(F.col(f"least_{i}") == F.col("doc"), F.col(f"most_{i}")).otherwise(F.col(f"least_{i}"))
@@ -252,7 +295,6 @@ def repeats(docs: DataFrame, min_words: int = 50, span: int = 32) -> DataFrame:
         windows.select("doc", "row", "lo", F.col("lo").alias("hi"), other(0).alias("other")))
     found = pieces.groupBy("doc", "row").agg(F.collect_set(F.struct("lo", "hi", "other")).alias("pieces")) \
         .mapInArrow(_spans(min_words), "doc long, start_word long, end_word long, n_words long, other long")
-    none = F.lit(NO_ID)
     return found.select(F.nullif("doc", none).alias("doc_id"), "start_word", "end_word", "n_words",
                         F.nullif("other", none).alias("other_doc_id"))
 

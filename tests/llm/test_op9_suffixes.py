@@ -99,3 +99,42 @@ def test_edges(spark, docs_of, edge_rows):
     assert rows(suffixes.repeats(small).drop("other_doc_id")) == duck_rows(suffixes.SQL, documents=small)
     assert {d for d, *_ in got} == {20, 21, 22, 26, None}
     assert suffixes.repeats(docs_of(docs).where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 100])
+def test_runs_longer_than_a_chunk(spark, docs_of, chunk):
+    rng = random.Random(chunk)
+    common = [f"c{i}" for i in range(70)]
+    docs = [(i, f"x{i} " + " ".join(common[rng.randint(0, 10):rng.randint(55, 70)]) + f" z{i}") for i in range(150)]
+    docs += [(1000 + i, " ".join(common)) for i in range(60)] + [(5000, " ".join(common + ["y"] + common))]
+    check(suffixes.repeats(docs_of(docs), chunk=chunk), docs)
+
+
+def test_chunks_hold_about_one_chunk():
+    keys = [0] * 5 + [1] * 40 + list(range(2, 200)) + [200] * 11
+    t = suffixes.pa.table({"key": keys})
+    got = list(suffixes._chunks(iter(t.to_batches(max_chunksize=4)), ["key"], 16))
+    assert [k for c, *_ in got for k in c["key"].to_pylist()] == keys
+    assert all(c.num_rows < 2 * 16 + 4 for c, *_ in got)
+    assert got[0][1] and got[-1][2]
+    for (a, _, after), (b, before, _) in zip(got, got[1:]):
+        assert before == after
+        assert after or a["key"][-1] != b["key"][0]  # a run that goes on is marked
+
+
+def test_texts_of_equal_narrow_hash_under_one_id(spark, docs_of):
+    p = " ".join(f"p{i}" for i in range(50))
+    texts = spark.range(200_000).select(F.concat(F.repeat(F.lit("q "), (F.col("id") % 60).cast("int")), F.lit(p + " t"),
+                                                 F.col("id").cast("string")).alias("text")).withColumn("h", F.hash("text"))
+    same = texts.groupBy("h").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").collect()
+    assert len(same) > 1
+    docs = [(None, t) for r in same for t in r.texts] + [(1, p)]
+    check(suffixes.repeats(docs_of(docs)), docs)
+
+
+def test_null_id_is_no_legal_id(spark, docs_of):
+    p, low = " ".join(f"p{i}" for i in range(55)), -(1 << 63)
+    docs = [(low, p), (None, "x " + p), (low + 1, "own " * 60), ((1 << 63) - 1, p + " y")]
+    got = check(suffixes.repeats(docs_of(docs)), docs)
+    assert {d for d, *_ in got} == {low, None, (1 << 63) - 1}
+    assert suffixes.stand_in(docs_of([(low + i, "") for i in range(130) if i != 100]), 16) == low + 100
