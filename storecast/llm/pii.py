@@ -1,8 +1,10 @@
 """Personal data by weak supervision: labelers vote, EM weighs them, a span classifier decides.
 
 Base spans (email, ip, card, phone; see ``base_spans``) always stay.  Besides
-them a text has looser candidates: emails written with "(at)", IPv6 addresses,
-card numbers with dots, phone numbers without a plus.  Over base spans and
+them a text has looser candidates: emails written with "(at)" or as "joe at example
+dot com" with a known top-level domain (parts of at most 64 and 63 characters, up to six labels after the first, as
+in mail), IPv6 addresses in full or compressed, card numbers with dots, phone numbers
+without a plus.  Over base spans and
 candidates three labelers vote yes, no or nothing:
 
 * regex: the strict shape, or letters or digits that touch the candidate;
@@ -16,19 +18,23 @@ trained on its posteriors.  A candidate is added if the classifier gives it at
 least ``threshold``.
 
 Offsets are code points of the whole text, ends exclusive.  Edge cases: a null or
-empty text has no spans; repeated rows have the same spans each; an empty table
-gives an empty result and a model that adds nothing; other columns pass
-through, one named like a result is replaced.
+empty text has no spans; a very long text is read as a whole, in time that grows
+with its length times the logarithm of its spans; of candidates that overlap, the kind
+listed first has it, then the leftmost (ties); repeated rows have the same spans each;
+an empty table gives an empty result and a model that adds nothing; other columns
+pass through, one named like a result is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,12 +54,20 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Looser shapes.
 AT_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[(\[{] ?(?:at|AT|arobase|arroba) ?[)\]}] ?[A-Za-z0-9-]{1,63}"
                       r"(?:(?:\.| ?[(\[{] ?(?:dot|DOT|punkt|point|punto) ?[)\]}] ?)[A-Za-z0-9-]{1,63}){1,6}")
-IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
+SAID_EMAIL = re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._+-]{0,63} (?:at|AT|arobase|arroba) [A-Za-z0-9-]{1,63}"
+                        r"(?: (?:dot|DOT|punkt|point|punto) [A-Za-z0-9-]{1,63}){1,6}")
+SPOKEN = " (?:dot|DOT|punkt|point|punto) |:[0-9A-Fa-f]{0,4}:"
+IP6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,8}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:])")
 DOT_CARD = re.compile(r"(?<![0-9.])[0-9]{4}(?:\.[0-9]{4}){3}(?![0-9.])")
 BARE_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,5}\)[\x20-]?|[0-9]{2,5}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])")
 
-# Gazetteers and cue words (English, French, German, Spanish).
-TOP_DOMAINS = frozenset("at be ch com de edu es eu fr gov info io it net nl org uk us".split())
+# Gazetteers (generic top-level domains; of two letters, English words that
+# follow a "dot" in prose, and those that are no country's) and cue words (English, French, German, Spanish).
+GENERIC_DOMAINS = frozenset("""aero agency app arpa asia bank biz blog cat cloud club com coop dev edu email gov info
+    int jobs live ltd mail media mil mobi museum name net news online org post pro shop site space store tech tel top
+    travel web wiki work world xyz""".split())
+AFTER_A_DOT = frozenset("am as at be by do id in is it me my no so to us".split())
+NO_COUNTRY = frozenset("ab an da di du el en go he if of on or ou oh ok ot un up we wo xx ya zu".split())
 CUES = {
     "email": r"e-?mail|mail|contact|kontakt|courriel|correo|write|schreib|[eé]crire",
     "ip": r"\bip\b|address|adresse|direcci|server|serveur|servidor|host|client|login",
@@ -106,16 +120,55 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def is_ip6(s: str) -> bool:
+    """Eight groups, or fewer with one ``::`` and a digit or letter somewhere."""
+    groups, gaps = s.split(":"), s.count("::")
+    if ":::" in s or gaps > 1 or not s.strip(":"):
+        return False
+    if s[0] == ":" and s[:2] != "::" or s[-1] == ":" and s[-2:] != "::":
+        return False
+    return len([g for g in groups if g]) <= 7 if gaps else len(groups) == 8
+
+
+def listed_domain(label: str) -> bool:
+    """A generic top-level domain, or two letters as countries have."""
+    d = label.lower()
+    return d in GENERIC_DOMAINS or len(d) == 2 and d.isascii() and d.isalpha() and d not in NO_COUNTRY
+
+
+def is_said(s: str) -> bool:
+    """The last word is a top-level domain, and no English word after "dot"."""
+    dot, label = s.split(" ")[-2:]
+    return listed_domain(label) and not (dot.lower() == "dot" and label.lower() in AFTER_A_DOT)
+
+
+def _union(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, in order and apart."""
+    starts, ends = [], []
+    for s, e in sorted(spans):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def loose_spans(t: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates that touch no base span."""
-    out = []
-    for kind, rule in ((0, AT_EMAIL), (1, IP6), (2, DOT_CARD), (3, BARE_PHONE)):
+    """Candidates that touch no base span, nor one of a rule before."""
+    out: list[tuple[int, int, int]] = []
+    taken = [(s, e) for _, s, e in base]
+    for kind, rule in ((0, AT_EMAIL), (0, SAID_EMAIL), (1, IP6), (2, DOT_CARD), (3, BARE_PHONE)):
+        starts, ends = _union(taken)
         for m in rule.finditer(t):
             s, e = m.span()
-            if kind == 2 and not luhn(digits_of(m[0])) or kind == 3 and not 7 <= len(digits_of(m[0])) <= 15:
+            if rule is SAID_EMAIL and not is_said(m[0]) or kind == 1 and not is_ip6(m[0]) \
+                    or kind == 2 and not luhn(digits_of(m[0])) or kind == 3 and not 7 <= len(digits_of(m[0])) <= 15:
                 continue
-            if all(e <= b or s >= c for _, b, c in [*base, *out]):
+            k = bisect_right(ends, s)  # the first stretch that ends after s
+            if k == len(ends) or starts[k] >= e:
                 out.append((kind, s, e))
+                taken.append((s, e))
     return out
 
 
@@ -125,9 +178,10 @@ def evidence(t: str, kind: int, s: int, e: int, strict: bool) -> tuple[int, int]
     before, after = t[max(0, s - REACH):s], t[e:e + REACH]
     touched = bool(before[-1:].isalnum()) or bool(after[:1].isalnum())
     if kind == 0:
-        listed = re.split(r"[^A-Za-z0-9-]+", span.rstrip(")]} "))[-1].lower() in TOP_DOMAINS
+        listed = listed_domain(re.split(r"[^A-Za-z0-9-]+", span.rstrip(")]} "))[-1])
     elif kind == 1:
-        listed = re.match(r"10\.|127\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.|fe80|2001", span) is not None
+        listed = re.match(r"10\.|127\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.|"
+                          r"(?i:fe80|f[cd][0-9a-f]{2}|[23][0-9a-f]{3}):|::1$", span) is not None
     elif kind == 2:
         listed = re.match(r"4|5[1-5]|2[2-7]|3[47]|6011|65", d) is not None
     else:
@@ -145,7 +199,7 @@ N_FEATURES = 7
 
 def candidates(texts: pa.Array) -> list[list[tuple[int, int, int, bool, int, int]]]:
     """For each text: (kind, start, end, base, votes, features).  Texts without
-    a digit, @ or bracket are told apart on the bytes."""
+    a digit, @, bracket, spoken dot or two colons are told apart on the bytes."""
     out: list[list] = [[] for _ in range(len(texts))]
     if not len(texts):
         return out
@@ -154,7 +208,9 @@ def candidates(texts: pa.Array) -> list[list[tuple[int, int, int, bool, int, int
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     hit = np.flatnonzero(np.isin(raw[offsets[0]:offsets[-1]], np.frombuffer(b"0123456789@([{", np.uint8), kind="table"))
-    for i in np.unique(np.searchsorted(offsets, hit + offsets[0], side="right") - 1).tolist():
+    marked = np.searchsorted(offsets, hit + offsets[0], side="right") - 1
+    spoken = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, SPOKEN), False).to_numpy(zero_copy_only=False))
+    for i in np.union1d(marked, spoken).tolist():
         t = texts[i].as_py()
         if not t:
             continue

@@ -1,6 +1,8 @@
 import hashlib
+import ipaddress
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -87,3 +89,61 @@ def test_edges_and_redaction(spark, docs_of, edge_rows):
     assert sorted(str(r.text) for r in out.where("coalesce(doc_id, 0) <> 60").collect()) == sorted(str(t) for _, t in edge_rows)
     none = docs.where(F.lit(False))
     assert pii.annotate(none, pii.learn(none)).count() == 0
+
+
+def plain_loose(t, base):
+    """Each match held against all spans before it."""
+    out = []
+    for kind, rule in ((0, pii.AT_EMAIL), (0, pii.SAID_EMAIL), (1, pii.IP6), (2, pii.DOT_CARD), (3, pii.BARE_PHONE)):
+        for m in rule.finditer(t):
+            s, e = m.span()
+            if (kind == 0 and (rule is pii.AT_EMAIL or m[0].split()[-1] == "com")
+                    or kind == 1 and is_address(m[0]) or kind == 2 and passes("card", m[0])
+                    or kind == 3 and 7 <= sum(c.isdigit() for c in m[0]) <= 15):
+                if all(e <= b or s >= c for _, b, c in [*base, *out]):
+                    out.append((kind, s, e))
+    return out
+
+
+def is_address(s):
+    try:
+        return bool(ipaddress.IPv6Address(s)) and s != "::"
+    except ValueError:
+        return False
+
+
+def test_candidates_equal_plain_code():
+    rng = random.Random(6)
+    parts = ["joe (at) a dot com", "joe at example dot com", "a@b.c", " ", "2001:db8::1", "fe80::1", "::1", "1::", ":", "::",
+             "12:30:45", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "abcd", "0", "4111.1111.1111.1111", "555 123 4567", "(0614) 555-1234",
+             "10.0.0.1", " dot com", " at home", "(", "é", "x", "std::string", "+1 614 555 8001", ":1", "a", "\n"]
+    seen = set()
+    for _ in range(30_000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 10)))
+        base = pii.base_spans(t)
+        got = pii.loose_spans(t, base)
+        assert got == plain_loose(t, base), t
+        seen |= {(k, t[s:e]) for k, s, e in got}
+    assert {(1, "fe80::1"), (1, "2001:db8::1"), (1, "1:2:3:4:5:6:7::"), (0, "joe at example dot com")} <= seen
+    assert (1, "::") not in seen
+
+
+def test_many_candidates_take_linear_time():
+    for unit in ("614 555 1234, ", "joe at a dot com, ", "joe (at) a.com ", "fe80::1 ", "a:", "4111.1111.1111.1111 ", "a@b.c 614 555 1234\n"):
+        t = unit * 40_000
+        begin = time.perf_counter()
+        found = pii.loose_spans(t, pii.base_spans(t))
+        assert time.perf_counter() - begin < 20 and (unit == "a:" or len(found) == 40_000)
+
+
+def test_compressed_addresses_and_spoken_emails_are_added(spark, docs_of):
+    rows = corpus() + [(900 + i, f"the ip address of our server is 10.0.0.{i} for login") for i in range(60)]
+    rows += [(1000, "the ip address of our server is fe80::1 for login"), (1001, "login to server 2001:db8::7 now"),
+             (1002, "mail to joe at example dot com please"), (1003, "look at this dot on the page, at noon: 12:30:45"),
+             (1004, "call std::string in version 2"), (1005, "look at this dot in the map, mail me"),
+             (1006, "escribe: ana arroba ejemplo punto es, gracias")]
+    docs = docs_of(rows)
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.pii_spans]
+           for r in pii.annotate(docs, pii.learn(docs)).where("doc_id >= 1000").collect()}
+    assert got == {1000: [("ip", 32, 39)], 1001: [("ip", 16, 27)], 1002: [("email", 8, 30)], 1003: [], 1004: [],
+                   1005: [], 1006: [("email", 9, 36)]}
