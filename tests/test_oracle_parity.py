@@ -19,6 +19,7 @@ SAMPLE = [
     "backtest_forest", "run_log_forest", "store_forest_pooled", "store_forest_splits", "store_forest_predictions",
     "forecast_recursive", "generate_forecast_recursive", "feat_all_clustered", "feat_incremental",
     "model_registry_versions", "available_stores_latest", "validate_sales_written",
+    "quantiles_incremental", "iqr_incremental",
 ]
 
 
