@@ -3,7 +3,12 @@
 A page is cut into text blocks at block-level tags.  Each block gets a logit:
 what its ancestors say (article and main against nav, footer, aside, forms and
 class names of menus, notices, adverts, comments), plus a text classifier over
-link density, length, punctuation and the like.  The classifier is trained on
+link density, length, punctuation and the like.  A class name whose head
+(its last word but words of place) is of menus, notices and so on says so strongly
+(``weather-widget``, ``comment-body``); one that has such a word elsewhere
+(``social-science``) says it weakly, and the classifier can outweigh it.  A form
+is boilerplate if it has fields, no article or main, and not the page's prose.
+The classifier is trained on
 the blocks of up to ``sample_pages`` pages (the bound is a parameter) whose
 ancestors tell their label; a sure classifier outweighs an article's or, with
 edges to content, boilerplate's ancestors.  The two costs of a block are the capacities of its
@@ -17,7 +22,9 @@ Text: character references decoded, white space in a block turned into one
 space, blocks joined by one space in page order; nothing else is dropped.
 
 Edge cases: a null or empty page, or one without content, gives an empty text;
-a page without content by the cut has what its ancestors call so;
+a page without content by the cut has what its ancestors call so; a block whose
+costs tie is boilerplate; parsing and edges are linear in the page, however
+long, deep or broken it is;
 unclosed tags, comments and scripts run to the end of the page; repeated rows
 give repeated results; without any labelled block the classifier is
 neutral; other columns pass through, one named like a result is replaced.
@@ -39,11 +46,14 @@ from storecast.llm.common import add_columns, logistic
 
 # HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
+RAW = frozenset("script style textarea title noscript template iframe svg annotation object select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q ruby rp rt s samp "
-                   "small span strike strong sub sup time tt u var wbr img".split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog button fieldset".split())
+                   "small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub msubsup "
+                   "mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mspace mpadded mfenced semantics"
+                   .split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog button fieldset".split())
 CONTENT_TAGS = frozenset(("article", "main"))
+FIELDS = frozenset("input select textarea button".split())
 # Words of class, id and role that name what a part of a page is for.
 BOILER_WORDS = frozenset("""ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs comment
     comments consent contentinfo cookie cookies copyright dialog discussion disqus disclaimer footer gdpr header login
@@ -52,6 +62,10 @@ BOILER_WORDS = frozenset("""ad ads advert advertisement advertising adsense bann
     social sponsor sponsored subscribe tags teaser toolbar topbar tracking widget widgets""".split())
 BOILER_STARTS = ("comment", "advert", "adsby", "sidebar", "cookie", "navig", "newsletter")
 CONTENT_WORDS = frozenset("article articlebody content entry main post postbody story body text".split())
+PLACE_WORDS = frozenset("""area bar block bottom box button buttons center content desktop fixed footer form global group
+    head holder icon icons inner item items large left link links list local media medium mobile module outer panel part
+    policy posts articles primary right secondary section site slot small sticky title top unit user users reader readers
+    up use view""".split())
 LAYOUT_WORDS = frozenset("has with no wrapper wrap container layout page site col row".split())
 CUE = re.compile(r"©|copyright|cookie|all rights|subscribe|sign up|log ?in|privacy|terms of|newsletter|share", re.I)
 
@@ -63,50 +77,129 @@ N_FEATURES = 12
 # Costs: a sure classifier outweighs what an article says, and edges tip the scales; with
 # edges it also outweighs what boilerplate says (more, for comments and adverts are prose too).
 ADJACENT, CLOSE, STRONG, INSIDE, CLIP = 0.5, 0.3, -5.0, 4.0, 4.4
+HINT = -2.0  # what a class name says that has a word of boilerplate, but not as its head
+PROSE, FORM_PROSE = 15, 50  # words of a block of prose, words of prose of a form around an article
 TOPICS = ("category-", "tag-")  # classes that name what an article is about
 KINDS_OF_ARTICLE = frozenset("article entry main post story".split())
 
 
+def boiler_word(word: str) -> bool:
+    return word in BOILER_WORDS or word.startswith(BOILER_STARTS)
+
+
+def head(words: list[str]) -> str:
+    """What a name of several words is: its last word that is not one of place."""
+    return next((w for w in reversed(words) if boiler_word(w) or not (
+        w in PLACE_WORDS or w in CONTENT_WORDS or w.isdigit())), "")
+
+
 def says(name: str, attrs: str, above: float) -> float:
     """What an element tells of the text in it: a logit, ``above`` is its parent's."""
-    words = {w.lower() for m in NAMED.finditer(attrs) for c in (m[1] or m[2] or m[3] or "").split()
-             if not c.lower().startswith(TOPICS) for w in WORD.findall(c)} if attrs else set()
+    if name == "main":
+        return INSIDE
     if above <= STRONG or name in BOILER_TAGS or (name == "header" and above < INSIDE):
         return STRONG
+    names = [[w.lower() for w in WORD.findall(c)] for m in NAMED.finditer(attrs)
+             for c in (m[1] or m[2] or m[3] or "").split() if not c.lower().startswith(TOPICS)] if attrs else []
     if above >= INSIDE:  # the header of an article is part of it
-        words.discard("header")
-    if name in CONTENT_TAGS and words & KINDS_OF_ARTICLE:
-        return INSIDE
-    boiler = words & BOILER_WORDS or any(w.startswith(BOILER_STARTS) for w in words)
-    if boiler and not words & LAYOUT_WORDS and name not in ("html", "body", "main"):
-        return STRONG
-    if name in CONTENT_TAGS or words & CONTENT_WORDS and name not in ("html", "body"):
+        names = [[w for w in x if w != "header"] for x in names]
+    words = set().union(*names)
+    if name == "article" and words & KINDS_OF_ARTICLE:
         return INSIDE
-    return above
+    content = name == "article" or words & CONTENT_WORDS and name not in ("html", "body")
+    boiler = [x for x in names if any(map(boiler_word, x))]
+    if boiler and not words & LAYOUT_WORDS and name not in ("html", "body"):
+        if any(boiler_word(head(x)) for x in boiler):
+            return STRONG
+        return 0.0 if content else min(above, HINT)
+    return INSIDE if content else above
 
 
-class Block:
-    __slots__ = ("text", "logit", "path", "tag", "linked")
+class Node:
+    """An element of the page's tree."""
+    __slots__ = ("parent", "depth")
 
-    def __init__(self, text: str, logit: float, path: tuple, tag: str, linked: int):
-        self.text, self.logit, self.path, self.tag, self.linked = text, logit, path, tag, linked
+    def __init__(self, parent: Node | None):
+        self.parent, self.depth = parent, parent.depth + 1 if parent else 0
+
+
+class Block:
+    __slots__ = ("text", "logit", "node", "tag", "linked", "form")
+
+    def __init__(self, text: str, logit: float, node: Node, tag: str, linked: int, form: Form | None):
+        self.text, self.logit, self.node, self.tag, self.linked, self.form = text, logit, node, tag, linked, form
+
+    @property
+    def prose(self) -> int:
+        """Words of a block that reads like prose, else 0."""
+        words = self.text.count(" ") + 1
+        return words if words >= PROSE and 2 * self.linked < len(self.text) and self.logit > STRONG else 0
+
+
+class Form:
+    """What is seen inside a form element."""
+    __slots__ = ("fields", "content", "prose")
+
+    def __init__(self):
+        self.fields, self.content, self.prose = 0, False, 0
+
+
+class Open:
+    """The open elements of a page, with the innermost one of each name."""
+
+    def __init__(self):
+        # name, logit, node, place of the innermost element that is not inline, form
+        self.stack: list[tuple[str, float, Node, int, Form | None]] = [("", 0.0, Node(None), 0, None)]
+        self.places: dict[str, list[int]] = {}
+        self.links = 0
+
+    def push(self, name: str, attrs: str) -> None:
+        _, logit, node, base, form = self.stack[-1]
+        here = len(self.stack)
+        if name == "form":
+            form = Form()
+        elif form and name in CONTENT_TAGS:
+            form.content = True
+        self.stack.append((name, says(name, attrs, logit), Node(node), base if name in INLINE else here, form))
+        self.places.setdefault(name, []).append(here)
+        self.links += name == "a"
+
+    def cut(self, k: int) -> None:
+        """Closes the elements from place ``k`` on."""
+        for name, *_ in self.stack[k:]:
+            self.places[name].pop()
+            self.links -= name == "a"
+        del self.stack[k:]
+
+    def end(self, name: str) -> int | None:
+        """The place of the element that an end tag closes, if any; an inline one only in its block."""
+        at = self.places.get(name)
+        return at[-1] if at and (name not in INLINE or at[-1] > self.stack[-1][3]) else None
+
+    def shut(self, name: str) -> None:
+        """A block begins a new one: what the open paragraph or item holds is closed."""
+        names = ("li",) if name == "li" else ("dt", "dd") if name in ("dt", "dd") else \
+            ("td", "th") if name in ("td", "th") else ("tr", "td", "th") if name == "tr" else ("p",)
+        k = self.stack[-1][3]
+        while k and self.stack[k][0] not in names and self.stack[k][0] == "p":
+            k = self.stack[k - 1][3]
+        if k and self.stack[k][0] in names:
+            self.cut(k)
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order, without head, scripts, styles and comments."""
     out: list[Block] = []
-    stack: list[tuple[str, float, tuple]] = [("", 0.0, ())]  # name, logit, path of numbers
-    children, pieces, linked, links = [0], [], 0, 0
+    tree = Open()
+    pieces, linked = [], 0
     at, size = 0, len(page)
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            k = len(stack) - 1
-            while stack[k][0] in INLINE:
-                k -= 1
-            out.append(Block(text, stack[-1][1], stack[k][2], stack[k][0], linked))
+            _, logit, _, base, form = tree.stack[-1]
+            out.append(Block(text, logit, tree.stack[base][2], tree.stack[base][0], linked, form))
         pieces.clear()
         linked = 0
 
@@ -116,7 +209,7 @@ def blocks(page: str) -> list[Block]:
         if lt >= 0 and m is None:  # a bare < is text
             piece = unescape(page[at:lt]) + "<"
             pieces.append(piece)
-            linked += len(piece) if links else 0
+            linked += len(piece) if tree.links else 0
             at = lt + 1
             continue
         if lt < 0:
@@ -124,7 +217,7 @@ def blocks(page: str) -> list[Block]:
         if lt > at:
             piece = unescape(page[at:lt])
             pieces.append(piece)
-            linked += len(piece) if links else 0
+            linked += len(piece) if tree.links else 0
         if m is None:
             break
         at = m.end()
@@ -132,17 +225,15 @@ def blocks(page: str) -> list[Block]:
             continue
         name = m["name"].lower()
         if m["end"]:
-            if name in INLINE or any(e[0] == name for e in stack):
+            k = tree.end(name)
+            if k is not None:
                 if name not in INLINE:
                     flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        links -= sum(e[0] == "a" for e in stack[k:])
-                        del stack[k:], children[k:]
-                        break
-                    if name in INLINE and stack[k][0] not in INLINE:
-                        break
+                tree.cut(k)
             continue
+        form = tree.stack[-1][4]
+        if form and name in FIELDS:
+            form.fields += 1
         if name in RAW:
             if m[0].endswith("/>"):
                 continue
@@ -151,27 +242,26 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in INLINE:
             flush()
-            # a block begins a new one: what the open paragraph or item holds is closed
-            shut = ("li",) if name == "li" else ("dt", "dd") if name in ("dt", "dd") else \
-                ("td", "th") if name in ("td", "th") else ("tr", "td", "th") if name == "tr" else ("p",)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in shut:
-                    links -= sum(e[0] == "a" for e in stack[k:])
-                    del stack[k:], children[k:]
-                    break
-                if stack[k][0] not in INLINE and stack[k][0] != "p":
-                    break
-        if name in VOID:
-            continue
-        _, logit, path = stack[-1]
-        children[-1] += 1
-        stack.append((name, says(name, m["attrs"], logit), (*path, children[-1]) if len(path) < 64 else path))
-        children.append(0)
-        links += name == "a"
+            tree.shut(name)
+        if name not in VOID:
+            tree.push(name, m["attrs"])
     flush()
+    _judge_forms(out)
     return out
 
 
+def _judge_forms(found: list[Block]) -> None:
+    """Blocks of a form with fields are boilerplate, unless it is the frame of the page's content."""
+    for b in found:
+        if b.form:
+            b.form.prose += b.prose
+    total = sum(b.prose for b in found)
+    for b in found:
+        f = b.form
+        if f and f.fields and not f.content and (f.prose < FORM_PROSE or 2 * f.prose < total):
+            b.logit = STRONG
+
+
 def features(found: list[Block]) -> list[int]:
     """Feature bits of every block."""
     out, n = [], len(found)
@@ -185,23 +275,30 @@ def features(found: list[Block]) -> list[int]:
     return out
 
 
+def distance(a: Node, b: Node) -> int:
+    """Steps between two elements in the tree.  Over the neighbours of a page
+    in order these are steps of one walk around its tree, so linear in all."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
+
+
 def edges(found: list[Block]) -> list[tuple[int, int, float]]:
     """Smoothness costs: neighbours in page order by their distance in the DOM,
     and each block with the last one before it under the same parent."""
     out, last = [], {}
     for j, b in enumerate(found):
         if j:
-            a = found[j - 1]
-            same = 0
-            for x, y in zip(a.path, b.path):
-                if x != y:
-                    break
-                same += 1
-            out.append((j - 1, j, 2 * ADJACENT / max(2, len(a.path) + len(b.path) - 2 * same)))
-        i = last.get(b.path[:-1])
+            out.append((j - 1, j, 2 * ADJACENT / max(2, distance(found[j - 1].node, b.node))))
+        i = last.get(b.node.parent)
         if i is not None and i < j - 1:
             out.append((i, j, CLOSE))
-        last[b.path[:-1]] = j
+        last[b.node.parent] = j
     return out
 
 
@@ -274,7 +371,7 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = [(f, x.logit > 0) for page in b.column("html").to_pylist() for found in [blocks(page or "")]
-                for f, x in zip(features(found), found, strict=True) if x.logit]
+                for f, x in zip(features(found), found, strict=True) if abs(x.logit) >= INSIDE]
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int32()),
                                           pa.array([y for _, y in rows], pa.bool_())], ["features", "content"])
 

@@ -1,5 +1,7 @@
 import random
 import re
+import time
+from collections import Counter
 from html import unescape
 from itertools import product
 
@@ -101,3 +103,91 @@ def test_edges_change_a_label():
 def test_topics_are_no_boilerplate():
     page = '<article class="post-7 post tag-cookies category-social">a</article><article class="comment-body">b</article>'
     assert html.main_text(page, ZERO) == "a"
+
+
+PROSE = PARA[3:-4]
+FORM = "<form method=post><input type=hidden name=state>{}</form>"
+
+
+@pytest.mark.parametrize("page", [
+    FORM.format(f"<nav>Home</nav><div>{PARA * 3}</div>"), FORM.format(f"<nav>Home</nav><article>{PARA * 3}</article>"),
+    f'<div class="social-science">{PARA * 3}</div>', f'<div id="sharing-economy">{PARA * 3}</div>',
+    f'<div class="notice-of-election">{PARA * 3}</div>', f'<div class="post reply-to-editor">{PARA * 3}</div>',
+    f'<div class="modal-page"><main>{PARA * 3}</main></div>'])
+def test_content_under_misleading_names_and_forms(spark, page):
+    weights = html.learn(table(spark, SF, "pages"))
+    assert html.main_text(f"<body>{page}</body>", weights) == " ".join([PROSE] * 3)
+
+
+@pytest.mark.parametrize("part", [
+    '<form><label>Mail</label><input><button>Send</button></form>', '<div class="comment-body">{}</div>',
+    '<div class="reader-comments"><p>{}</p></div>', '<div class="main-nav">Home News</div>',
+    '<div id="ad-slot-3">{}</div>', '<div class="weather-widget">12 degrees</div>',
+    '<form action=s><p>{}</p><textarea>Your comment</textarea></form>'])
+def test_named_parts_and_forms_inside_an_article_go(spark, part):
+    weights = html.learn(table(spark, SF, "pages"))
+    page = f"<body><article>{PARA * 2}{part.format('Great piece, thank you all so very much for it!')}{PARA}</article></body>"
+    assert html.main_text(page, weights) == " ".join([PROSE] * 3)
+
+
+def test_formulas_stay():
+    page = "<article>Area is <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> here.</article>"
+    assert html.main_text(page, ZERO) == "Area is x=2 here."
+
+
+def strip_hints(page):
+    """The page with plain elements: no class, id or role, no telling tags but lists, links and headings."""
+    page = re.sub(r"""\s(?:class|id|role)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", "", page)
+    return re.sub(r"<(/?)(?:article|main|nav|footer|aside|header|section)\b", r"<\1div", page)
+
+
+def test_pages_without_hints(spark):
+    """Where no ancestor says anything, classifier and edges find most of the text, and the
+    cut decides: labels differ from the sign of the blocks' own costs."""
+    pages = table(spark, SF, "pages")
+    weights = html.learn(pages)
+    kept = wanted = right = turned = blocks = 0
+    for p in pages.collect():
+        found = html.blocks(strip_hints(p.html or ""))
+        logit = [b.logit + float(np.clip(weights[f], -html.CLIP, html.CLIP))
+                 for b, f in zip(found, html.features(found), strict=True)]
+        turned += sum((z > 0) != c for z, c in zip(logit, html.min_cut(logit, html.edges(found)), strict=True))
+        blocks += len(found)
+        got, want = html.main_text(strip_hints(p.html or ""), weights).split(), plain(p.html).split() if p.html else []
+        both = sum((Counter(got) & Counter(want)).values())
+        kept, wanted, right = kept + len(got), wanted + len(want), right + both
+    print(f"blocks {blocks}, turned by edges {turned}, precision {right / kept:.3f}, recall {right / wanted:.3f}")
+    assert right / kept > 0.9 and right / wanted > 0.9
+
+
+def deep_edges(found):
+    """Edges from whole paths, element by element."""
+    def path(n):
+        return path(n.parent) + [n] if n else []
+    out = []
+    for j, b in enumerate(found):
+        if j:
+            p, q = path(found[j - 1].node), path(b.node)
+            same = sum(x is y for x, y in zip(p, q))
+            out.append((j - 1, j, 2 * html.ADJACENT / max(2, len(p) + len(q) - 2 * same)))
+        before = [i for i in range(j) if found[i].node.parent is b.node.parent]
+        if before and before[-1] < j - 1:
+            out.append((before[-1], j, html.CLOSE))
+    return out
+
+
+def test_edges_equal_whole_paths():
+    rng = random.Random(5)
+    for _ in range(100):
+        page = "".join(rng.choice(["<div>", "</div>", "<b>", "</b>", "<p>", "<li>", "</p>", "a ", "c. "])
+                       for _ in range(150))
+        found = html.blocks("<div>" * rng.choice([0, 100]) + page)
+        assert sorted(html.edges(found)) == sorted(deep_edges(found))
+
+
+@pytest.mark.parametrize("page", ["<div>" * 60_000 + "</p>" * 60_000, "<i><div>" + "<b>" * 60_000 + "</i>" * 60_000,
+                                  "<b>" * 60_000 + "<hr>" * 60_000, "<div>" * 60_000 + "x</div>" * 60_000])
+def test_linear_in_long_broken_pages(page):
+    began = time.process_time()
+    html.blocks(page)
+    assert time.process_time() - began < 10  # minutes if every end tag or break walked the open elements
