@@ -9,13 +9,19 @@ The first two fail a document at once (``base_failed``).
 Host rules: the failures of each rule are added up by host; a host's rate is
 shrunk towards the rate of all documents with a beta prior whose strength comes
 from the spread of the hosts' rates (method of moments, weighted by documents).
-A host whose shrunken rate reaches ``host_rate`` for any rule is rejected, and
-so are its documents: nearly all that it holds is bad, so what happened to pass
-is not trusted either.
+The prior also says what a bad rate is: ``spread`` of its standard deviations
+over its mean, but not under ``least_bad``, for a host most of whose documents
+pass is not condemned by the rest, nor over ``most_bad``, so that a few bad hosts
+that widen the prior (or are most of the rows) do not excuse themselves.  A host is rejected if, by the normal
+approximation of its beta posterior, its rate is over the bad rate for any rule
+with probability ``Phi(sure)`` (0.975); so are its documents: what happened
+to pass there is not trusted either.
 
 Edge cases: a null or empty text has no words and fails ``short``; documents of
 a null host get no host verdict; repeated rows count as documents of their own;
-an empty table gives an empty result; other columns are ignored.
+a lower bound that equals the bad rate does not reject; a text is one value of a
+task, its words, lines and windows arrays of it, whole at any length; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,8 +98,10 @@ def document_metrics(docs: DataFrame, host: str = "source", min_words: int = 10,
         (100 * F.col("n_dup_lines") > max_dup_line_pct * F.col("n_lines")).alias("dup_lines"))
 
 
-def host_verdicts(metrics: DataFrame, host_rate: float = 0.8) -> DataFrame:
-    """host, documents, the shrunken rate of every rule, and whether it is rejected."""
+def host_verdicts(metrics: DataFrame, least_bad: float = 0.5, most_bad: float = 0.8, spread: float = 3.0,
+                  sure: float = 1.96) -> DataFrame:
+    """host, documents, and for every rule the shrunken rate, the rate that the host's
+    exceeds with probability Phi(sure), and the bad rate; and whether it is rejected."""
     hosts = metrics.where("host is not null").groupBy("host").agg(
         F.count("*").alias("n"), *[F.count_if(F.col(r)).alias(r) for r in RULES])
     pooled = hosts.agg(F.sum("n").alias("n_all"), F.count("*").alias("n_hosts"),
@@ -106,18 +114,27 @@ def host_verdicts(metrics: DataFrame, host_rate: float = 0.8) -> DataFrame:
         between = F.col(f"{r}_sq") / F.col("n_all") - mean * mean - noise
         pooled = pooled.withColumn(f"{r}_mean", mean).withColumn(f"{r}_strength", F.greatest(F.lit(1.0), F.least(
             F.lit(1e6), F.when(between > 1e-9, mean * (1 - mean) / between - 1).otherwise(1e6))))
-    rates = hosts.crossJoin(F.broadcast(pooled)).select(  # one row
-        "host", "n", *[((F.col(r) + F.col(f"{r}_mean") * F.col(f"{r}_strength"))
-                        / (F.col("n") + F.col(f"{r}_strength"))).alias(f"{r}_rate") for r in RULES])
-    return rates.withColumn("rejected", F.greatest(*[F.col(f"{r}_rate") for r in RULES]) >= host_rate)
-
-
-def judge(docs: DataFrame, host: str = "source", host_rate: float = 0.8, **limits) -> DataFrame:
+    columns = []
+    for r in RULES:
+        mean, strength = F.col(f"{r}_mean"), F.col(f"{r}_strength")
+        rate = (F.col(r) + mean * strength) / (F.col("n") + strength)
+        columns += [rate.alias(f"{r}_rate"),
+                    (rate - sure * F.sqrt(rate * (1 - rate) / (F.col("n") + strength + 1))).alias(f"{r}_low"),
+                    F.greatest(F.lit(least_bad), F.least(
+                        F.lit(most_bad), mean + spread * F.sqrt(mean * (1 - mean) / (strength + 1)))).alias(f"{r}_bad")]
+    rates = hosts.crossJoin(F.broadcast(pooled)).select("host", "n", *columns)  # one row
+    over = [F.col(f"{r}_low") > F.col(f"{r}_bad") for r in RULES]
+    return rates.withColumn("rejected", over[0] | over[1] | over[2] | over[3])
+
+
+def judge(docs: DataFrame, host: str = "source", least_bad: float = 0.5, most_bad: float = 0.8, spread: float = 3.0,
+          sure: float = 1.96, **limits) -> DataFrame:
     """Metrics, base_failed, host_rejected and kept for every row of ``docs``."""
     metrics = materialize(document_metrics(docs, host, **limits), "quality")
     # written, so that the planner knows its size: broadcast while small, else
     # shuffled with a salt, for a host may hold a third of all documents
-    hosts = materialize(host_verdicts(metrics, host_rate).where("rejected").select("host", "rejected"), "quality-hosts")
+    verdicts = host_verdicts(metrics, least_bad, most_bad, spread, sure)
+    hosts = materialize(verdicts.where("rejected").select("host", "rejected"), "quality-hosts")
     hosts = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     failed = F.col("short") | F.col("repeats")
     return metrics.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")) \
@@ -166,9 +183,12 @@ pooled as (
 prior as (
   select rule, mean, greatest(1.0, least(1e6,
            case when spread > 1e-9 then mean * (1 - mean) / spread - 1 else 1e6 end)) as strength from pooled),
+posterior as (
+  select host, (k + mean * strength) / (n + strength) as rate, n + strength + 1 as weight,
+         greatest(0.5, least(0.8, mean + 3.0 * sqrt(mean * (1 - mean) / (strength + 1)))) as bad_rate
+  from fails join prior using (rule)),
 bad as (
-  select distinct host from fails join prior using (rule)
-  where (k + mean * strength) / (n + strength) >= 0.8)
+  select distinct host from posterior where rate - 1.96 * sqrt(rate * (1 - rate) / weight) > bad_rate)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (short + repeats > 0) as base_failed, (short + repeats = 0 and bad.host is null) as kept
 from f left join bad on f.host = bad.host

@@ -50,3 +50,34 @@ def test_bad_host_is_rejected_and_small_hosts_shrink(spark, docs_of):
     assert got[2000].base_failed and not got[2000].host_rejected  # one failure does not condemn a host
     assert got[2001].kept
     assert rows(quality.judge(docs).select(*COLS)) == duck_rows(quality.SQL, documents=docs)
+
+
+def test_bad_rate_follows_the_prior(spark, docs_of):
+    """Hosts at several rates: which are rejected, and how many rows that changes."""
+    good = "the quick brown fox jumps over a lazy dog near some old mill today"
+    rates = {f"clean{k}": 0.02 for k in range(30)} | {"some": 0.4, "half": 0.5, "most": 0.8, "all": 1.0}
+    rows_ = [(1000 * h + i, "bad" if i < rate * 200 else good, "en", host)
+             for h, (host, rate) in enumerate(rates.items()) for i in range(200)]
+    docs = docs_of(rows_ + [(10**6, "bad", "en", "once")])
+    verdicts = {r.host: r for r in quality.host_verdicts(quality.document_metrics(docs)).collect()}
+    assert {h for h, r in verdicts.items() if r.rejected} == {"most", "all"}
+    for r in verdicts.values():
+        assert r.short_low <= r.short_rate and r.short_bad >= 0.5
+    got = quality.judge(docs)
+    assert got.where("host_rejected and not base_failed").count() == 40  # the passing fifth of "most"
+    assert rows(got.select(*COLS)) == duck_rows(quality.SQL, documents=docs)
+
+
+def test_prior_of_mixed_hosts_raises_the_bad_rate(spark, docs_of):
+    """Where hosts differ widely, only rates surely over ``most_bad`` condemn."""
+    good = "the quick brown fox jumps over a lazy dog near some old mill today"
+    docs = docs_of([(100 * h + i, "bad" if i < 10 * h else good, "en", f"h{h}") for h in range(11) for i in range(100)])
+    got = quality.judge(docs)
+    assert {r.host for r in got.where("host_rejected").select("host").distinct().collect()} == {"h9", "h10"}
+    assert rows(got.select(*COLS)) == duck_rows(quality.SQL, documents=docs)
+
+
+def test_one_host_holds_all_rows(spark, docs_of):
+    good = "the quick brown fox jumps over a lazy dog near some old mill today"
+    docs = docs_of([(i, "bad" if i % 10 else good, "en", "only") for i in range(300)])
+    assert rows(quality.judge(docs).select(*COLS)) == duck_rows(quality.SQL, documents=docs)
