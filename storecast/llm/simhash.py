@@ -37,7 +37,6 @@ from storecast.llm.common import connected_components, fresh, materialize
 SEED = 42
 FANOUT = 8
 U64 = np.uint64
-SALTS = 16
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -291,11 +290,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_gr
     doc_id that links reach, for every row of ``docs``."""
     own = components(docs.select("doc_id", "text"), shingle, max_bits, max_group)
     least = own.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
-    # only components of two or more rows, written so that the planner knows their size; salted,
-    # for one component may hold a third of all rows
-    least = materialize(least.where("n > 1").select("root", "component_id"), "simhash-least") \
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return own.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(least, ["root", "salt"], "left") \
+    # only components of two or more rows, written so that the planner knows their size: broadcast
+    # while small, else shuffled, where adaptive execution splits the rows of a hot component
+    least = materialize(least.where("n > 1").select("root", "component_id"), "simhash-least")
+    return own.join(least, "root", "left") \
         .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                 F.coalesce("component_id", "doc_id").alias("component_id"))
 
