@@ -267,11 +267,13 @@ def _staged_columns(y: str, p: str, families: Sequence[str], w: Window, lag_name
         if "momentum_pct" in fam:
             s1[f"{p}_momentum_pct_{k}"] = (yc - lagk) / _guard(lagk) * 100
     if "rank" in fam:
+        # one list for all windows: where a window is full, its rows are the list's last n
+        arr = h(s1, "_list", F.collect_list(yc).over(fr(max(RANK_WINDOWS))))
         for n in RANK_WINDOWS:
-            arr = h(s1, f"_list{n}", F.collect_list(yc).over(fr(n)))
-            less = F.size(F.filter(arr, lambda v: v < yc))
-            eq = F.size(F.filter(arr, lambda v: v == yc))
-            s2[f"{p}_rank_{n}"] = F.when(cnt[n] == n, (less + (eq + 1) / 2.0) / n)
+            # 2 for each smaller value, 1 for each equal one, in one pass
+            twice = F.aggregate(F.slice(arr, -n, n), F.lit(0), lambda a, v: a + F.when(v < yc, 2).when(v == yc, 1)
+                                .otherwise(0))
+            s2[f"{p}_rank_{n}"] = F.when(cnt[n] == n, (twice + 1) / 2.0 / n)
     if "autocorr" in fam:
         n = AUTOCORR_WINDOW
         sdp = h(s1, "_sdp", F.stddev_pop(yc).over(fr(n)))
