@@ -52,3 +52,36 @@ def test_date_filter_reaches_lineitem_scan(spark):
     from storecast.sources.tables import sales
     df = sales(spark, SF_SMALL).filter(F.col("date") < F.lit("2000-01-01").cast("date")).select("billings")
     assert "LessThan(l_shipdate" in _plan(df)
+
+
+def test_features_take_no_sliding_frames(spark):
+    """Spark starts a sliding frame's aggregates anew in every row; the windows only fetch rows before."""
+    import re
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    try:
+        spark.conf.set(fields, "1000")
+        for name in ("feat_all", "median_impute", "temporal_split"):
+            plan = spark._jvm.PythonSQLUtils.explainString(
+                E.queries()[name](spark, SF_SMALL)._jdf.queryExecution(), "extended")
+            frames = re.findall(r"RowFrame, -(\d+), (\S+?)\)", plan)
+            assert all(end == f"-{start}" for start, end in frames), name
+    finally:
+        spark.conf.set(fields, before)
+
+
+def test_sums_over_fetched_rows_lose_nothing(spark):
+    """Equal values have a deviation of exactly 0, and a far level costs no digits."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from storecast.operators import features as FE
+    y = [0.1] * 70 + [1e6 + 1e-3 * ((i * i) % 17) for i in range(70)]
+    df = spark.createDataFrame([("P", "1", i, v) for i, v in enumerate(y)], "partner_code string, store_code string, date int, billings double")
+    got = FE.series_features(df, order=["date"], chunk_rows=None).orderBy("date").toPandas()
+    assert got["billings_rolling_30_std"][29:70].eq(0).all() and got["billings_autocorr_7"][:70].isna().all()
+    for i in range(106, 140):
+        win, past = np.array(y[i - 29:i + 1]), np.array(y[i - 36:i - 6])
+        assert abs(got["billings_rolling_30_std"][i] / win.std(ddof=1) - 1) < 1e-7
+        assert abs(got["billings_autocorr_7"][i] - np.corrcoef(win, past)[0, 1]) < 1e-6
+    assert FE.series_features(df, order=["date"], families=["is_outlier"], chunk_rows=None, shift=1).where(
+        F.col("billings_is_outlier_7").isNull()).count() == 1            # only the first row has no row before
