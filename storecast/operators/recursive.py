@@ -1,11 +1,12 @@
 """Recursive horizon (M9, J4): every forecast day becomes history for the next one.
 
-The state is a written table of each store's last ``keep`` rows, whatever the length of its
-history; ``FE.LOOKBACK`` + 1 rows are all that a feature of the next day can see.  A step
-computes the features on the state (the same window definitions as in training), takes
-those of every store's last row, adds the next day's calendar columns, asks the predictor
-for all stores at once, and writes the next state: the new row in, the oldest out.  A step's
-cost depends on the number of stores only, and a lost executor costs tasks of one step.
+The state is a written table of each store's last ``keep`` targets, whatever the length of
+its history; ``FE.LOOKBACK`` + 1 are all that a feature of the next day can see.  It has one
+row a store with the targets as an array, the latest first, so a step needs no window: it
+computes the features of every store's last row (the same columns as in training), adds
+the next day's calendar columns, asks the predictor for all stores at once, and writes the
+next state: the new target in, the oldest out.  A step's cost depends on the number of
+stores only, and a lost executor costs tasks of one step.
 
 Edge cases: a store without a complete feature row has no prediction (the predictor gives
 none for it); its day is appended with a null target and its later days have none either.
@@ -24,6 +25,7 @@ from storecast.session import write_table
 from storecast.sources.tables import STORE_KEY, TIE_BREAK
 
 STEP = "_step"
+VALUES, AHEAD = "_values", "_ahead"     # the last targets and the predictions so far, the latest first
 
 
 def horizon_state(history: DataFrame, extra: Sequence[str] = (), y: str = "billings", keep: int = FE.LOOKBACK + 1) -> DataFrame:
@@ -34,14 +36,22 @@ def horizon_state(history: DataFrame, extra: Sequence[str] = (), y: str = "billi
                        .withColumn(STEP, F.lit(0)), "horizon-state")
 
 
+def store_series(rows: DataFrame, extra: Sequence[str] = (), y: str = "billings") -> DataFrame:
+    """A row per store of a bounded ``horizon_state``: the last row's date and ``extra``, and ``VALUES``."""
+    place = [F.col(c) for c in ("date", *TIE_BREAK)]
+    in_order = F.sort_array(F.collect_list(F.struct(*place, F.col(y).alias("_y"), *[F.col(c).alias(f"_x_{c}") for c in extra])),
+                            asc=False)
+    s = rows.groupBy(*STORE_KEY).agg(in_order.alias("_rows"))
+    return s.select(*STORE_KEY, F.col("_rows")[0]["date"].alias("date"), F.col("_rows")["_y"].alias(VALUES),
+                    *[F.col("_rows")[0][f"_x_{c}"].alias(c) for c in extra])
+
+
 def next_day(state: DataFrame, families: Sequence[str], extra: Sequence[str] = (), y: str = "billings") -> DataFrame:
     """The day after each store's last row: its calendar columns, and the features and
     ``extra`` columns as of that last row (what ``shift=1`` gives in training)."""
-    feats = FE.series_features(state, y, families, chunk_rows=None)
-    last = Window.partitionBy(*STORE_KEY).orderBy(*[F.col(c).desc() for c in ("date", *TIE_BREAK)])
-    rows = feats.withColumn("_r", F.row_number().over(last)).where("_r = 1")
-    return FE.calendar_features(rows.select(*STORE_KEY, F.date_add("date", 1).alias("date"), *extra,
-                                            *FE.feature_names(families, y)))
+    series = state if VALUES in state.columns else store_series(state, extra, y)
+    return FE.calendar_features(FE.last_features(series, VALUES, families, y).select(
+        *STORE_KEY, F.date_add("date", 1).alias("date"), *extra, *FE.feature_names(families, y)))
 
 
 def recursive_forecast(history: DataFrame, days: int, predict: Callable[[DataFrame], DataFrame], families: Sequence[str],
@@ -53,22 +63,18 @@ def recursive_forecast(history: DataFrame, days: int, predict: Callable[[DataFra
     if keep < FE.LOOKBACK + 1:
         raise ValueError(f"the features of a day look back {FE.LOOKBACK + 1} rows")
     key = list(STORE_KEY)
-    state, found = horizon_state(history, extra, y, keep), []
-    last = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in ("date", *TIE_BREAK)])
-    for step in range(1, days + 1):
-        ahead = next_day(state, families, extra, y)
-        value = predict(ahead).select(*key, F.col("prediction").cast("double").alias(y))
-        new = ahead.select(*key, "date", *extra).join(value, key, "left").select(
-            *key, "date", *[F.lit(0).cast(state.schema[c].dataType).alias(c) for c in TIE_BREAK], y, *extra,
-            F.lit(step).alias(STEP))
-        rows = state.unionByName(new).withColumn("_r", F.row_number().over(last))
-        state = write_table(rows.where(F.col("_r") <= keep).drop("_r"), "horizon-state")
-        found.append(state.where((F.col(STEP) == step) & F.col(y).isNotNull())
-                     .select(*key, "date", F.col(STEP).alias("step"), F.col(y).alias("prediction")))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    state = write_table(store_series(horizon_state(history, extra, y, keep), extra, y).withColumn(
+        AHEAD, F.array().cast("array<double>")), "horizon-series")
+    for _ in range(days):
+        # written: predictors plan over the features' columns, not their expressions
+        ahead = write_table(next_day(state, families, extra, y), "horizon-day")
+        value = predict(ahead).select(*key, F.col("prediction").cast("double").alias("_new"))
+        state = write_table(state.join(value, key, "left").select(
+            *key, F.date_add("date", 1).alias("date"), F.slice(F.concat(F.array("_new"), VALUES), 1, keep).alias(VALUES), *extra,
+            F.concat(F.array("_new"), AHEAD).alias(AHEAD)), "horizon-series")
+    return state.select(*key, F.col("date").alias("_last"), F.posexplode(AHEAD).alias("_back", "prediction")).where(
+        F.col("prediction").isNotNull()).select(*key, F.date_sub("_last", F.col("_back")).alias("date"),
+                                                (F.lit(days) - F.col("_back")).alias("step"), "prediction")
 
 
 def line_predictor(train: DataFrame, feature: str, y: str = "billings") -> Callable[[DataFrame], DataFrame]:

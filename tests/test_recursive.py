@@ -55,3 +55,22 @@ def test_short_unknown_and_empty_stores(spark, history):
 def test_forests_in_the_loop(spark):
     f = R.forest_horizon(spark, SF_SMALL, days=2).collect()
     assert len(f) == 20 and all(r.prediction > 0 for r in f)
+
+
+def test_a_step_needs_no_window(spark, history):
+    state = RC.store_series(RC.horizon_state(history, ["miles"]), ["miles"])
+    assert state.count() == 3 and state.selectExpr(f"max(size({RC.VALUES}))").first()[0] == FE.LOOKBACK + 1
+    day = RC.next_day(RC.write_table(state, "test-series"), FE.FAMILIES, ["miles"])
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+
+
+def test_last_features_are_those_of_the_whole_series(history):
+    holes = history.withColumn("billings", F.when(F.col("l_linenumber") < 7, F.col("billings")))
+    rows = holes.unionByName(history.withColumn("store_code", F.concat("store_code", F.lit("x"))))
+    place = F.struct("date", *RC.TIE_BREAK)
+    names = FE.feature_names()
+    want = FE.series_features(rows.select(*KEY, "date", *RC.TIE_BREAK, "billings"), "billings").groupBy(*KEY).agg(
+        F.max_by(F.struct(*names), place).alias("f")).select(*KEY, "f.*")
+    got = RC.next_day(RC.horizon_state(rows), FE.FAMILIES).select(*KEY, *names)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str) and got.count() == 6
