@@ -16,6 +16,7 @@ An empty history gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from storecast.sources.tables import STORE_KEY, TIE_BREAK
 
 STEP = "_step"
 VALUES, AHEAD = "_values", "_ahead"     # the last targets and the predictions so far, the latest first
+TIED = "_tied"                          # rows that agree with the last one in date and tie-breaks, itself included
 
 
 def horizon_state(history: DataFrame, extra: Sequence[str] = (), y: str = "billings", keep: int = FE.LOOKBACK + 1) -> DataFrame:
@@ -37,19 +39,24 @@ def horizon_state(history: DataFrame, extra: Sequence[str] = (), y: str = "billi
 
 
 def store_series(rows: DataFrame, extra: Sequence[str] = (), y: str = "billings") -> DataFrame:
-    """A row per store of a bounded ``horizon_state``: the last row's date and ``extra``, and ``VALUES``."""
+    """A row per store of a bounded ``horizon_state``: the last row's date and ``extra``, ``VALUES`` and ``TIED``."""
     place = [F.col(c) for c in ("date", *TIE_BREAK)]
     in_order = F.sort_array(F.collect_list(F.struct(*place, F.col(y).alias("_y"), *[F.col(c).alias(f"_x_{c}") for c in extra])),
                             asc=False)
     s = rows.groupBy(*STORE_KEY).agg(in_order.alias("_rows"))
-    return s.select(*STORE_KEY, F.col("_rows")[0]["date"].alias("date"), F.col("_rows")["_y"].alias(VALUES),
-                    *[F.col("_rows")[0][f"_x_{c}"].alias(c) for c in extra])
+    last = F.col("_rows")[0]
+    tied = F.size(F.filter("_rows", lambda r: reduce(lambda a, b: a & b, [
+        r[c].eqNullSafe(last[c]) for c in ("date", *TIE_BREAK)])))
+    return s.select(*STORE_KEY, last["date"].alias("date"), F.col("_rows")["_y"].alias(VALUES), tied.alias(TIED),
+                    *[last[f"_x_{c}"].alias(c) for c in extra])
 
 
 def next_day(state: DataFrame, families: Sequence[str], extra: Sequence[str] = (), y: str = "billings") -> DataFrame:
     """The day after each store's last row: its calendar columns, and the features and
-    ``extra`` columns as of that last row (what ``shift=1`` gives in training)."""
+    ``extra`` columns as of that last row (what ``shift=1`` gives in training); of tied last rows
+    the first one counts."""
     series = state if VALUES in state.columns else store_series(state, extra, y)
+    series = series.withColumn(VALUES, F.slice(VALUES, F.col(TIED), F.size(VALUES)))
     return FE.calendar_features(FE.last_features(series, VALUES, families, y).select(
         *STORE_KEY, F.date_add("date", 1).alias("date"), *extra, *FE.feature_names(families, y)))
 
@@ -70,7 +77,8 @@ def recursive_forecast(history: DataFrame, days: int, predict: Callable[[DataFra
         ahead = write_table(next_day(state, families, extra, y), "horizon-day")
         value = predict(ahead).select(*key, F.col("prediction").cast("double").alias("_new"))
         state = write_table(state.join(value, key, "left").select(
-            *key, F.date_add("date", 1).alias("date"), F.slice(F.concat(F.array("_new"), VALUES), 1, keep).alias(VALUES), *extra,
+            *key, F.date_add("date", 1).alias("date"), F.slice(F.concat(F.array("_new"), VALUES), 1, keep).alias(VALUES),
+            F.lit(1).alias(TIED), *extra,
             F.concat(F.array("_new"), AHEAD).alias(AHEAD)), "horizon-series")
     return state.select(*key, F.col("date").alias("_last"), F.posexplode(AHEAD).alias("_back", "prediction")).where(
         F.col("prediction").isNotNull()).select(*key, F.date_sub("_last", F.col("_back")).alias("date"),

@@ -74,3 +74,10 @@ def test_last_features_are_those_of_the_whole_series(history):
         F.max_by(F.struct(*names), place).alias("f")).select(*KEY, "f.*")
     got = RC.next_day(RC.horizon_state(rows), FE.FAMILIES).select(*KEY, *names)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str) and got.count() == 6
+
+
+def test_the_first_of_tied_last_rows_counts(history):
+    last = history.groupBy(*KEY).agg(F.max(F.struct("date", *RC.TIE_BREAK)).alias("p")).select(*KEY, "p.*")
+    twice = history.unionByName(history.join(last, last.columns, "left_semi"))
+    rows = [sorted(map(tuple, RC.next_day(RC.horizon_state(h), ["trend"]).collect())) for h in (history, twice)]
+    assert rows[0] == rows[1]
