@@ -85,3 +85,25 @@ def test_sums_over_fetched_rows_lose_nothing(spark):
         assert abs(got["billings_autocorr_7"][i] - np.corrcoef(win, past)[0, 1]) < 1e-6
     assert FE.series_features(df, order=["date"], families=["is_outlier"], chunk_rows=None, shift=1).where(
         F.col("billings_is_outlier_7").isNull()).count() == 1            # only the first row has no row before
+
+
+def test_rows_are_dealt_by_store_before_columns_are_added(spark):
+    for query in ("feat_all", "feature_lists"):
+        plan = _plan(E.queries()[query](spark, SF_SMALL))
+        assert plan.count("Exchange hashpartitioning(partner_code") == 1, query
+        below = plan[plan.index("Exchange hashpartitioning(partner_code"):]
+        assert "Window" not in below and "year" not in below and "LN" not in below.upper().replace("LINE", ""), query
+
+
+def test_scaler_of_stores_that_are_not_hot_needs_no_join(spark):
+    from pyspark.sql import functions as F
+    from storecast.operators import evaluation as EV
+    rows = spark.range(400).select(
+        F.lit("P").alias("partner_code"), (F.col("id") % 3).cast("string").alias("store_code"), "id", F.sin("id").alias("a"),
+        F.lit(2.0).alias("b"), F.when(F.col("id") % 3 == 2, "test").when(F.col("id") % 5 == 0, "test").otherwise("train").alias("split"))
+    here, apart = EV.standard_scale(EV.fit_scaler(rows, ["a", "b"], hot=None), ["a", "b"]), EV.standard_scale(rows, ["a", "b"])
+    assert here.columns == apart.columns and "Join" not in _plan(here) and "Join" in _plan(apart)
+    got, want = ([x.select("id", "split", *[F.round(c, 9).alias(c) for c in "ab"]) for x in (here, apart)])
+    assert got.count() == 400 and got.exceptAll(want).count() == 0 and got.where("a is null").count() == 133
+    plan = _plan(E.queries()["standard_scale"](spark, SF_SMALL))
+    assert "Exchange" not in plan and "Join" not in plan            # the rows are not dealt again after they are written
